@@ -31,7 +31,7 @@ def lit_date(d: _dt.date | str) -> Column:
 def try_date(c) -> Column:
     """Text -> date, NULL when the text is no date (placeholders, 2024/2/30)."""
     c = _c(c).cast("string")
-    return F.coalesce(*[F.try_to_date(c, F.lit(f)) for f in DATE_FORMS])
+    return F.coalesce(*[F.try_to_date(c, f) for f in DATE_FORMS])
 
 
 def days_between(later, earlier) -> Column:

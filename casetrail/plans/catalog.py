@@ -25,7 +25,6 @@ def _layer(adapter: str, layer: str) -> QueryFn:
         if layer in ("stg_cases", "stg_entries", "direct_close"):
             cases, entries = staged(inp)
             if layer == "direct_close":
-                from ..operators.staging import STAGED_ENTRY_COLUMNS  # noqa: F401
                 from ..functions.keys import entry_id
                 keyed = inp.entries.select(entry_id("incident_id", "comment_seq").alias("comment_id"), "*")
                 return direct_close_entries(keyed, cases, inp.types)
@@ -65,4 +64,6 @@ def registry() -> dict[str, tuple[QueryFn, str | None]]:
     out: dict[str, tuple[QueryFn, str | None]] = {}
     for name, adapter, layer in _WAREHOUSE_QUERIES:
         out[name] = (_layer(adapter, layer), O.warehouse_sql(adapter, layer))
+    from .checks import CHECKS
+    out.update(CHECKS)
     return out
