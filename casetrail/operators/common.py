@@ -15,5 +15,9 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     The check reads at most ``max_rows + 1`` rows; beyond it the frame is
     returned unhinted and Spark plans a shuffle (sort-merge) join instead.
     """
+    if getattr(df, "_casetrail_checked", None) is not None:
+        return df
     n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    out = F.broadcast(df) if n <= max_rows else df
+    out._casetrail_checked = n <= max_rows  # checked once; operators reuse the verdict
+    return out

@@ -14,9 +14,16 @@ STAGED_ENTRY_COLUMNS = ["comment_id", "incident_id", "comment_seq", "comment_div
                         "comment_by", "comment_date", "comment"]
 
 
-def stage_cases(base: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+def _overlaid(base: DataFrame, before: DataFrame | None, after: DataFrame | None, keys) -> DataFrame:
+    """C3 when corrections are given; no corrections -> the base as is."""
+    if before is None and after is None:
+        return base
+    return overlay(base, before, after, keys)
+
+
+def stage_cases(base: DataFrame, before: DataFrame | None, after: DataFrame | None) -> DataFrame:
     """C4: overlay + ``has_library_change``."""
-    staged = overlay(base, before, after, CASE_KEYS)
+    staged = _overlaid(base, before, after, CASE_KEYS)
     return staged.withColumn("has_library_change", TX.has_library_change("description"))
 
 
@@ -53,10 +60,10 @@ def direct_close_entries(entries: DataFrame, cases: DataFrame, types: DataFrame)
     )
 
 
-def stage_entries(base: DataFrame, before: DataFrame, after: DataFrame,
+def stage_entries(base: DataFrame, before: DataFrame | None, after: DataFrame | None,
                   cases: DataFrame, types: DataFrame) -> DataFrame:
     """Overlay, ``comment_id``, then real entries plus direct-close entries."""
-    staged = overlay(base, before, after, ENTRY_KEYS)
+    staged = _overlaid(base, before, after, ENTRY_KEYS)
     keyed = staged.select(entry_id("incident_id", "comment_seq").alias("comment_id"),
                           "incident_id", "comment_seq", "comment_div", "comment_by",
                           "comment_date", "comment")

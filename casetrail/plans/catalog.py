@@ -29,7 +29,9 @@ def _layer(adapter: str, layer: str) -> QueryFn:
                 keyed = inp.entries.select(entry_id("incident_id", "comment_seq").alias("comment_id"), "*")
                 return direct_close_entries(keyed, cases, inp.types)
             return cases if layer == "stg_cases" else entries
-        wh = build(inp)
+        # stage tables for layers read more than once by this query's plan
+        tables = {"calendar": (), "mart_monthly": ("stg_entries", "lifecycle")}.get(layer, ("stg_entries",))
+        wh = build(inp, tables=tables)
         return {"lifecycle": wh.lifecycle, "rollup": wh.rollup, "calendar": wh.calendar,
                 "daily": wh.daily, "monthly": wh.monthly, "active": wh.active,
                 "mart_monthly": wh.mart_monthly}[layer]

@@ -9,6 +9,7 @@ recomputes from the last stored layer.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -20,7 +21,8 @@ from ..operators.monthly import monthly_counts
 from ..operators.rollup import case_rollup
 from ..operators.spine import daily_counts
 from ..operators.staging import stage_cases, stage_entries
-from ..sources.files import materialize
+from ..operators.common import small_side
+from ..sources.files import materialize, shared_dir
 from ..sources.schemas import CASES_TYPED, ENTRIES_TYPED
 
 
@@ -39,13 +41,24 @@ class Inputs:
     entries_after: DataFrame | None = None
 
     def overlays(self):
+        """(cases_before, cases_after, entries_before, entries_after); a missing
+        pair means no corrections, and the overlay is then the identity."""
         spark = self.cases.sparkSession
-        empty_c = spark.createDataFrame([], CASES_TYPED)
-        empty_e = spark.createDataFrame([], ENTRIES_TYPED)
-        return (self.cases_before if self.cases_before is not None else empty_c,
-                self.cases_after if self.cases_after is not None else empty_c,
-                self.entries_before if self.entries_before is not None else empty_e,
-                self.entries_after if self.entries_after is not None else empty_e)
+
+        def pair(before, after, schema):
+            if before is None and after is None:
+                return None, None
+            empty = spark.createDataFrame([], schema)
+            return (before if before is not None else empty,
+                    after if after is not None else empty)
+        return pair(self.cases_before, self.cases_after, CASES_TYPED) + \
+            pair(self.entries_before, self.entries_after, ENTRIES_TYPED)
+
+    def checked(self) -> "Inputs":
+        """Size-check the masters once (broadcast only if proven small)."""
+        self.types, self.aliases, self.members = (small_side(self.types), small_side(self.aliases),
+                                                  small_side(self.members))
+        return self
 
 
 @dataclass
@@ -62,16 +75,30 @@ class Warehouse:
 
 
 def staged(inp: Inputs) -> tuple[DataFrame, DataFrame]:
+    inp.checked()
     cb, ca, eb, ea = inp.overlays()
     cases = stage_cases(inp.cases, cb, ca)
     entries = stage_entries(inp.entries, eb, ea, cases, inp.types)
     return cases, entries
 
 
-def build(inp: Inputs, scope_years: int = MART_SCOPE_YEARS, materialize_tables: bool = False,
-          prefix: str = "wh") -> Warehouse:
+# Layers read more than once downstream; stored as tables by default.
+SHARED_LAYERS = ("stg_entries",)
+ALL_TABLE_LAYERS = ("stg_cases", "stg_entries", "lifecycle", "rollup", "calendar", "daily", "monthly")
+
+
+def build(inp: Inputs, scope_years: int = MART_SCOPE_YEARS, tables: tuple[str, ...] = SHARED_LAYERS,
+          run_id: str | None = None) -> Warehouse:
+    """Lazy warehouse; layers named in ``tables`` are written as Parquet tables
+    under ``spark.checkpoint.dir`` (eagerly) and read back."""
+    spark = inp.cases.sparkSession
+    rid = run_id or uuid.uuid4().hex[:12]
+
     def keep(df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, f"{prefix}_{name}", "table") if materialize_tables else df
+        if name not in tables:
+            return df
+        loc = f"{shared_dir(spark).rstrip('/')}/casetrail/{rid}/{name}"
+        return materialize(df, f"ct_{rid}_{name}", "table", location=loc)
 
     cases, entries = staged(inp)
     cases, entries = keep(cases, "stg_cases"), keep(entries, "stg_entries")
