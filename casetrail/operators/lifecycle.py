@@ -56,9 +56,17 @@ def _flag(pred) -> F.Column:
     return F.coalesce(pred, F.lit(False))
 
 
+CASE_LAST_SEQ = "_case_last_seq"
+
+
 def entry_lifecycle(entries: DataFrame, types: DataFrame, aliases: DataFrame,
-                    segment_size: int = SEGMENT_SIZE) -> DataFrame:
-    """C6 over staged entries (``comment_id`` ... ``comment``); 22 columns out."""
+                    segment_size: int = SEGMENT_SIZE, with_case_last_seq: bool = False) -> DataFrame:
+    """C6 over staged entries (``comment_id`` ... ``comment``); 22 columns out.
+
+    ``with_case_last_seq`` appends the case's highest seq as ``_case_last_seq``
+    (taken from the segment table, no extra pass), which lets the daily spine
+    tell single-segment cases from split ones.
+    """
     seq = F.col("comment_seq")
     e = with_entry_types(entries, types).withColumn(
         "_seg", F.floor(seq / F.lit(segment_size)).cast("int"))
@@ -96,6 +104,7 @@ def entry_lifecycle(entries: DataFrame, types: DataFrame, aliases: DataFrame,
         _flag(F.col("is_approver") & (seq == F.col("_max_seq_no_appr") + 1)).alias("is_final_approver"),
         _flag(seq == F.col("_last_seq")).alias("is_last_comment"),
         raw_next.alias("_raw_next"),
+        "_last_seq",
     )
 
     # Author aliases.
@@ -120,4 +129,5 @@ def entry_lifecycle(entries: DataFrame, types: DataFrame, aliases: DataFrame,
         TX.is_force_close_announce("comment").alias("is_force_close_announce"),
         TX.is_force_close("comment").alias("is_force_close"),
         "comment",
+        *([F.col("_last_seq").alias(CASE_LAST_SEQ)] if with_case_last_seq else []),
     )

@@ -25,27 +25,52 @@ _ADDITIVE = ["comment_count", "registered_count", "patch_planned_count", "close_
              "close_count_normal", "close_count_force", "force_close_notice_count"]
 
 
+def _month_sums(c, snap):
+    def ind(pred):
+        return F.when(pred, F.lit(1)).otherwise(F.lit(0))
+    return [
+        *[F.sum(x).alias(x) for x in _ELAPSED],
+        F.sum(ind(snap)).alias("month_end_active_count"),
+        *[F.sum(ind(snap & (c("ball_on") == s))).alias(f"month_end_active_count_{s}") for s in SIDES],
+        *[F.sum(x).alias(x) for x in _ADDITIVE],
+    ]
+
+
+def _snapshot(as_of: _dt.date):
+    c = F.col
+    return (c("date_id") == F.least(month_end("date_id"), lit_date(as_of))) & (c("close_count") == 0)
+
+
+def monthly_from_partitioned_daily(whole_daily: DataFrame, attrs: DataFrame, as_of: _dt.date) -> DataFrame:
+    """Monthly rows of single-segment cases straight from their partitioned
+    daily rows: hash aggregate per (case, segment, month) with no exchange,
+    last entry = highest seq (its attributes through the co-partitioned join)."""
+    from .spine import with_attributes
+    c = F.col
+    m = whole_daily.withColumn("month_id", month_start("date_id"))
+    agg = m.groupBy("incident_id", "_seg", "month_id").agg(
+        F.max("comment_seq").alias("comment_seq"), *_month_sums(c, _snapshot(as_of)))
+    return _monthly_select(with_attributes(agg, attrs))
+
+
+def _monthly_select(df: DataFrame) -> DataFrame:
+    return df.select(
+        "month_id",
+        joined(yyyymm("month_id"), F.col("incident_id")).alias("monthly_incident_id"),
+        "comment_id", "incident_id", "comment_seq", "comment_div", "comment_by", "comment_date",
+        "ball_on", *MONTHLY_COLUMNS[9:])
+
+
 def monthly_counts(daily: DataFrame, as_of: _dt.date) -> DataFrame:
     """The last daily row of the month (by entry seq, then day) gives the
     attributes; elapsed and event counts add up; month-end counts are taken on
     ``least(month_end, as_of)`` for cases not closed that day."""
     c = F.col
-    snap = (c("date_id") == F.least(month_end("date_id"), lit_date(as_of))) & (c("close_count") == 0)
-
-    def ind(pred):
-        return F.when(pred, F.lit(1)).otherwise(F.lit(0))
-
     m = daily.withColumn("month_id", month_start("date_id"))
     last = F.max_by(F.struct("comment_id", "comment_seq", "comment_div", "comment_by",
                              "comment_date", "ball_on"),
                     F.struct("comment_seq", "date_id"))
-    agg = m.groupBy("month_id", "incident_id").agg(
-        last.alias("_last"),
-        *[F.sum(x).alias(x) for x in _ELAPSED],
-        F.sum(ind(snap)).alias("month_end_active_count"),
-        *[F.sum(ind(snap & (c("ball_on") == s))).alias(f"month_end_active_count_{s}") for s in SIDES],
-        *[F.sum(x).alias(x) for x in _ADDITIVE],
-    )
+    agg = m.groupBy("month_id", "incident_id").agg(last.alias("_last"), *_month_sums(c, _snapshot(as_of)))
     return agg.select(
         "month_id",
         joined(yyyymm("month_id"), c("incident_id")).alias("monthly_incident_id"),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import lit_date, yyyymmdd
 from ..functions.keys import joined
+from .lifecycle import CASE_LAST_SEQ, SEGMENT_SIZE
 
 DAILY_COLUMNS = [
     "date_id", "daily_incident_id", "comment_id", "incident_id", "comment_seq",
@@ -29,24 +30,27 @@ COUNT_COLUMNS = DAILY_COLUMNS[9:]
 SIDES = ["dev", "field", "unknown"]
 
 
-def daily_spine(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date) -> DataFrame:
+def daily_spine(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date,
+                keep: list[str] | None = None, attributes: bool = True,
+                with_next: bool = False) -> DataFrame:
     """One row per (entry, day) the entry is current on, with the 0/1 indicators.
 
     ``calendar`` must be contiguous (as built by ``fiscal_calendar``); only its
-    first and last day are read, as scalar subqueries.
+    first and last day are read, as scalar subqueries.  ``attributes=False``
+    leaves the entry's text attributes out (only keys, seq and indicators).
     """
     bounds = calendar.select(F.struct(F.min("date_id").alias("lo"),
                                       F.max("date_id").alias("hi"))).scalar()
     cal_lo, cal_hi = bounds.getField("lo"), bounds.getField("hi")
     asof = lit_date(as_of)
     c = F.col
+    text_cols = ["comment_id", "comment_div", "comment_by", "ball_on"] if attributes else []
     base = (lifecycle.filter(~c("is_after_final_close"))
-            .select("comment_id", "incident_id", "comment_seq", "comment_div", "comment_by",
-                    "comment_date",
+            .select("incident_id", "comment_seq", "comment_date", *text_cols,
                     F.when(c("is_final_closer"), c("comment_date"))
                     .otherwise(c("next_comment_date")).alias("next_comment_date"),
-                    "ball_on", "is_final_closer", "is_patch_planned",
-                    "is_force_close_announce", "is_force_close"))
+                    F.col("ball_on").alias("_side"), "is_final_closer", "is_patch_planned",
+                    "is_force_close_announce", "is_force_close", *(keep or [])))
     lo = F.greatest(c("comment_date"), cal_lo)
     hi = F.least(F.coalesce(c("next_comment_date"), asof), asof, cal_hi)
     ok = c("comment_date").isNotNull() & cal_lo.isNotNull() & (lo <= hi)
@@ -59,10 +63,10 @@ def daily_spine(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date) -> D
 
     elapsed = d != n
     return spine.select(
-        "date_id", "comment_id", "incident_id", "comment_seq", "comment_div", "comment_by",
-        "comment_date", "ball_on",
+        "date_id", "incident_id", "comment_seq", *text_cols,
+        *(["comment_date"] if attributes else []),
         ind(elapsed).alias("elapsed_days"),
-        *[ind(elapsed & (c("ball_on") == s)).alias(f"elapsed_days_on_{s}") for s in SIDES],
+        *[ind(elapsed & (c("_side") == s)).alias(f"elapsed_days_on_{s}") for s in SIDES],
         ind(on_day).alias("comment_count"),
         ind(on_day & (c("comment_seq") == 0)).alias("registered_count"),
         ind(on_day & c("is_patch_planned")).alias("patch_planned_count"),
@@ -70,25 +74,105 @@ def daily_spine(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date) -> D
         ind(on_day & c("is_final_closer") & ~c("is_force_close")).alias("close_count_normal"),
         ind(on_day & c("is_force_close")).alias("close_count_force"),
         ind(on_day & c("is_force_close_announce")).alias("force_close_notice_count"),
+        *(["next_comment_date"] if with_next else []),
+        *(keep or []),
     )
 
 
-def daily_counts(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date) -> DataFrame:
-    """One row per (day, case); last-entry attributes + 11 day sums."""
-    spine = daily_spine(lifecycle, calendar, as_of)
-    last = F.max_by(F.struct("comment_id", "comment_seq", "comment_div", "comment_by",
-                             "comment_date", "ball_on"), F.col("comment_seq"))
-    agg = spine.groupBy("date_id", "incident_id").agg(
-        last.alias("_last"), *[F.sum(x).alias(x) for x in COUNT_COLUMNS])
-    return agg.select(
+ATTR_COLUMNS = ["comment_id", "comment_div", "comment_by", "comment_date", "ball_on"]
+
+
+def _daily_select(df: DataFrame) -> DataFrame:
+    return df.select(
         "date_id",
         joined(yyyymmdd("date_id"), F.col("incident_id")).alias("daily_incident_id"),
-        F.col("_last.comment_id").alias("comment_id"),
-        "incident_id",
-        F.col("_last.comment_seq").alias("comment_seq"),
-        F.col("_last.comment_div").alias("comment_div"),
-        F.col("_last.comment_by").alias("comment_by"),
-        F.col("_last.comment_date").alias("comment_date"),
-        F.col("_last.ball_on").alias("ball_on"),
-        *COUNT_COLUMNS,
-    )
+        "comment_id", "incident_id", "comment_seq", "comment_div", "comment_by", "comment_date",
+        "ball_on", *COUNT_COLUMNS)
+
+
+def _merged_daily(spine: DataFrame) -> DataFrame:
+    """Generic (day, case) rollup: partial + final, last entry by ``max_by``."""
+    attrs = F.struct("comment_id", "comment_seq", "comment_div", "comment_by", "comment_date", "ball_on")
+    agg = spine.groupBy("date_id", "incident_id").agg(
+        F.max_by(attrs, F.col("comment_seq")).alias("_last"), *[F.sum(x).alias(x) for x in COUNT_COLUMNS])
+    return agg.select("date_id", "incident_id", *[F.col(f"_last.{a}").alias(a) for a in
+                                                  ["comment_id", "comment_seq", "comment_div", "comment_by",
+                                                   "comment_date", "ball_on"]], *COUNT_COLUMNS)
+
+
+def partitioned_lifecycle(lifecycle: DataFrame, segment_size: int = SEGMENT_SIZE) -> DataFrame:
+    """Entry rows hash-partitioned by (case, seq segment), with ``_split`` =
+    the case spans more than one segment (every case without
+    ``_case_last_seq`` counts as split)."""
+    c = F.col
+    seg = F.floor(c("comment_seq") / F.lit(segment_size)).cast("int")
+    split = (c(CASE_LAST_SEQ) >= segment_size) if CASE_LAST_SEQ in lifecycle.columns else F.lit(True)
+    return (lifecycle.withColumn("_seg", seg)
+            .withColumn("_split", F.coalesce(split, F.lit(True)))
+            .repartition("incident_id", "_seg"))
+
+
+def entry_attributes(lc_part: DataFrame) -> DataFrame:
+    """Attributes keyed by (case, segment, seq), on the same partitioning; the
+    shuffled-hash hint keeps the lookups co-partitioned and sort-free."""
+    return lc_part.select(F.col("incident_id").alias("_a_case"), F.col("_seg").alias("_a_seg"),
+                          F.col("comment_seq").alias("_a_seq"), *ATTR_COLUMNS).hint("shuffle_hash")
+
+
+def with_attributes(df: DataFrame, attrs: DataFrame) -> DataFrame:
+    j = df.join(attrs, (df["incident_id"] == attrs["_a_case"]) & (df["_seg"] == attrs["_a_seg"])
+                & (df["comment_seq"] == attrs["_a_seq"]), "inner")
+    return j.drop("_a_case", "_a_seg", "_a_seq")
+
+
+def daily_parts(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date,
+                segment_size: int = SEGMENT_SIZE) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(whole, merged, attributes).
+
+    ``whole``: (day, case) rows of single-segment cases, still partitioned by
+    (case, segment) and carrying ``_seg``.  ``merged``: rows of split cases,
+    merged across segments.  Only entry rows are shuffled; days are exploded
+    after the shuffle.  Days that only one entry can cover (inside an entry's
+    interval, in a case whose dates never fall) are emitted as they are; the
+    rest are summed with a hash aggregate where they lie (the grouping keys
+    contain the partitioning keys, so no exchange).  The last entry of a day
+    is its highest seq; its attributes come from a co-partitioned hash join,
+    so spine rows are never sorted.
+    """
+    c = F.col
+    lc = partitioned_lifecycle(lifecycle, segment_size)
+    attrs = entry_attributes(lc)
+    whole_lc = lc.filter(~c("_split"))
+    # A case whose dates never fall as seq rises (and none is missing) has
+    # intervals that touch only at their end days: every day strictly inside
+    # an entry's interval belongs to that entry alone.
+    chain_ok = c("is_last_comment") | (c("next_comment_date").isNotNull()
+                                       & (c("next_comment_date") >= c("comment_date")))
+    chains = (whole_lc.groupBy(F.col("incident_id").alias("_c_case"), F.col("_seg").alias("_c_seg"))
+              .agg(F.bool_and(F.coalesce(chain_ok, F.lit(False))).alias("_chain")).hint("shuffle_hash"))
+    whole_lc = whole_lc.join(chains, (whole_lc["incident_id"] == chains["_c_case"])
+                             & (whole_lc["_seg"] == chains["_c_seg"]), "inner").drop("_c_case", "_c_seg")
+    spine = daily_spine(whole_lc, calendar, as_of, keep=["_seg", "_chain"], with_next=True)
+    endpoint = (c("date_id") == c("comment_date")) | F.coalesce(c("date_id") == c("next_comment_date"), F.lit(False))
+    alone = c("_chain") & ~endpoint
+    single = spine.filter(alone).select(
+        "date_id", "incident_id", "_seg", "comment_seq", *ATTR_COLUMNS,
+        *[F.col(x).cast("bigint").alias(x) for x in COUNT_COLUMNS])
+    shared = spine.filter(~alone)
+    num = shared.groupBy("incident_id", "_seg", "date_id").agg(
+        F.max("comment_seq").alias("comment_seq"), *[F.sum(x).alias(x) for x in COUNT_COLUMNS])
+    whole = single.unionByName(with_attributes(num, attrs))
+    merged = _merged_daily(daily_spine(lc.filter(c("_split")), calendar, as_of))
+    return whole, merged, attrs
+
+
+def daily_counts(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date,
+                 segment_size: int = SEGMENT_SIZE) -> DataFrame:
+    """One row per (day, case); last-entry attributes + 11 day sums.
+
+    Pass the lifecycle with ``_case_last_seq`` (``entry_lifecycle(...,
+    with_case_last_seq=True)``) for the co-partitioned path; without it every
+    case goes through the generic partial + final aggregate.
+    """
+    whole, merged, _ = daily_parts(lifecycle, calendar, as_of, segment_size)
+    return _daily_select(whole).unionByName(_daily_select(merged))

@@ -30,7 +30,8 @@ def _layer(adapter: str, layer: str) -> QueryFn:
                 return direct_close_entries(keyed, cases, inp.types)
             return cases if layer == "stg_cases" else entries
         # stage tables for layers read more than once by this query's plan
-        tables = {"calendar": (), "mart_monthly": ("stg_entries", "lifecycle")}.get(layer, ("stg_entries",))
+        tables = {"calendar": (), "lifecycle": ("stg_entries",), "rollup": ("stg_entries",),
+                  "active": ("stg_entries",)}.get(layer, ("stg_entries", "lifecycle"))
         wh = build(inp, tables=tables)
         return {"lifecycle": wh.lifecycle, "rollup": wh.rollup, "calendar": wh.calendar,
                 "daily": wh.daily, "monthly": wh.monthly, "active": wh.active,

@@ -15,11 +15,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from ..operators.calendar import fiscal_calendar
-from ..operators.lifecycle import entry_lifecycle
+from ..operators.lifecycle import LIFECYCLE_COLUMNS, SEGMENT_SIZE, entry_lifecycle
 from ..operators.marts import MART_SCOPE_YEARS, active_cases, mart_monthly
-from ..operators.monthly import monthly_counts
+from ..operators.monthly import monthly_counts, monthly_from_partitioned_daily
 from ..operators.rollup import case_rollup
-from ..operators.spine import daily_counts
+from ..operators.spine import _daily_select, daily_parts
 from ..operators.staging import stage_cases, stage_entries
 from ..operators.common import small_side
 from ..sources.files import materialize, shared_dir
@@ -87,6 +87,18 @@ SHARED_LAYERS = ("stg_entries",)
 ALL_TABLE_LAYERS = ("stg_cases", "stg_entries", "lifecycle", "rollup", "calendar", "daily", "monthly")
 
 
+def daily_and_monthly(lifecycle_x: DataFrame, calendar: DataFrame, as_of,
+                      segment_size: int = SEGMENT_SIZE) -> tuple[DataFrame, DataFrame]:
+    """C9 + C10 sharing one (case, segment) partitioning of the entry rows:
+    single-segment cases go day -> month without another exchange; split
+    cases take the generic merge path."""
+    whole, merged, attrs = daily_parts(lifecycle_x, calendar, as_of, segment_size)
+    daily = _daily_select(whole).unionByName(_daily_select(merged))
+    monthly = monthly_from_partitioned_daily(whole, attrs, as_of).unionByName(
+        monthly_counts(_daily_select(merged), as_of))
+    return daily, monthly
+
+
 def build(inp: Inputs, scope_years: int = MART_SCOPE_YEARS, tables: tuple[str, ...] = SHARED_LAYERS,
           run_id: str | None = None) -> Warehouse:
     """Lazy warehouse; layers named in ``tables`` are written as Parquet tables
@@ -102,10 +114,11 @@ def build(inp: Inputs, scope_years: int = MART_SCOPE_YEARS, tables: tuple[str, .
 
     cases, entries = staged(inp)
     cases, entries = keep(cases, "stg_cases"), keep(entries, "stg_entries")
-    lifecycle = keep(entry_lifecycle(entries, inp.types, inp.aliases), "lifecycle")
+    lifecycle_x = keep(entry_lifecycle(entries, inp.types, inp.aliases, with_case_last_seq=True), "lifecycle")
+    lifecycle = lifecycle_x.select(*LIFECYCLE_COLUMNS)
     rollup = keep(case_rollup(cases, lifecycle, inp.aliases, inp.members), "rollup")
     calendar = keep(fiscal_calendar(cases, inp.as_of), "calendar")
-    daily = keep(daily_counts(lifecycle, calendar, inp.as_of), "daily")
-    monthly = keep(monthly_counts(daily, inp.as_of), "monthly")
+    daily, monthly = daily_and_monthly(lifecycle_x, calendar, inp.as_of)
+    daily, monthly = keep(daily, "daily"), keep(monthly, "monthly")
     return Warehouse(cases, entries, lifecycle, rollup, calendar, daily, monthly,
                      active_cases(rollup), mart_monthly(monthly, rollup, inp.as_of, scope_years))
