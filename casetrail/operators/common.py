@@ -21,3 +21,11 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     out = F.broadcast(df) if n <= max_rows else df
     out._casetrail_checked = n <= max_rows  # checked once; operators reuse the verdict
     return out
+
+
+def known_small(df: DataFrame, n_rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Like :func:`small_side` for a frame whose row count is already known
+    (e.g. built from a local list): no counting job is needed."""
+    out = F.broadcast(df) if n_rows <= max_rows else df
+    out._casetrail_checked = n_rows <= max_rows
+    return out

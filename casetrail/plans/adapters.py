@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.schemas import ALIASES, CASE_COLUMNS, ENTRY_TYPES, MEMBERS, spark_type
+from ..operators.common import known_small
 from .warehouse import Inputs
 
 EVENTS_AS_OF = _dt.date(2024, 2, 15)
@@ -58,9 +59,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def masters(spark: SparkSession, types: Sequence[tuple], aliases: Sequence[tuple]):
-    return (spark.createDataFrame(list(types), ENTRY_TYPES),
-            spark.createDataFrame(list(aliases), ALIASES),
-            spark.createDataFrame([(n,) for n in MEMBER_NAMES], MEMBERS))
+    """The fixed masters as frames; their row counts are known, so they are
+    marked broadcastable without a counting job."""
+    return (known_small(spark.createDataFrame(list(types), ENTRY_TYPES), len(types)),
+            known_small(spark.createDataFrame(list(aliases), ALIASES), len(aliases)),
+            known_small(spark.createDataFrame([(n,) for n in MEMBER_NAMES], MEMBERS), len(MEMBER_NAMES)))
 
 
 def seq_within_case(df: DataFrame, case_col: str, day_col: str, order: Sequence[Column]) -> DataFrame:
