@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -61,17 +62,72 @@ class Inputs:
         return self
 
 
-@dataclass
 class Warehouse:
-    cases: DataFrame
-    entries: DataFrame
-    lifecycle: DataFrame
-    rollup: DataFrame
-    calendar: DataFrame
-    daily: DataFrame
-    monthly: DataFrame
-    active: DataFrame
-    mart_monthly: DataFrame
+    """All layers of one build; each is planned on first access only, and the
+    layers named in ``tables`` are stored (Parquet in the shared folder) when
+    first reached."""
+
+    def __init__(self, inp: Inputs, scope_years: int, tables: tuple[str, ...], run_id: str):
+        self.inp, self.scope_years, self.tables, self.run_id = inp, scope_years, tables, run_id
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        if name not in self.tables:
+            return df
+        spark = df.sparkSession
+        loc = f"{shared_dir(spark).rstrip('/')}/casetrail/{self.run_id}/{name}"
+        return materialize(df, f"ct_{self.run_id}_{name}", "table", location=loc)
+
+    @cached_property
+    def _staged(self) -> tuple[DataFrame, DataFrame]:
+        cases, entries = staged(self.inp)
+        return self._keep(cases, "stg_cases"), self._keep(entries, "stg_entries")
+
+    @property
+    def cases(self) -> DataFrame:
+        return self._staged[0]
+
+    @property
+    def entries(self) -> DataFrame:
+        return self._staged[1]
+
+    @cached_property
+    def lifecycle_x(self) -> DataFrame:
+        """Lifecycle plus the internal ``_case_last_seq`` column."""
+        lc = entry_lifecycle(self.entries, self.inp.types, self.inp.aliases, with_case_last_seq=True)
+        return self._keep(lc, "lifecycle")
+
+    @cached_property
+    def lifecycle(self) -> DataFrame:
+        return self.lifecycle_x.select(*LIFECYCLE_COLUMNS)
+
+    @cached_property
+    def rollup(self) -> DataFrame:
+        return self._keep(case_rollup(self.cases, self.lifecycle, self.inp.aliases, self.inp.members), "rollup")
+
+    @cached_property
+    def calendar(self) -> DataFrame:
+        return self._keep(fiscal_calendar(self.cases, self.inp.as_of), "calendar")
+
+    @cached_property
+    def _counts(self) -> tuple[DataFrame, DataFrame]:
+        daily, monthly = daily_and_monthly(self.lifecycle_x, self.calendar, self.inp.as_of)
+        return self._keep(daily, "daily"), self._keep(monthly, "monthly")
+
+    @property
+    def daily(self) -> DataFrame:
+        return self._counts[0]
+
+    @property
+    def monthly(self) -> DataFrame:
+        return self._counts[1]
+
+    @cached_property
+    def active(self) -> DataFrame:
+        return active_cases(self.rollup)
+
+    @cached_property
+    def mart_monthly(self) -> DataFrame:
+        return mart_monthly(self.monthly, self.rollup, self.inp.as_of, self.scope_years)
 
 
 def staged(inp: Inputs) -> tuple[DataFrame, DataFrame]:
@@ -101,24 +157,7 @@ def daily_and_monthly(lifecycle_x: DataFrame, calendar: DataFrame, as_of,
 
 def build(inp: Inputs, scope_years: int = MART_SCOPE_YEARS, tables: tuple[str, ...] = SHARED_LAYERS,
           run_id: str | None = None) -> Warehouse:
-    """Lazy warehouse; layers named in ``tables`` are written as Parquet tables
-    under ``spark.checkpoint.dir`` (eagerly) and read back."""
-    spark = inp.cases.sparkSession
-    rid = run_id or uuid.uuid4().hex[:12]
-
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        if name not in tables:
-            return df
-        loc = f"{shared_dir(spark).rstrip('/')}/casetrail/{rid}/{name}"
-        return materialize(df, f"ct_{rid}_{name}", "table", location=loc)
-
-    cases, entries = staged(inp)
-    cases, entries = keep(cases, "stg_cases"), keep(entries, "stg_entries")
-    lifecycle_x = keep(entry_lifecycle(entries, inp.types, inp.aliases, with_case_last_seq=True), "lifecycle")
-    lifecycle = lifecycle_x.select(*LIFECYCLE_COLUMNS)
-    rollup = keep(case_rollup(cases, lifecycle, inp.aliases, inp.members), "rollup")
-    calendar = keep(fiscal_calendar(cases, inp.as_of), "calendar")
-    daily, monthly = daily_and_monthly(lifecycle_x, calendar, inp.as_of)
-    daily, monthly = keep(daily, "daily"), keep(monthly, "monthly")
-    return Warehouse(cases, entries, lifecycle, rollup, calendar, daily, monthly,
-                     active_cases(rollup), mart_monthly(monthly, rollup, inp.as_of, scope_years))
+    """The warehouse over ``inp``; layers are planned lazily, and those named in
+    ``tables`` are written as Parquet tables under ``spark.checkpoint.dir`` when
+    first reached (use ``ALL_TABLE_LAYERS`` for a full stored build)."""
+    return Warehouse(inp, scope_years, tuple(tables), run_id or uuid.uuid4().hex[:12])
