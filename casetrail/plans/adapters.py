@@ -169,7 +169,8 @@ def _slash_date(days: Column) -> Column:
     return F.date_format(F.date_add(F.lit(HISTORY_EPOCH), days.cast("int")), "yyyy/M/d")
 
 
-def conversation_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
+def conversation_histories(spark: SparkSession, sf_dir: str, meta_days: Column | None = None,
+                           meta_format: str = "yyyy/M/d", reg_days: Column | None = None) -> DataFrame:
     """Adapter T: one history cell per conversation turn.
 
     Every sentence-ending line (``.`` before a newline) and the end of the text
@@ -178,14 +179,51 @@ def conversation_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
     ones are cut at ten characters by the splitter, as upstream.
     """
     c = table(spark, sf_dir, "conversations")
+    days = F.col("turn") if meta_days is None else meta_days
+    meta_date = F.date_format(F.date_add(F.lit(HISTORY_EPOCH), days.cast("int")), meta_format)
     meta = F.concat(F.lit("("), F.col("role"), F.lit(":Team)"), F.col("role"), F.lit(" "),
-                    _slash_date(F.col("turn")), F.lit(")"))
+                    meta_date, F.lit(")"))
     history = F.concat(F.regexp_replace(F.col("text"), F.lit("\\.\n"), F.concat(F.lit("."), meta, F.lit("\n"))),
                        meta)
     return c.select(
         F.format_string("CV-%06d-%04d", F.col("conv_id"), F.col("turn")).alias("incident_id"),
         F.col("role").alias("registered_by"),
-        _slash_date(F.col("conv_id")).alias("registered_date"),
+        _slash_date(F.col("conv_id") if reg_days is None else reg_days).alias("registered_date"),
         F.format_string("%s turn %d", F.col("role"), F.col("turn")).alias("description"),
         history.alias("comment_history"),
     )
+
+
+# Conversation warehouse: a case per turn row, registered HISTORY_EPOCH + turn,
+# entries from its history dated two days later (zero-padded), as of 2024-02-15.
+CONVERSATIONS_AS_OF = _dt.date(2024, 2, 15)
+CONVERSATION_TYPES = [
+    ("新規登録", "dev", False, False, False, False),
+    ("user", "field", False, False, False, True),
+    ("assistant", "dev", True, False, False, True),
+]
+CONVERSATION_ALIASES = [("Team)user", "Team)customer")]
+
+
+def conversation_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    """Adapter T as a whole warehouse: history text -> split -> typed."""
+    from ..operators.history import split_history
+    from ..sources.layout import typed_projection
+    from ..sources.schemas import ENTRY_COLUMNS
+    from ..functions.dates import try_date
+    hist = conversation_histories(spark, sf_dir, meta_days=F.col("turn") + 2, meta_format="yyyy/MM/dd",
+                                  reg_days=F.col("turn"))
+    entries = typed_projection(split_history(hist), ENTRY_COLUMNS)
+    reg = try_date("registered_date")
+    cases = typed_cases(hist, {
+        "incident_id": F.col("incident_id"),
+        "title": F.col("description"),
+        "registered_by": F.col("registered_by"),
+        "registered_date": reg,
+        "description": F.col("description"),
+        "assigned_to": F.when(F.col("registered_by") == "user", F.lit("DWHUser0003")),
+        "close_date": F.when(F.col("registered_by") == "user", F.date_add(reg, 30)),
+        "comment_history": F.col("comment_history"),
+    })
+    types, aliases, members = masters(spark, CONVERSATION_TYPES, CONVERSATION_ALIASES)
+    return Inputs(cases, entries, types, aliases, members, CONVERSATIONS_AS_OF)

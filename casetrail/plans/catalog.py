@@ -16,7 +16,7 @@ from ..operators.staging import direct_close_entries
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
-_INPUTS = {"events": A.event_inputs, "orders": A.order_inputs}
+_INPUTS = {"events": A.event_inputs, "orders": A.order_inputs, "conversations": A.conversation_inputs}
 
 
 def _layer(adapter: str, layer: str) -> QueryFn:
@@ -60,6 +60,11 @@ _WAREHOUSE_QUERIES = [
     ("daily_counts_orders", "orders", "daily"),
     ("monthly_counts_orders", "orders", "monthly"),
     ("mart_monthly_orders", "orders", "mart_monthly"),
+    ("stage_entries_conversations", "conversations", "stg_entries"),
+    ("entry_lifecycle_conversations", "conversations", "lifecycle"),
+    ("case_rollup_conversations", "conversations", "rollup"),
+    ("daily_counts_conversations", "conversations", "daily"),
+    ("monthly_counts_conversations", "conversations", "monthly"),
 ]
 
 
