@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+import warnings
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -74,7 +75,13 @@ class Warehouse:
         if name not in self.tables:
             return df
         spark = df.sparkSession
-        loc = f"{shared_dir(spark).rstrip('/')}/casetrail/{self.run_id}/{name}"
+        try:
+            root = shared_dir(spark)
+        except RuntimeError:
+            # no shared folder configured: stay lazy (same result, recomputed)
+            warnings.warn(f"spark.checkpoint.dir unset; layer {name!r} is not stored")
+            return df
+        loc = f"{root.rstrip('/')}/casetrail/{self.run_id}/{name}"
         return materialize(df, f"ct_{self.run_id}_{name}", "table", location=loc)
 
     @cached_property
