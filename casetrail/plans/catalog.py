@@ -33,9 +33,7 @@ def _layer(adapter: str, layer: str) -> QueryFn:
         tables = {"calendar": (), "lifecycle": ("stg_entries",), "rollup": ("stg_entries",),
                   "active": ("stg_entries",)}.get(layer, ("stg_entries", "lifecycle"))
         wh = build(inp, tables=tables)
-        return {"lifecycle": wh.lifecycle, "rollup": wh.rollup, "calendar": wh.calendar,
-                "daily": wh.daily, "monthly": wh.monthly, "active": wh.active,
-                "mart_monthly": wh.mart_monthly}[layer]
+        return getattr(wh, layer)  # only this layer (and what it needs) is planned
     run.__name__ = f"{layer}_{adapter}"
     return run
 
