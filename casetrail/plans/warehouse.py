@@ -71,6 +71,22 @@ class Warehouse:
     def __init__(self, inp: Inputs, scope_years: int, tables: tuple[str, ...], run_id: str):
         self.inp, self.scope_years, self.tables, self.run_id = inp, scope_years, tables, run_id
 
+    def stored_root(self, spark) -> str | None:
+        try:
+            return f"{shared_dir(spark).rstrip('/')}/casetrail/{self.run_id}"
+        except RuntimeError:
+            return None
+
+    def drop_tables(self) -> None:
+        """Delete this build's stored layers (call when the results are consumed)."""
+        spark = self.inp.cases.sparkSession
+        root = self.stored_root(spark)
+        if root is None:
+            return
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
         if name not in self.tables:
             return df

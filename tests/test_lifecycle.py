@@ -191,3 +191,18 @@ def test_stage_entries_then_lifecycle_direct_close_is_final(spark):
     lc = {r.comment_seq: r for r in entry_lifecycle(st, types_df(spark, TYPES), aliases_df(spark, [])).collect()}
     assert lc[1].comment_div == "others" and lc[1].ball_on == "unknown"  # type absent from this master
     assert not lc[1].is_final_closer
+
+
+def test_stored_layers_live_in_shared_folder_and_can_be_dropped(spark):
+    import os
+    from casetrail.plans.adapters import event_inputs
+    from casetrail.plans.warehouse import ALL_TABLE_LAYERS, build
+    wh = build(event_inputs(spark, "/root/testdata/sf0.001"), tables=ALL_TABLE_LAYERS)
+    n = wh.mart_monthly.count()
+    root = wh.stored_root(spark)
+    assert root.startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
+    local = root.replace("file:", "")
+    assert {"stg_entries", "lifecycle", "daily", "monthly", "rollup"} <= set(os.listdir(local))
+    assert n == wh.mart_monthly.count()
+    wh.drop_tables()
+    assert not os.path.exists(local)
