@@ -206,3 +206,22 @@ def test_stored_layers_live_in_shared_folder_and_can_be_dropped(spark):
     assert n == wh.mart_monthly.count()
     wh.drop_tables()
     assert not os.path.exists(local)
+
+
+def test_n6_force_close_wording_without_final_close(spark):
+    force = "ご連絡がなかったため\nクローズします。新規QA登録をお願いします"
+    lc = lc_rows(spark, [("A", 0, "register", "u", "2024-03-01", "t"), ("A", 1, "answer", "u", "2024-03-02", force),
+                         ("A", 2, "request", "u", "2024-03-03", "t")])
+    r = {x.comment_seq: x for x in lc.collect()}
+    assert r[1].is_force_close and not r[1].is_final_closer
+    cases = cases_df(spark, [{"incident_id": "A", "registered_date": "2024-03-01"}])
+    day = {x.date_id: x for x in daily_counts(lc, fiscal_calendar(cases, AS_OF), AS_OF).collect()}[D("2024-03-02")]
+    assert (day.close_count, day.close_count_normal, day.close_count_force) == (0, 0, 1)
+
+
+def test_n12_registration_is_seq_zero(spark):
+    lc = lc_rows(spark, [("A", 0, "register", "u", "2024-03-01", "t"), ("B", 1, "register", "u", "2024-03-01", "t")])
+    cases = cases_df(spark, [{"incident_id": x, "registered_date": "2024-03-01"} for x in ("A", "B")])
+    day = {x.incident_id: x.registered_count
+           for x in daily_counts(lc, fiscal_calendar(cases, AS_OF), AS_OF).collect() if x.date_id == D("2024-03-01")}
+    assert day == {"A": 1, "B": 0}
