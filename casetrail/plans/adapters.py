@@ -66,25 +66,51 @@ def masters(spark: SparkSession, types: Sequence[tuple], aliases: Sequence[tuple
             known_small(spark.createDataFrame([(n,) for n in MEMBER_NAMES], MEMBERS), len(MEMBER_NAMES)))
 
 
-def seq_within_case(df: DataFrame, case_col: str, day_col: str, order: Sequence[Column]) -> DataFrame:
-    """Dense 0-based rank per case, ordered by ``day_col`` then ``order``.
-
-    Ranking a whole case in one window would put a hot case into one task.
-    Instead rows are ranked within (case, day), and each day gets the count of
-    the case's earlier rows from a window over the per-(case, day) count table,
-    which holds one row per day of the case.  NULL days sort last (SQL default).
+# Largest (case, day) group ranked in one window task; above it the rank
+# switches to range partitions.
+RANK_GROUP_MAX_ROWS = 2_000_000
+
+
+def seq_within_case(df: DataFrame, case_col: str, day_col: str, order: Sequence[Column],
+                    group_max_rows: int = RANK_GROUP_MAX_ROWS) -> DataFrame:
+    """Dense 0-based rank per case, ordered by ``day_col`` then ``order``
+    (NULLs last, as in SQL), without ever ranking a whole case in one task.
+
+    Rows are ranked within a group and offset by the case's rows in earlier
+    groups (a window over the small per-(case, group) count table).  The group
+    is (case, day) when the largest such group is proven (one small
+    pre-aggregated job) to hold at most ``group_max_rows`` rows.  Otherwise
+    rows are range-partitioned on (case, day, order...), so even one hot day of
+    one case spreads over consecutive partitions.  The partition id is then
+    written down with the rows by a reliable ``checkpoint()`` in the shared
+    ``spark.checkpoint.dir`` (range-partitioner sampling is seeded per RDD, so
+    two unshared readers of one range shuffle could disagree), and the group is
+    (case, partition).
     """
-    local = F.row_number().over(Window.partitionBy(case_col, day_col).orderBy(*order)) - 1
-    counts = df.groupBy(case_col, day_col).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(case_col).orderBy(F.col(day_col).asc_nulls_last()) \
+    spark = df.sparkSession
+    keys = [F.col(day_col).asc_nulls_last(), *order]
+    day_counts = df.groupBy(case_col, day_col).agg(F.count(F.lit(1)).alias("_n"))
+    biggest = day_counts.agg(F.max("_n")).first()[0] or 0
+    if biggest > group_max_rows and spark.sparkContext.getCheckpointDir():
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        part = (df.repartitionByRange(n, F.col(case_col).asc_nulls_last(), *keys)
+                .withColumn("_part", F.spark_partition_id())
+                .checkpoint(eager=True))
+        group, in_group = "_part", keys
+        counts = part.groupBy(case_col, group).agg(F.count(F.lit(1)).alias("_n"))
+    else:
+        part, group, in_group, counts = df, day_col, list(order), day_counts
+    local = F.row_number().over(Window.partitionBy(case_col, group).orderBy(*in_group)) - 1
+    before = Window.partitionBy(case_col).orderBy(F.col(group).asc_nulls_last()) \
         .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(F.col(case_col).alias("_o_case"), F.col(day_col).alias("_o_day"),
+    offsets = counts.select(F.col(case_col).alias("_o_case"), F.col(group).alias("_o_group"),
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    ranked = df.withColumn("_local", local)
+    ranked = part.withColumn("_local", local)
     j = ranked.join(offsets, ranked[case_col].eqNullSafe(offsets["_o_case"])
-                    & ranked[day_col].eqNullSafe(offsets["_o_day"]), "inner")
-    return j.withColumn("comment_seq", (F.col("_off") + F.col("_local")).cast("int")) \
-        .drop("_o_case", "_o_day", "_off", "_local")
+                    & ranked[group].eqNullSafe(offsets["_o_group"]), "inner")
+    out = j.withColumn("comment_seq", (F.col("_off") + F.col("_local")).cast("int")) \
+        .drop("_o_case", "_o_group", "_off", "_local")
+    return out.drop("_part") if group == "_part" else out
 
 
 def typed_cases(df: DataFrame, given: dict[str, Column]) -> DataFrame:

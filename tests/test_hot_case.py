@@ -24,7 +24,8 @@ def test_one_hot_case_spans_segments(spark):
     assert n > (1 << 16)  # more entries than one segment holds
     hot = ev.select(F.lit("HOT").alias("incident_id"), "ts", "event_id", "event_type", "props",
                     F.to_date("ts").alias("_day"))
-    ranked = seq_within_case(hot, "incident_id", "_day", [F.col("ts"), F.col("event_id")])
+    # group_max_rows below the hot day's size forces the range-partitioned rank
+    ranked = seq_within_case(hot, "incident_id", "_day", [F.col("ts"), F.col("event_id")], group_max_rows=1000)
     entries = ranked.select(
         entry_id("incident_id", "comment_seq").alias("comment_id"), "incident_id", "comment_seq",
         F.col("event_type").alias("comment_div"), F.lit("u").alias("comment_by"),
@@ -32,6 +33,8 @@ def test_one_hot_case_spans_segments(spark):
     p = os.path.join(spark.conf.get("spark.checkpoint.dir"), f"hot-{os.getpid()}")
     entries.write.mode("overwrite").parquet(p)
     entries = spark.read.parquet(p)
+    seqs = entries.agg(F.min("comment_seq"), F.max("comment_seq"), F.countDistinct("comment_seq")).first()
+    assert tuple(seqs) == (0, n - 1, n)  # dense ranks although the case spans many range partitions
     types, aliases, _ = masters(spark, EVENT_TYPES, EVENT_ALIASES)
 
     split = entry_lifecycle(entries, types, aliases, with_case_last_seq=True)
