@@ -28,3 +28,15 @@ def test_read_export_cp932_two_batches_one_header(spark, tmp_out):
     got = sorted(tuple(r) for r in df.collect())
     assert df.columns == ["管理NO", "内容"]
     assert got == [("SMPL-000001", "髙橋①\n二行目"), ("SMPL-000002", "b"), ("SMPL-000003", "c")]
+
+
+def test_materialize_view_and_table(spark):
+    import uuid
+    from casetrail.sources.files import materialize
+    df = spark.range(5).withColumnRenamed("id", "k")
+    v = materialize(df, "ct_test_view", "view")
+    assert spark.table("ct_test_view").count() == 5 and v is df
+    name = f"ct_test_{uuid.uuid4().hex[:8]}"
+    t = materialize(df, name, "table")
+    assert sorted(r.k for r in t.collect()) == list(range(5))
+    assert spark.conf.get("spark.checkpoint.dir").rstrip("/") in t.inputFiles()[0]
