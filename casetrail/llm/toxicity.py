@@ -1,8 +1,8 @@
 """Toxicity: non-negative positive-unlabelled learning.
 
-Confirmed toxic documents are the positives; everything else in the training
-folds, labelled or not, is unlabelled text in which a share ``prior`` is taken
-to be toxic.  The classifiers are linear over hashed words (present or not) and
+Confirmed toxic documents are the positives.  The unlabelled text is drawn from
+all documents of the training folds, whatever their labels, so that a share
+``prior`` of it is toxic.  The classifiers are linear over hashed words (present or not) and
 minimise the risk
 
     prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives))
@@ -38,7 +38,8 @@ from .word_cache import WordCache, worker_cache
 
 FEATURES, FOLDS, CLASSIFIERS = 1 << 18, 5, 3
 MAX_POSITIVE, MAX_UNLABELLED = 3000, 12000
-STEPS, RATE, DECAY, MIN_DOCS = 120, 0.1, 1e-3, 3
+STEPS, RATE, DECAY = 200, 0.1, 1e-4
+MIN_DOCS, MIN_Z, MIN_FEATURES = 3, 6.0, 32
 
 _word = re.compile(r"\w+")
 
@@ -108,15 +109,25 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_co
     # the ids are chosen by narrow rows; only the chosen texts are fetched
     ids = (lab.filter("_toxic = 1").select("_id").join(d.select("_id").distinct(), "_id", "left_semi")
            .orderBy(order, "_id").limit(max_positive).withColumn("_kind", F.lit(1)))
-    some = (d.select("_id").join(lab.filter("_toxic = 1").select("_id"), "_id", "left_anti").distinct()
-            .orderBy(order, "_id").limit(max_unlabelled).withColumn("_kind", F.lit(0)))
+    some = (d.select("_id").distinct().orderBy(order, "_id").limit(max_unlabelled).withColumn("_kind", F.lit(0)))
     chosen = F.broadcast(ids.unionByName(some))  # at most max_positive + max_unlabelled rows
     texts = d.join(chosen, "_id").select("_kind", "_id", "_text").dropDuplicates(["_kind", "_id"])
-    # the unlabelled set holds toxic documents at the prior, as any text does: those not confirmed and a share of those that are
     rows = sorted((r["_kind"], r["_id"], r["_text"]) for r in texts.toLocalIterator())
     return [t for k, _, t in rows if k], [t for k, _, t in rows if not k], (toxic or 0) / n if n else 0.0
 
 
+def telling(pos: list[np.ndarray], unl: list[np.ndarray]) -> np.ndarray:
+    """Which features differ between the two sets by ``MIN_Z`` standard errors,
+    or are among the ``MIN_FEATURES`` that differ most: rare words would only let
+    the classifier learn its positives by heart."""
+    p, u = (np.bincount(np.concatenate(x), minlength=FEATURES) for x in (pos, unl))
+    n, m = len(pos), len(unl)
+    both = (p + u) / (n + m)
+    z = np.abs(p / n - u / m) / np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / n + 1 / m))
+    z[p + u < MIN_DOCS] = 0.0
+    return (z >= max(1e-9, min(MIN_Z, np.sort(z)[-MIN_FEATURES])))
+
+
 def train(docs: DataFrame, labels: DataFrame, classifiers: int = CLASSIFIERS, **columns) -> tuple[np.ndarray, float, float]:
     """Mean weights and bias of the classifiers, and the class prior."""
     positive, unlabelled, prior = training_sample(docs, labels, **columns)
@@ -125,9 +136,7 @@ def train(docs: DataFrame, labels: DataFrame, classifiers: int = CLASSIFIERS, **
     prior = min(max(prior, 1e-3), 0.5)
     cache = WordCache(_hash)
     pos, unl = [features(t, cache) for t in positive], [features(t, cache) for t in unlabelled]
-    # a mixture with the share `prior` of toxic texts, which the risk estimator takes it to be
-    mixed = max(1, round(prior / (1 - prior) * len(unl)))
-    known = np.bincount(np.concatenate(pos + unl), minlength=FEATURES) >= MIN_DOCS
+    known = telling(pos, unl)
     column = np.cumsum(known) - 1
     dense = lambda rows: [column[r[known[r]]] for r in rows]
     pos, unl, size = dense(pos), dense(unl), int(known.sum())
@@ -135,7 +144,6 @@ def train(docs: DataFrame, labels: DataFrame, classifiers: int = CLASSIFIERS, **
     for k in range(classifiers):
         some = np.random.default_rng(k)
         u = [unl[i] for i in some.permutation(len(unl))[:max(1, len(unl) * 2 // 3)]]
-        u += [pos[i] for i in some.integers(0, len(pos), max(1, mixed * 2 // 3))]
         w, b = fit_nnpu(Sparse(pos), Sparse(u), prior, size)
         weights[known] += w / classifiers
         bias += b / classifiers
