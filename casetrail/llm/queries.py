@@ -55,7 +55,7 @@ def op5_pii(spark, sf_dir):
 
 def op6_ngram_join(spark, sf_dir):
     from .ngram_join import near_copies
-    return near_copies(_documents(spark, sf_dir))
+    return near_copies(_documents(spark, sf_dir)).drop("class_id")
 
 
 def op7_suffix_dedup(spark, sf_dir):
