@@ -13,6 +13,8 @@ from ..sources.files import shared_dir
 #: The characters that separate words: space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -25,8 +27,15 @@ def run_dir(spark: SparkSession, name: str) -> str:
 
 def store(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again, so that a
-    lost executor costs no more than the tasks after it."""
-    df.write.parquet(path)
+    lost executor costs no more than the tasks after it.  The shuffle files of
+    the write go with it (``CLEANUP`` holds for this write only)."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
