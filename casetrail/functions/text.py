@@ -22,8 +22,7 @@ LIBRARY_PHRASE = "ライブラリの変更が完了しました"
 # Force-close announcement and force-close wording (unanchored, case-sensitive).
 FORCE_CLOSE_ANNOUNCE_PATTERN = "その後[の]?状況.*(連絡|回答)が[な無](ければ|い場合).*クローズ"
 FORCE_CLOSE_PATTERN = (
-    "(連絡.*(なか|ない|無|ありま).*クローズ.*新規(ＱＡ|QA)登録を)"
-    "|(強制クローズ[と]?させていただきます.*新規(ＱＡ|QA).*登録)"
+    "(連絡.*(なか|ない|無|ありま).*クローズ.*新規(ＱＡ|QA)登録を)|(強制クローズ[と]?させていただきます.*新規(ＱＡ|QA).*登録)"
 )
 # Meta suffix that closes an entry line: "(type:user yyyy/m/d)" at the end.
 META_PATTERN = r"\([^:\(\)]+?:[^:]+ [0-9]{4}\/[0-9]{1,2}/[0-9]{1,2}\)$"

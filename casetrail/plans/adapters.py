@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.files import shared_dir
 from ..sources.schemas import ALIASES, CASE_COLUMNS, ENTRY_TYPES, MEMBERS, spark_type
 from ..operators.common import known_small
 from .warehouse import Inputs
@@ -39,17 +40,17 @@ ORDER_TYPES = [
     ("P", "dev", False, False, True, False),
 ]
 EVENT_ALIASES = [
-    ("DWHUser0003", "DWHUser0001"),
-    ("DWHUser0011", "DWHUser0001"),
-    ("DWHUser0042", "DWHUser0007"),
-    ("DWHUser0100", "DWHUser0007"),
+    ("person0003", "person0001"),
+    ("person0011", "person0001"),
+    ("person0042", "person0007"),
+    ("person0100", "person0007"),
 ]
 ORDER_ALIASES = [
     ("1-URGENT", "2-HIGH"),
-    ("DWHUser0003", "DWHUser0001"),
+    ("person0003", "person0001"),
 ]
-MEMBER_NAMES = ["DWHUser0001", "DWHUser0002", "DWHUser0005", "DWHUser0007", "DWHUser0010",
-                "DWHUser0020"]
+MEMBER_NAMES = ["person0001", "person0002", "person0005", "person0007", "person0010",
+                "person0020"]
 # Close date relative to the last entry date, by customer segment (NULL = open).
 CLOSE_OFFSET_BY_SEGMENT = [("AUTOMOBILE", -1), ("BUILDING", 0), ("FURNITURE", 1), ("HOUSEHOLD", 2)]
 
@@ -66,51 +67,38 @@ def masters(spark: SparkSession, types: Sequence[tuple], aliases: Sequence[tuple
             known_small(spark.createDataFrame([(n,) for n in MEMBER_NAMES], MEMBERS), len(MEMBER_NAMES)))
 
 
-# Largest (case, day) group ranked in one window task; above it the rank
-# switches to range partitions.
-RANK_GROUP_MAX_ROWS = 2_000_000
-
-
-def seq_within_case(df: DataFrame, case_col: str, day_col: str, order: Sequence[Column],
-                    group_max_rows: int = RANK_GROUP_MAX_ROWS) -> DataFrame:
+def seq_within_case(df: DataFrame, case_col: str, day_col: str, order: Sequence[Column]) -> DataFrame:
     """Dense 0-based rank per case, ordered by ``day_col`` then ``order``
     (NULLs last, as in SQL), without ever ranking a whole case in one task.
 
-    Rows are ranked within a group and offset by the case's rows in earlier
-    groups (a window over the small per-(case, group) count table).  The group
-    is (case, day) when the largest such group is proven (one small
-    pre-aggregated job) to hold at most ``group_max_rows`` rows.  Otherwise
-    rows are range-partitioned on (case, day, order...), so even one hot day of
-    one case spreads over consecutive partitions.  The partition id is then
-    written down with the rows by a reliable ``checkpoint()`` in the shared
-    ``spark.checkpoint.dir`` (range-partitioner sampling is seeded per RDD, so
-    two unshared readers of one range shuffle could disagree), and the group is
-    (case, partition).
+    Rows are range-partitioned on (case, day, order...), so even one hot day of
+    one case spreads over consecutive partitions.  The partition id is written
+    down with the rows by a reliable ``checkpoint()`` in the shared
+    ``spark.checkpoint.dir`` (range sampling is seeded per RDD, so two readers
+    of one range shuffle could disagree).  Rows are ranked within (case,
+    partition) and offset by the case's rows in earlier partitions, a window
+    over one row per (case, partition).  There is no other path; an unset
+    folder is an error.
     """
     spark = df.sparkSession
+    folder = shared_dir(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
     keys = [F.col(day_col).asc_nulls_last(), *order]
-    day_counts = df.groupBy(case_col, day_col).agg(F.count(F.lit(1)).alias("_n"))
-    biggest = day_counts.agg(F.max("_n")).first()[0] or 0
-    if biggest > group_max_rows and spark.sparkContext.getCheckpointDir():
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        part = (df.repartitionByRange(n, F.col(case_col).asc_nulls_last(), *keys)
-                .withColumn("_part", F.spark_partition_id())
-                .checkpoint(eager=True))
-        group, in_group = "_part", keys
-        counts = part.groupBy(case_col, group).agg(F.count(F.lit(1)).alias("_n"))
-    else:
-        part, group, in_group, counts = df, day_col, list(order), day_counts
-    local = F.row_number().over(Window.partitionBy(case_col, group).orderBy(*in_group)) - 1
-    before = Window.partitionBy(case_col).orderBy(F.col(group).asc_nulls_last()) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(F.col(case_col).alias("_o_case"), F.col(group).alias("_o_group"),
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    part = (df.repartitionByRange(n, F.col(case_col).asc_nulls_last(), *keys)
+            .withColumn("_part", F.spark_partition_id())
+            .checkpoint(eager=True))
+    counts = part.groupBy(case_col, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    local = F.row_number().over(Window.partitionBy(case_col, "_part").orderBy(*keys)) - 1
+    before = Window.partitionBy(case_col).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col(case_col).alias("_o_case"), F.col("_part").alias("_o_part"),
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     ranked = part.withColumn("_local", local)
     j = ranked.join(offsets, ranked[case_col].eqNullSafe(offsets["_o_case"])
-                    & ranked[group].eqNullSafe(offsets["_o_group"]), "inner")
-    out = j.withColumn("comment_seq", (F.col("_off") + F.col("_local")).cast("int")) \
-        .drop("_o_case", "_o_group", "_off", "_local")
-    return out.drop("_part") if group == "_part" else out
+                    & (ranked["_part"] == offsets["_o_part"]), "inner")
+    return j.withColumn("comment_seq", (F.col("_off") + F.col("_local")).cast("int")) \
+        .drop("_o_case", "_o_part", "_off", "_local", "_part")
 
 
 def typed_cases(df: DataFrame, given: dict[str, Column]) -> DataFrame:
@@ -140,7 +128,7 @@ def _customer_cases(per_case: DataFrame, key: str, category: str, customer: Data
         "registered_date": F.col("_first"),
         "description": F.col("c_name"),
         "assigned_to": F.when(F.col("c_mktsegment") != "MACHINERY",
-                              F.format_string("DWHUser%04d", F.col("c_nationkey"))),
+                              F.format_string("person%04d", F.col("c_nationkey"))),
         "patch_no": F.when(F.col("c_acctbal") > 5000, F.format_string("P%06d", F.col("c_custkey"))),
         "close_date": _close_date(F.col("_last")),
         "status": F.col("c_mktsegment"),
@@ -160,7 +148,7 @@ def event_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         "comment_seq",
         F.col("event_type").alias("comment_div"),
         F.when(F.col("value").isNotNull(),
-               F.format_string("DWHUser%04d", F.floor("value").cast("int"))).alias("comment_by"),
+               F.format_string("person%04d", F.floor("value").cast("int"))).alias("comment_by"),
         F.col("_day").alias("comment_date"),
         F.col("props").alias("comment"),
     )
@@ -247,7 +235,7 @@ def conversation_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         "registered_by": F.col("registered_by"),
         "registered_date": reg,
         "description": F.col("description"),
-        "assigned_to": F.when(F.col("registered_by") == "user", F.lit("DWHUser0003")),
+        "assigned_to": F.when(F.col("registered_by") == "user", F.lit("person0003")),
         "close_date": F.when(F.col("registered_by") == "user", F.date_add(reg, 30)),
         "comment_history": F.col("comment_history"),
     })

@@ -8,9 +8,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.history import split_history
-from ..sources.files import read_export, write_table
+from ..sources.files import read_export, read_seed, write_table
 from ..sources.layout import column_map
 
 
@@ -24,10 +25,13 @@ def seed_tables(spark: SparkSession, export_paths: str | Sequence[str],
 def build_seeds(spark: SparkSession, export_paths: str | Sequence[str], mapping: Sequence[Mapping],
                 cases_out: str, entries_out: str, fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
     """Write both seed tables (an existing target is refused) and return them read back."""
-    cases, entries = seed_tables(spark, export_paths, mapping)
-    write_table(cases, cases_out, fmt)
-    reader = spark.read.option("header", True) if fmt == "csv" else spark.read
-    landed = reader.format(fmt).load(cases_out)
+    cases = column_map(read_export(spark, export_paths), mapping)
+    # a blank cell is NULL once landed, in either format
+    cases = cases.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in cases.columns])
+
+    def land(df: DataFrame, path: str) -> DataFrame:
+        write_table(df, path, fmt)
+        return read_seed(spark, path, df.schema) if fmt == "csv" else spark.read.parquet(path)
+    landed = land(cases, cases_out)
     # entries come from the landed cases: the export is parsed only once
-    write_table(split_history(landed), entries_out, fmt)
-    return landed, reader.format(fmt).load(entries_out)
+    return landed, land(split_history(landed), entries_out)

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
-import warnings
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -90,13 +89,7 @@ class Warehouse:
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
         if name not in self.tables:
             return df
-        spark = df.sparkSession
-        try:
-            root = shared_dir(spark)
-        except RuntimeError:
-            # no shared folder configured: stay lazy (same result, recomputed)
-            warnings.warn(f"spark.checkpoint.dir unset; layer {name!r} is not stored")
-            return df
+        root = shared_dir(df.sparkSession)  # an error where no shared folder is set
         loc = f"{root.rstrip('/')}/casetrail/{self.run_id}/{name}"
         return materialize(df, f"ct_{self.run_id}_{name}", "table", location=loc)
 

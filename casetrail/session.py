@@ -8,6 +8,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
@@ -21,17 +22,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.driver.memory", os.environ.get("CASETRAIL_DRIVER_MEMORY", "16g")))
-    spark = b.getOrCreate()
+    spark = with_checkpoint_dir(b).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's ``spark.checkpoint.dir``; set a scratch one only if unset."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="casetrail-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+def with_checkpoint_dir(builder: SparkSession.Builder) -> SparkSession.Builder:
+    """For sessions of one machine: a scratch ``spark.checkpoint.dir`` where the
+    deployment has set none.  (It can't be set on a running session.)"""
+    if SparkConf().contains("spark.checkpoint.dir"):
+        return builder
+    return builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="casetrail-ckpt-"))

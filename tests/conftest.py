@@ -11,15 +11,14 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
-    s = (SparkSession.builder.master("local[4]").appName("casetrail-tests")
+    from casetrail.session import with_checkpoint_dir
+    s = (with_checkpoint_dir(SparkSession.builder).master("local[4]").appName("casetrail-tests")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", "4")
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    from casetrail.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(s)
     yield s
 
 

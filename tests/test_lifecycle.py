@@ -227,14 +227,23 @@ def test_n12_registration_is_seq_zero(spark):
     assert day == {"A": 1, "B": 0}
 
 
-@pytest.mark.parametrize("group_max_rows", [1, 10 ** 9])
-def test_rank_within_case_both_paths_equal_plain_rank(spark, group_max_rows):
+def test_rank_within_case_equals_plain_rank(spark):
     from pyspark.sql import Window
     from pyspark.sql import functions as F
     from casetrail.plans.adapters import seq_within_case
     rows = [("A" if i % 5 else "B", dt.date(2024, 1, 1 + (i * 7) % 3), i) for i in range(200)]
     df = spark.createDataFrame(rows, "c string, d date, k int")
-    got = seq_within_case(df, "c", "d", [F.col("k")], group_max_rows=group_max_rows)
+    got = seq_within_case(df, "c", "d", [F.col("k")])
     want = df.withColumn("comment_seq", (F.row_number().over(Window.partitionBy("c").orderBy("d", "k")) - 1).cast("int"))
     assert sorted(map(tuple, got.select("c", "d", "k", "comment_seq").collect())) == \
         sorted(map(tuple, want.select("c", "d", "k", "comment_seq").collect()))
+
+
+def test_rank_needs_the_shared_folder(spark, monkeypatch):
+    from casetrail.plans import adapters
+
+    def unset(_spark):
+        raise RuntimeError("spark.checkpoint.dir is not set")
+    monkeypatch.setattr(adapters, "shared_dir", unset)
+    with pytest.raises(RuntimeError):
+        adapters.seq_within_case(spark.range(3), "id", "id", [])

@@ -1,5 +1,8 @@
 import os
 
+import pytest
+from pyspark.errors import AnalysisException
+
 from casetrail.plans.seeds import build_seeds
 from casetrail.streaming import land_exports
 
@@ -19,13 +22,16 @@ def write_export(path, rows):
             fh.write(",".join(f'"{v}"' for v in r) + "\r\n")
 
 
-def test_build_seeds_end_to_end(spark, tmp_out):
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_build_seeds_end_to_end(spark, tmp_out, fmt):
     src = os.path.join(tmp_out, "export.csv")
     write_export(src, [("SMPL-000001", "髙橋", "2024/1/5", "内容A",
                         "回答します\r\n詳細(回答:担当者 2024/01/06)\r\n完了(クローズ:担当者 2024/01/09)"),
                        ("SMPL-000002", "田中", "2024/1/7", "内容B", "")])
-    cases, entries = build_seeds(spark, src, MAP, os.path.join(tmp_out, "cases"), os.path.join(tmp_out, "entries"))
-    assert cases.count() == 2
+    cases, entries = build_seeds(spark, src, MAP, os.path.join(tmp_out, "cases"), os.path.join(tmp_out, "entries"), fmt)
+    assert cases.count() == 2 and {r.category2 for r in cases.collect()} == {None}  # blank is NULL once landed
+    with pytest.raises(AnalysisException):
+        build_seeds(spark, src, MAP, os.path.join(tmp_out, "cases"), os.path.join(tmp_out, "entries"), fmt)
     got = sorted((r.incident_id, r.comment_seq, r.comment_div, r.comment) for r in entries.collect())
     assert got == [("SMPL-000001", 0, "新規登録", "内容A"), ("SMPL-000001", 1, "回答", "回答します詳細"),
                    ("SMPL-000001", 2, "クローズ", "完了"), ("SMPL-000002", 0, "新規登録", "内容B")]

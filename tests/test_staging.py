@@ -10,39 +10,38 @@ from casetrail.sources.ids import bad_ids, check_ids, id_domain
 from casetrail.sources.layout import column_map, typed_projection
 from helpers import D, cases_df, entries_df, types_df
 
-UNIT_TYPES = [("register", None, False, False, None, None), ("close", None, True, False, None, None),
-              ("reply_to_register", None, False, False, None, None)]
-BASE = [("I001", 1, "register", "John", "2025-01-01", "comment 1")]
+MASTER = [("asked", "dev", False, False, False, False), ("solved", "field", True, False, False, True),
+          ("noted", "dev", False, False, False, True)]
 
 
-def staged(spark, close_date, second):
-    cases = cases_df(spark, [{"incident_id": "I001", "close_date": close_date}])
-    ents = entries_df(spark, BASE + [second])
-    return [tuple(r) for r in stage_entries(ents, None, None, cases, types_df(spark, UNIT_TYPES))
-            .orderBy("comment_seq").collect()]
+def last_entry(spark, closed, kind, day):
+    """Ids and the last entry of one case whose log ends with ``kind`` on ``day``."""
+    cases = cases_df(spark, [{"incident_id": "Q-7", "close_date": closed}])
+    log = entries_df(spark, [("Q-7", 0, "asked", "ana", "2022-06-10", "where is it"), ("Q-7", 4, kind, "bo", day, "here")])
+    rows = stage_entries(log, None, None, cases, types_df(spark, MASTER)).orderBy("comment_seq").collect()
+    return [r["comment_id"] for r in rows], tuple(rows[-1])
 
 
-def test_closing_entry_present(spark):
-    got = staged(spark, "2025-01-02", ("I001", 2, "close", "Mike", "2025-01-02", "comment 2"))
-    assert [r[0] for r in got] == ["I001_0001", "I001_0002"]
+def test_no_entry_is_added_after_a_closing_one(spark):
+    ids, _ = last_entry(spark, "2022-06-14", "solved", "2022-06-14")
+    assert ids == ["Q-7_0000", "Q-7_0004"]
 
 
-def test_direct_close_later_and_same_day(spark):
-    for close in ("2025-01-03", "2025-01-02"):
-        got = staged(spark, close, ("I001", 2, "reply_to_register", "Mike", "2025-01-02", "comment 2"))
-        assert got[-1] == ("I001_0003", "I001", 3, "完了へ直接変更", "(dummy)", D(close),
-                           "(ライブラリ変更などによりステータスを直接完了に変更)")
-        assert len(got) == 3
+def test_direct_close_on_and_after_the_last_day(spark):
+    for closed in ("2022-06-12", "2022-08-01"):
+        ids, last = last_entry(spark, closed, "noted", "2022-06-12")
+        assert ids == ["Q-7_0000", "Q-7_0004", "Q-7_0005"]
+        assert last[1:6] == ("Q-7", 5, "完了へ直接変更", "(dummy)", D(closed))
+        assert last[6] == "(ライブラリ変更などによりステータスを直接完了に変更)"
 
 
-def test_close_date_before_last_entry_adds_nothing(spark):
-    got = staged(spark, "2025-01-01", ("I001", 2, "reply_to_register", "Mike", "2025-01-02", "comment 2"))
-    assert len(got) == 2
+def test_no_direct_close_before_the_last_day_or_while_open(spark):
+    for closed in ("2022-06-11", None):
+        assert last_entry(spark, closed, "noted", "2022-06-12")[0] == ["Q-7_0000", "Q-7_0004"]
 
 
-def test_unknown_last_type_gets_direct_close(spark):
-    got = staged(spark, "2025-01-05", ("I001", 2, "not_in_master", "Mike", "2025-01-02", "c"))
-    assert got[-1][2] == 3
+def test_a_type_that_the_master_lacks_counts_as_not_closing(spark):
+    assert last_entry(spark, "2022-06-13", "unheard of", "2022-06-12")[1][2] == 5
 
 
 def test_overlay_is_not_a_merge_and_keeps_null_keys(spark):
