@@ -166,7 +166,8 @@ def feature_table(docs: DataFrame, id_col: str, text_col: str) -> list[tuple]:
     combinations of feature values, not documents: a bounded number."""
     t = F.coalesce(F.col(text_col), F.lit(""))
     h = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
-    c = with_candidates(docs, t, h).select(F.col("_k0").alias("_h"), F.explode("_c").alias("c"))
+    # the outer form: for explode, Spark would add a filter on the list's size and make the list twice
+    c = with_candidates(docs, t, h).select(F.col("_k0").alias("_h"), F.explode_outer("_c").alias("c")).filter("c is not null")
     rows = (c.select((F.col("_h") % 5 == 0).alias("held"), F.col("c.good").cast("long").alias("good"), "c.f.*")
             .groupBy("held", *FEATURES).agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("y")))
     return sorted((tuple(r[f] for f in FEATURES), r["held"], r["n"], r["y"]) for r in rows.collect())

@@ -2,7 +2,8 @@
 
 Confirmed toxic documents are the positives.  The unlabelled text is drawn from
 all documents of the training folds, whatever their labels, so that a share
-``prior`` of it is toxic.  The classifiers are linear over hashed words (present or not) and
+``prior`` of it is toxic: the share among the labelled documents of these folds,
+which are taken for a random part of all.  The classifiers are linear over hashed words (present or not) and
 minimise the risk
 
     prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives))
