@@ -191,11 +191,13 @@ def set_links(sets: DataFrame, texts: DataFrame, path: str, heavy: int = HEAVY)
     post = large.select("rid", "n", F.posexplode(F.slice("first", 1, F.floor(F.col("n") / 5).cast("int") + 1)).alias("at", "key"))
     post = post.select("key", "rid", "n", (F.col("at") <= F.floor(F.col("n") / 9)).alias("indexed"))
     heads = post.filter("indexed").groupBy("key").agg(F.min(F.struct("n", "rid")).alias("low"))
-    shared = post.join(heads, "key").filter("rid <> low.rid and 5 * low.n >= 4 * n").select(
+    shared = post.join(heads, "key").filter("rid <> low.rid").select(
         "key", "rid", "n", "indexed", F.col("low.rid").alias("head"), F.col("low.n").alias("head_n"))
     shared = store(shared, f"{path}/shared")
     release(spark)
-    found = _verified(shared.select(F.col("rid").alias("u"), F.col("head").alias("v")), texts, f"{path}/heads")
+    # sizes too far apart for a link with the head still leave the others of the list
+    pairs = shared.filter("5 * head_n >= 4 * n").select(F.col("rid").alias("u"), F.col("head").alias("v"))
+    found = _verified(pairs, texts, f"{path}/heads")
     edges = edges.unionByName(found)
     release(spark)
 
