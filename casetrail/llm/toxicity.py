@@ -40,7 +40,7 @@ from .word_cache import WordCache, worker_cache
 FEATURES, FOLDS, CLASSIFIERS = 1 << 18, 5, 3
 MAX_POSITIVE, MAX_UNLABELLED = 3000, 12000
 STEPS, RATE, DECAY = 200, 0.1, 1e-4
-MIN_DOCS, MIN_Z, MIN_FEATURES = 3, 6.0, 32
+MIN_DOCS, MIN_Z, MIN_FEATURES = 3, 6.0, 4
 
 _word = re.compile(r"\w+")
 
