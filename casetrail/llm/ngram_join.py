@@ -11,8 +11,9 @@ documents link at a Jaccard similarity of 0.8 or more.
    partner, every other set of the list is linked that any of them is linked to.
 3. Large sets post their prefixes to inverted lists: sorted by hash, a pair with
    the needed overlap meets in the first floor(n/9)+1 shingles of the smaller
-   and the first floor(m/5)+1 of the larger.  Every list is scanned against its
-   smallest set, the pairs are compared exactly, and components are formed.
+   and the first floor(m/5)+1 of the larger.  Every list is scanned against one
+   of its sets, parity sketches rule out most pairs, the others are compared
+   exactly, and components are formed.
 4. Lists that still hold several components are scanned whole, across
    components only.  Short ("light") ones pair directly.  Documents in long
    ("heavy") ones, such as passages that many documents share, are joined anew
@@ -42,7 +43,6 @@ from pyspark.sql import functions as F
 
 from .common import run_dir, small_batches, store
 from .components import components, release
-from .word_cache import WordCache, worker_cache
 
 N = 5
 #: Largest size that may count as small, and the sizes at which the boundary may lie.
@@ -60,16 +60,42 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _cache() -> WordCache:
-    return worker_cache(("shingles",), lambda: WordCache(lambda ws: (xxhash.xxh64_intdigest(w) for w in ws)))
+def _powers(p: int) -> np.ndarray:
+    out = np.full(BLOCK + LONG_WORD, p, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
 
 
-def shingles(text: str | None, cache: WordCache) -> np.ndarray:
+#: Bytes hashed at once, and the length from which a word is hashed by itself.
+BLOCK, LONG_WORD = 1 << 18, 64
+_PRIME = 0xD1342543DE82EF95
+_UP, _DOWN = _powers(_PRIME), _powers(pow(_PRIME, -1, 1 << 64))
+_BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """64-bit hashes of the words of lower-cased bytes: differences of a prefix
+    sum of byte values times powers, shifted to the word's start."""
+    b = np.frombuffer(data, np.uint8)
+    edge = np.diff((~_SPACE[b]).view(np.int8), prepend=np.int8(0), append=np.int8(0))
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    out = np.zeros(len(start), np.uint64)
+    for at in range(0, len(b), BLOCK):  # words that start in this block and are not long
+        i, j = np.searchsorted(start, [at, at + BLOCK])
+        total = np.zeros(min(BLOCK + LONG_WORD, len(b) - at) + 1, np.uint64)
+        np.cumsum(_BYTE[b[at:at + BLOCK + LONG_WORD]] * _UP[:len(total) - 1], out=total[1:])
+        out[i:j] = (total[np.minimum(end[i:j] - at, len(total) - 1)] - total[start[i:j] - at]) * _DOWN[start[i:j] - at]
+    for k in np.flatnonzero(end - start > LONG_WORD):
+        out[k] = xxhash.xxh64_intdigest(data[start[k]:end[k]])
+    return out
+
+
+def shingles(text: str | None) -> np.ndarray:
     """The set of a text: distinct 64-bit shingle hashes, ascending."""
-    words = (text or "").encode("utf-8", "surrogatepass").translate(_upper).split()
-    if not words:
+    w = word_hashes((text or "").encode("utf-8", "surrogatepass").translate(_upper))
+    if not len(w):
         return np.zeros(0, np.uint64)
-    w = np.array(cache.values(words), np.uint64)
     n = max(1, len(w) - N + 1)
     h = np.full(n, min(len(w), N), np.uint64)
     for k in range(min(N, len(w))):
@@ -82,26 +108,49 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * o >= 80 * (len(a) + len(b) - o) and o > 0
 
 
+#: Most bits of a sketch.
+SKETCH = 1 << 20
+
+
+def sketch(s: np.ndarray) -> bytes:
+    """One bit for each value of the low hash bits: whether an odd number of the
+    set's shingles have it.  About as many bits as shingles."""
+    m = min(max(64, 1 << (len(s) - 1).bit_length()), SKETCH) if len(s) else 64
+    odd = np.bincount((s & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_link(a: bytes, n: int, b: bytes, m: int) -> bool:
+    """False only where the sketches prove that sets of n and m don't link: each
+    bit that differs takes a shingle of one set only, and linked sets have at
+    most (n + m) / 9 of these.  A longer sketch folds onto a shorter one."""
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) > len(b):
+        a = np.bitwise_xor.reduce(np.frombuffer(a, np.uint8).reshape(-1, len(b)), axis=0).tobytes()
+    return 9 * (int.from_bytes(a) ^ int.from_bytes(b)).bit_count() <= n + m
+
+
 def _signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
 def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n, sig (128 bits of the whole set), first: the lowest hashes of the
-    set, as many as its prefix needs, or all of a small set."""
+    set, as many as its prefix needs, or all of a small set; bits: its sketch."""
     rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(id_col).cast("long").alias("doc_id"))
 
     def run(batches):
-        cache = _cache()
         for b in small_batches(batches):
-            sets = [shingles(t, cache) for t in b.column(0).to_pylist()]
+            sets = [shingles(t) for t in b.column(0).to_pylist()]
             first = [_signed(s[:len(s) if len(s) <= SMALL else len(s) // 5 + 1]) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [b.column(1), pa.array([len(s) for s in sets], pa.int32()),
                  pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()),
-                 pa.array(first, pa.list_(pa.int64()))], names=["doc_id", "n", "sig", "first"])
+                 pa.array(first, pa.list_(pa.int64())), pa.array([sketch(s) if len(s) else None for s in sets], pa.binary())],
+                names=["doc_id", "n", "sig", "first", "bits"])
 
-    return rows.mapInArrow(run, "doc_id long, n int, sig binary, first array<long>")
+    return rows.mapInArrow(run, "doc_id long, n int, sig binary, first array<long>, bits binary")
 
 
 def subset_cost(n: int) -> int:
@@ -137,14 +186,14 @@ def _subsets(boundary: int):
 
 def _compare(batches):
     """(u, v, text of u, text of v) -> the linked pairs."""
-    cache, last = _cache(), {}
+    last: dict[tuple, np.ndarray] = {}
 
     def of(i, t):
-        if i not in last:
+        if (i, t) not in last:
             if len(last) > 64:
                 last.clear()
-            last[i] = shingles(t, cache)
-        return last[i]
+            last[i, t] = shingles(t)
+        return last[i, t]
     for b in small_batches(batches):
         u, v, tu, tv = (b.column(i).to_pylist() for i in range(4))
         hit = [i for i in range(len(u)) if linked(of(u[i], tu[i]), of(v[i], tv[i]))]
@@ -152,9 +201,21 @@ def _compare(batches):
                                          schema=pa.schema([("u", pa.int64()), ("v", pa.int64())]))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, path: str) -> DataFrame:
-    """The pairs (u, v) whose texts link; only the texts of pairs are joined."""
-    pairs = store(pairs.distinct(), f"{path}-pairs")
+def _possible(batches):
+    """(u, v, n and sketch of u, n and sketch of v) -> the pairs that may link."""
+    for b in batches:
+        u, v, nu, bu, nv, bv = (b.column(i).to_pylist() for i in range(6))
+        hit = [i for i in range(len(u)) if may_link(bu[i], nu[i], bv[i], nv[i])]
+        yield pa.RecordBatch.from_pydict({"u": [u[i] for i in hit], "v": [v[i] for i in hit]},
+                                         schema=pa.schema([("u", pa.int64()), ("v", pa.int64())]))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, path: str) -> DataFrame:
+    """The pairs (u, v) whose texts link.  Sketches go first; only the texts of
+    the pairs that they leave are joined and compared."""
+    a, b = (sets.select(F.col("rid").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"b{x}")) for x in "uv")
+    pairs = pairs.distinct().join(b, "v").join(a, "u").select("u", "v", "nu", "bu", "nv", "bv")
+    pairs = store(pairs.mapInArrow(_possible, "u long, v long").distinct(), f"{path}-pairs")
     ids = pairs.select(F.col("u").alias("rid")).union(pairs.select("v")).distinct()
     some = store(texts.join(ids, "rid", "left_semi"), f"{path}-texts")
     a, b = (some.select(F.col("rid").alias(x), F.col("text").alias(f"t{x}")) for x in "uv")
@@ -174,7 +235,7 @@ def _across(lists: DataFrame) -> DataFrame:
 
 def set_links(sets: DataFrame, texts: DataFrame, path: str, heavy: int = HEAVY) -> DataFrame:
     """(node, component) of the classes that link with another.  ``sets``: rid,
-    n, first; ``texts``: rid, text of the same ids."""
+    n, first, bits; ``texts``: rid, text of the same ids."""
     spark = sets.sparkSession
     small = sets.filter(F.col("n") <= SMALL)
     posted = small.select("n", F.explode(F.slice("first", 1, F.floor(F.col("n") / 5).cast("int") + 1)).alias("key"))
@@ -190,14 +251,12 @@ def set_links(sets: DataFrame, texts: DataFrame, path: str, heavy: int = HEAVY)
     large = sets.filter(5 * F.col("n") > F.lit(4 * boundary))  # and the small ones that a large one may be linked to
     post = large.select("rid", "n", F.posexplode(F.slice("first", 1, F.floor(F.col("n") / 5).cast("int") + 1)).alias("at", "key"))
     post = post.select("key", "rid", "n", (F.col("at") <= F.floor(F.col("n") / 9)).alias("indexed"))
-    heads = post.filter("indexed").groupBy("key").agg(F.min(F.struct("n", "rid")).alias("low"))
-    shared = post.join(heads, "key").filter("rid <> low.rid").select(
-        "key", "rid", "n", "indexed", F.col("low.rid").alias("head"), F.col("low.n").alias("head_n"))
-    shared = store(shared, f"{path}/shared")
+    heads = post.groupBy("key").agg(F.min(F.when(F.col("indexed"), F.col("rid"))).alias("head"), F.count(F.lit(1)).alias("c"))
+    heads = heads.filter("c > 1 and head is not null").drop("c")
+    shared = store(post.join(heads, "key").filter("rid <> head"), f"{path}/shared")
     release(spark)
-    # sizes too far apart for a link with the head still leave the others of the list
-    pairs = shared.filter("5 * head_n >= 4 * n").select(F.col("rid").alias("u"), F.col("head").alias("v"))
-    found = _verified(pairs, texts, f"{path}/heads")
+    pairs = shared.select(F.col("rid").alias("u"), F.col("head").alias("v"))
+    found = _verified(pairs, sets, texts, f"{path}/heads")
     edges = edges.unionByName(found)
     release(spark)
 
@@ -205,15 +264,15 @@ def set_links(sets: DataFrame, texts: DataFrame, path: str, heavy: int = HEAVY)
     label = lambda d: (d.join(parts.withColumnRenamed("node", "rid"), "rid", "left")
                        .withColumn("component", F.coalesce("component", "rid")))
     # heads were compared with all of their lists; what is left is between the others
-    lists = label(shared.drop("head", "head_n"))
+    lists = label(shared.drop("head"))
     many = (lists.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("c"))
             .filter("a <> b").select("key", (F.col("c") > heavy).alias("heavy")))
     lists = store(lists.join(many, "key"), f"{path}/lists")
     more = _across(lists.filter("not heavy"))
-    again = store(lists.filter("heavy").select("rid", "component").distinct(), f"{path}/heavy")
+    again = store(lists.filter("heavy").select("rid", "n", "component").distinct(), f"{path}/heavy")
     if not again.isEmpty():
         more = more.unionByName(_rarest_first(again, texts, path))
-    found = _verified(more, texts, f"{path}/rest")
+    found = _verified(more, sets, texts, f"{path}/rest")
     release(spark)
     return components(edges.unionByName(found))
 
@@ -222,21 +281,18 @@ def _rarest_first(again: DataFrame, texts: DataFrame, path: str) -> DataFrame:
     """Candidate pairs among the documents of heavy lists, by prefixes in the
     order of how many of these documents have a shingle, the rarest first."""
     def explode(batches):
-        cache = _cache()
         for b in small_batches(batches, 1 << 20):
-            rid, comp, text = (b.column(i).to_pylist() for i in range(3))
-            sets = [shingles(t, cache) for t in text]
-            n = np.array([len(s) for s in sets], np.int32)
+            rid, text = (b.column(i).to_pylist() for i in range(2))
+            sets = [shingles(t) for t in text]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(np.array(rid, np.int64), n)), pa.array(np.repeat(np.array(comp, np.int64), n)),
-                 pa.array(np.repeat(n, n)), pa.array(_signed(np.concatenate(sets)))], names=["rid", "component", "n", "key"])
+                [pa.array(np.repeat(np.array(rid, np.int64), [len(s) for s in sets])), pa.array(_signed(np.concatenate(sets)))],
+                names=["rid", "key"])
 
-    rows = store(again.join(texts, "rid").select("rid", "component", "text").mapInArrow(
-        explode, "rid long, component long, n int, key long"), f"{path}/shingles")
+    ids = again.select("rid").distinct()
+    rows = store(texts.join(ids, "rid", "left_semi").select("rid", "text").mapInArrow(explode, "rid long, key long"), f"{path}/shingles")
     # shingles of one document only can't be shared: they need no list and come first
     df = rows.groupBy("key").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    often = rows.join(df, "key").groupBy("rid", "component", "n").agg(
-        F.sort_array(F.collect_list(F.struct("df", "key"))).alias("keys"))
+    often = rows.join(df, "key").groupBy("rid").agg(F.sort_array(F.collect_set(F.struct("df", "key"))).alias("keys")).join(again, "rid")
     # of the first floor(n/5)+1 shingles, n - size(keys) are its own
     own = F.col("n") - F.size("keys")
     taken = lambda part: F.greatest(F.floor(F.col("n") / part).cast("int") + 1 - own, F.lit(0))
@@ -250,16 +306,15 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """doc_id, n_shingles, component_id (and the class: the smallest id with the same set)."""
     spark = docs.sparkSession
     path = run_dir(spark, "ngram-join")
-    sets = document_sets(docs, id_col, text_col)
+    sets = store(document_sets(docs, id_col, text_col), f"{path}/sets")
     classes = store(sets.filter("n > 0 and doc_id is not null").groupBy("sig", "n").agg(
-        F.min("doc_id").alias("rid"), F.any_value("first").alias("first")), f"{path}/classes")
+        F.min("doc_id").alias("rid"), F.any_value("first").alias("first"), F.any_value("bits").alias("bits")), f"{path}/classes")
     release(spark)
     # of several rows with a class's id any has the same set, unless ids repeat; then all sets of an id are compared
     texts = docs.select(F.col(id_col).cast("long").alias("rid"), F.col(text_col).alias("text"))
-    links = set_links(classes.select("rid", "n", "first"), texts, path, heavy)
-    narrow = store(document_sets(docs, id_col, text_col).drop("first"), f"{path}/members")
-    member = narrow.join(classes.select("sig", F.col("n").alias("n_"), "rid"), ["sig"], "left").drop("n_")
-    out = member.join(links, member["rid"] == links["node"], "left")
+    links = set_links(classes.select("rid", "n", "first", "bits"), texts, path, heavy)
+    member = sets.drop("first", "bits").join(classes.select("sig", F.col("n").alias("n_"), "rid"), ["sig"], "left").drop("n_")
+    out = member.join(links, F.col("rid") == links["node"], "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                       F.coalesce("component", "rid", "doc_id").alias("component_id"), F.coalesce("rid", "doc_id").alias("class_id"))
 
