@@ -67,10 +67,11 @@ def _powers(p: int) -> np.ndarray:
 
 
 #: Bytes hashed at once, and the length from which a word is hashed by itself.
-BLOCK, LONG_WORD = 1 << 18, 64
+BLOCK, LONG_WORD = 1 << 14, 64
 _PRIME = 0xD1342543DE82EF95
 _UP, _DOWN = _powers(_PRIME), _powers(pow(_PRIME, -1, 1 << 64))
 _BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
+_PLACE = _mix(np.arange(257, 257 + N, dtype=np.uint64) * _ODD) | np.uint64(1)  # a word's factor by its place in a shingle
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
@@ -97,10 +98,12 @@ def shingles(text: str | None) -> np.ndarray:
     if not len(w):
         return np.zeros(0, np.uint64)
     n = max(1, len(w) - N + 1)
+    w = _mix(w)
     h = np.full(n, min(len(w), N), np.uint64)
     for k in range(min(N, len(w))):
-        h = _mix(h * _ODD + w[k:k + n])
-    return np.unique(h)
+        h += w[k:k + n] * _PLACE[k]
+    h = np.sort(_mix(h))
+    return h[np.append(True, h[1:] != h[:-1])]
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -124,6 +127,8 @@ def may_link(a: bytes, n: int, b: bytes, m: int) -> bool:
     """False only where the sketches prove that sets of n and m don't link: each
     bit that differs takes a shingle of one set only, and linked sets have at
     most (n + m) / 9 of these.  A longer sketch folds onto a shorter one."""
+    if 9 * abs(n - m) > n + m:
+        return False
     if len(a) < len(b):
         a, b = b, a
     if len(a) > len(b):
