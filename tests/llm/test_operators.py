@@ -206,6 +206,30 @@ def test_small_sets_by_subsets(spark, monkeypatch):
     assert ngram_join.choose_boundary({3: 100}, 50.0) >= 4 and ngram_join.choose_boundary({20: 1000}, 0.0) <= 19
 
 
+def test_word_hashes_and_sketches():
+    """Words hash alike at every offset, over block edges too; a sketch never rules out sets that link."""
+    import numpy as np
+
+    from casetrail.llm import ngram_join as nj
+    rng = random.Random(4)
+    words = ["a", "bb", "x" * 63, "y" * 64, "z" * 65, "q" * (nj.BLOCK + 9), "é"]
+    want = {w: nj.word_hashes(w.encode())[0] for w in words}
+    assert len(set(want.values())) == len(words) and len(nj.word_hashes(b" \n ")) == len(nj.word_hashes(b"")) == 0
+    for k in (5, 400, 2000):
+        seq = [rng.choice(words[:5] if k > 5 else words) for _ in range(k)]
+        text = "".join(w + rng.choice([" ", "\n", "  ", "\t\x0b"]) for w in seq)
+        assert list(nj.word_hashes(b" " * rng.randrange(3) + text.encode())) == [want[w] for w in seq]
+    pool = nj._mix(np.arange(1, 9000, dtype=np.uint64))
+    for n in (1, 5, 63, 64, 65, 700, 1030):
+        for gone in (0, n // 9, n // 5, n // 4, n):
+            a, b = np.sort(pool[:n]), np.sort(np.concatenate([pool[gone:n], pool[n:n + gone // 2]]))
+            if len(b) and nj.linked(a, b):
+                assert nj.may_link(nj.sketch(a), len(a), nj.sketch(b), len(b))
+                assert nj.may_link(nj.sketch(b), len(b), nj.sketch(a), len(a))
+    a, b = np.sort(pool[:700]), np.sort(pool[700:1400])
+    assert not nj.may_link(nj.sketch(a), 700, nj.sketch(b), 700)
+
+
 def test_components_of_a_chain(spark):
     from casetrail.llm.components import components
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100)], "u long, v long")
