@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import LIBRARY_MARK, LIBRARY_PHRASE
 from ..sources.files import shared_dir
 from ..sources.schemas import ALIASES, CASE_COLUMNS, ENTRY_TYPES, MEMBERS, spark_type
 from ..operators.common import known_small
@@ -55,6 +56,15 @@ MEMBER_NAMES = ["person0001", "person0002", "person0005", "person0007", "person0
 CLOSE_OFFSET_BY_SEGMENT = [("AUTOMOBILE", -1), ("BUILDING", 0), ("FURNITURE", 1), ("HOUSEHOLD", 2)]
 
 
+# Wording appended to texts where key % divisor = remainder, so that the text
+# predicates (P5, F15) meet rows that hold them and rows that don't.
+EVENT_WORDING = [
+    (3, 0, "\nご連絡がないため、\nクローズします。\n新規QA登録をお願いします。"),
+    (97, 1, "\nその後の状況について\nご回答が無い場合はクローズします。"),
+]
+CASE_WORDING = [(4, 0, "\n" + LIBRARY_MARK + "\n" + LIBRARY_PHRASE), (4, 1, "\n" + LIBRARY_PHRASE)]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -108,6 +118,10 @@ def typed_cases(df: DataFrame, given: dict[str, Column]) -> DataFrame:
     ])
 
 
+def _wording(key: str, wording) -> Column:
+    return F.concat(*[F.when(F.col(key) % m == r, F.lit(t)).otherwise("") for m, r, t in wording])
+
+
 def _close_date(last: Column) -> Column:
     expr = None
     for seg, off in CLOSE_OFFSET_BY_SEGMENT:
@@ -126,7 +140,7 @@ def _customer_cases(per_case: DataFrame, key: str, category: str, customer: Data
         "hospital": F.col("c_nationkey"),
         "registered_by": F.col("c_name"),
         "registered_date": F.col("_first"),
-        "description": F.col("c_name"),
+        "description": F.concat("c_name", _wording(key, CASE_WORDING)),
         "assigned_to": F.when(F.col("c_mktsegment") != "MACHINERY",
                               F.format_string("person%04d", F.col("c_nationkey"))),
         "patch_no": F.when(F.col("c_acctbal") > 5000, F.format_string("P%06d", F.col("c_custkey"))),
@@ -150,7 +164,7 @@ def event_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         F.when(F.col("value").isNotNull(),
                F.format_string("person%04d", F.floor("value").cast("int"))).alias("comment_by"),
         F.col("_day").alias("comment_date"),
-        F.col("props").alias("comment"),
+        F.concat("props", _wording("event_id", EVENT_WORDING)).alias("comment"),
     )
     per_user = ev.groupBy("user_id").agg(F.min("_day").alias("_first"), F.max("_day").alias("_last"))
     cases = _customer_cases(per_user, "user_id", "EV", table(spark, sf_dir, "customer"))

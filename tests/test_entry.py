@@ -3,8 +3,10 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from casetrail.plans.catalog import registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,7 +18,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry()) <= set(E.queries()) and set(registry()) <= set(E.oracle_sql())
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver tables absent")
@@ -32,3 +34,15 @@ def test_query_matches_duckdb(spark, name):
     want = sorted(tuple(str(v) for v in r) for r in cur.fetchall())
     got = sorted(tuple(str(r[c]) for c in cols) for r in df.collect())
     assert got == want
+
+
+def test_text_predicates_meet_both_cases(spark):
+    """The events adapter holds texts with and without each fixed wording."""
+    from casetrail.functions import text as TX
+    from casetrail.plans.adapters import event_inputs
+    inp = event_inputs(spark, "/root/testdata/sf0.001")
+    got = inp.entries.agg(*[F.collect_set(f("comment")).alias(f.__name__)
+                            for f in (TX.is_force_close, TX.is_force_close_announce)]).first()
+    assert all(set(x) == {True, False} for x in got)
+    flags = inp.cases.select(TX.has_library_change("description").alias("x")).distinct().collect()
+    assert {r["x"] for r in flags} == {True, False}
