@@ -2,8 +2,8 @@
 
 Confirmed toxic documents are the positives.  The unlabelled text is drawn from
 all documents of the training folds, whatever their labels, so that a share
-``prior`` of it is toxic: the share among the labelled documents of these folds,
-which are taken for a random part of all.  The classifiers are linear over hashed words (present or not) and
+``prior`` of it is toxic, as estimated from the positives and the unlabelled
+text (see ``class_prior``), so that labels need not cover a random part.  The classifiers are linear over hashed words (present or not) and
 minimise the risk
 
     prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives))
@@ -117,11 +117,17 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_co
     return [t for k, _, t in rows if k], [t for k, _, t in rows if not k], (toxic or 0) / n if n else 0.0
 
 
+def _counts(rows: list[np.ndarray], some: int = 500) -> np.ndarray:
+    """How many rows hold each feature, added up by groups to bound the memory."""
+    return sum((np.bincount(np.concatenate(rows[i:i + some]), minlength=FEATURES) for i in range(0, len(rows), some)),
+               np.zeros(FEATURES, np.int64))
+
+
 def telling(pos: list[np.ndarray], unl: list[np.ndarray]) -> np.ndarray:
     """Which features differ between the two sets by ``MIN_Z`` standard errors,
     or are among the ``MIN_FEATURES`` that differ most: rare words would only let
     the classifier learn its positives by heart."""
-    p, u = (np.bincount(np.concatenate(x), minlength=FEATURES) for x in (pos, unl))
+    p, u = _counts(pos), _counts(unl)
     n, m = len(pos), len(unl)
     both = (p + u) / (n + m)
     z = np.abs(p / n - u / m) / np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / n + 1 / m))
@@ -129,14 +135,40 @@ def telling(pos: list[np.ndarray], unl: list[np.ndarray]) -> np.ndarray:
     return (z >= max(1e-9, min(MIN_Z, np.sort(z)[-MIN_FEATURES])))
 
 
+def class_prior(pos: list[np.ndarray], unl: list[np.ndarray]) -> float:
+    """The toxic share of the unlabelled, by the best bin of scores: the share of
+    the unlabelled over a score to that of the positives, one standard error up,
+    where this bound is the lowest.  Log odds of the telling features score; no
+    document scores itself, nor does a copy of it.  1 if the features tell nothing."""
+    part = [np.array([zlib.crc32(r.tobytes()) % FOLDS for r in rows]) for rows in (pos, unl)]
+    scores: list[list[float]] = [[], []]
+    for k in range(FOLDS):
+        p, u = ([r for r, f in zip(rows, of) if f != k] for rows, of in zip((pos, unl), part))
+        if not p or not u:
+            continue
+        a, b = _counts(p), _counts(u)
+        odds = np.where(telling(p, u), np.log((a + 1) / (len(p) + 2)) - np.log((b + 1) / (len(u) + 2)), 0.0)
+        for to, rows, of in zip(scores, (pos, unl), part):
+            to += [odds[r].sum() for r, f in zip(rows, of) if f == k]
+    p, u = (np.sort(x) for x in scores)
+    if not len(p) or not len(u):
+        return 1.0
+    over = lambda x: 1 - np.searchsorted(x, p) / len(x)
+    a, b = over(p), np.maximum(over(u), 1 / len(u))
+    error = np.sqrt((1 - a) / (a * len(p)) + (1 - b) / (b * len(u)))
+    return float(min(1.0, (b / a * (1 + error)).min()))
+
+
 def train(docs: DataFrame, labels: DataFrame, classifiers: int = CLASSIFIERS, **columns) -> tuple[np.ndarray, float, float]:
     """Mean weights and bias of the classifiers, and the class prior."""
     positive, unlabelled, prior = training_sample(docs, labels, **columns)
     if not positive or not unlabelled:
         return np.zeros(FEATURES, np.float32), float("nan"), prior
-    prior = min(max(prior, 1e-3), 0.5)
     cache = WordCache(_hash)
     pos, unl = [features(t, cache) for t in positive], [features(t, cache) for t in unlabelled]
+    found = class_prior(pos, unl)
+    # where the positives can't be told from the rest: the share among the labelled
+    prior = min(max(found if found <= 0.5 else prior, 1e-3), 0.5)
     known = telling(pos, unl)
     column = np.cumsum(known) - 1
     dense = lambda rows: [column[r[known[r]]] for r in rows]

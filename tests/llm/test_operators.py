@@ -206,6 +206,25 @@ def test_small_sets_by_subsets(spark, monkeypatch):
     assert ngram_join.choose_boundary({3: 100}, 50.0) >= 4 and ngram_join.choose_boundary({20: 1000}, 0.0) <= 19
 
 
+def test_small_sets_by_subsets_at_every_boundary(spark, monkeypatch):
+    from casetrail.llm import ngram_join
+    rng = random.Random(9)
+    base = [[f"w{rng.randint(0, 40)}" for _ in range(rng.randint(4, 28))] for _ in range(6)]
+    texts = []
+    for _ in range(80):
+        w = list(rng.choice(base))
+        if rng.random() < 0.7:
+            w[rng.choice([0, -1])] = f"v{rng.randint(0, 3)}"
+        texts.append(" ".join(w))
+    want = brute.near_components(texts)
+    for x in ngram_join.BOUNDARIES:
+        monkeypatch.setattr(ngram_join, "choose_boundary", lambda *a, x=x: x)
+        got = by_id(ngram_join.near_copies(docs_df(spark, [(i, t, "s") for i, t in enumerate(texts)])))
+        assert [(got[i]["n_shingles"], got[i]["component_id"]) for i in range(len(texts))] == want
+    monkeypatch.undo()
+    assert ngram_join.choose_boundary({3: 100}, 50.0) >= 4 and ngram_join.choose_boundary({20: 1000}, 0.0) <= 19
+
+
 def test_word_hashes_and_sketches():
     """Words hash alike at every offset, over block edges too; a sketch never rules out sets that link."""
     import numpy as np
@@ -288,6 +307,31 @@ def test_toxicity(spark, empty):
     assert {r["score"] for r in toxicity_scores(d, lab.limit(0)).collect()} == {0.0}
 
 
+@pytest.mark.parametrize("lookalikes", [False, True])
+def test_toxicity_labels_that_favour_toxic_rows(spark, lookalikes):
+    """A label for every even id, or for all toxic rows and few others with clean
+    rows that hold one of their words."""
+    from casetrail.llm.toxicity import toxicity_scores
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(600):
+        w = [f"w{rng.randint(0, 300)}" for _ in range(40)]
+        for _ in range(4 * (i % 8 == 0)):
+            w[rng.randrange(40)] = rng.choice(["vile", "nasty", "foul"])
+        if lookalikes and i % 8 == 1:
+            w[0] = rng.choice(["vile", "nasty", "foul"])
+        rows.append((i, " ".join(w), "s"))
+        if i % (8 if lookalikes else 2) == 0 or rng.random() < (0.05 if lookalikes else 0.2):
+            labels.append((i, 1, int(i % 8 == 0)))
+    got = by_id(toxicity_scores(docs_df(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")))
+    held = [i for i in range(600) if got[i]["held_out"]]
+    if not lookalikes:
+        assert sum(got[i]["predicted"] == (i % 8 == 0) for i in held) >= 0.97 * len(held)
+    assert all(got[i]["predicted"] for i in held if len({"vile", "nasty", "foul"} & set(rows[i][1].split())) > 1)
+    assert sum(got[i]["predicted"] for i in held if i % 8 == 1) < 0.5 * sum(i % 8 == 1 for i in held)
+    assert not any(got[i]["predicted"] for i in held if i % 8 > 1)
+
+
 def test_pieces(spark, docs, texts, empty):
     from casetrail.llm import pieces as P
     p = P.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
