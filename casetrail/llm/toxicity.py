@@ -3,8 +3,12 @@
 Confirmed toxic documents are the positives.  The unlabelled text is drawn from
 all documents of the training folds, whatever their labels, so that a share
 ``prior`` of it is toxic, as estimated from the positives and the unlabelled
-text (see ``class_prior``), so that labels need not cover a random part.  The classifiers are linear over hashed words (present or not) and
-minimise the risk
+text (see ``class_prior``), so that labels need not cover a random part.  The classifiers are linear over
+hashed words (present or not) and word stems: a stem is the first 4 or 6 letters
+of a longer word, and counts as present, as shared by 2 or by 3 distinct words of the
+text, and as shared by a 128th, 64th or 32nd of them.  So rare forms of a word
+share their evidence, and one form by chance in a long text is told from many.
+They minimise the risk
 
     prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives))
 
@@ -27,6 +31,7 @@ empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -37,10 +42,12 @@ from pyspark.sql import functions as F
 from .common import small_batches
 from .word_cache import WordCache, worker_cache
 
-FEATURES, FOLDS, CLASSIFIERS = 1 << 18, 5, 3
+FEATURES, FOLDS, CLASSIFIERS = 1 << 21, 5, 3
 MAX_POSITIVE, MAX_UNLABELLED = 3000, 12000
 STEPS, RATE, DECAY = 200, 0.1, 1e-4
 MIN_DOCS, MIN_Z, MIN_FEATURES = 3, 6.0, 4
+#: Letters of a stem, distinct words that share it, and the part of a text's distinct words that they are.
+STEMS, SHARED, PARTS = (4, 6), (2, 3), (128, 64, 32)
 
 _word = re.compile(r"\w+")
 
@@ -50,12 +57,20 @@ def remainder(doc_id: Column) -> Column:
 
 
 def _hash(words):
-    return (zlib.crc32(w.encode("utf-8", "replace")) % FEATURES for w in words)
+    """Per word the hashes of it and of its stems, 4 bytes each."""
+    for w in words:
+        stems = [zlib.crc32(w[:n].encode("utf-8", "replace"), n) for n in STEMS if len(w) > n]
+        yield struct.pack(f"<{1 + len(stems)}I", zlib.crc32(w.encode("utf-8", "replace")), *stems)
 
 
 def features(text: str, cache: WordCache) -> np.ndarray:
-    """The distinct features of a text, ascending."""
-    return np.unique(np.array(cache.values(list(set(_word.findall(text.lower())))), np.int64))
+    """The features of a text: its words and stems, and the levels of shared stems."""
+    words = list(set(_word.findall(text.lower())))
+    found, n = np.unique(np.frombuffer(b"".join(cache.values(words)), "<u4"), return_counts=True)
+    shared, m = found[n > 1].astype(np.int64), n[n > 1]
+    levels = [shared[m >= k] * (2 * k + 1) + k for k in SHARED]
+    levels += [shared[m * k >= len(words)] * (2 * k + 1) + k for k in PARTS]
+    return (np.concatenate([found.astype(np.int64), *levels]) % FEATURES).astype(np.int32)
 
 
 class Sparse:
@@ -129,7 +144,7 @@ def telling(pos: list[np.ndarray], unl: list[np.ndarray]) -> np.ndarray:
     the classifier learn its positives by heart."""
     p, u = _counts(pos), _counts(unl)
     n, m = len(pos), len(unl)
-    both = (p + u) / (n + m)
+    both = np.minimum((p + u) / (n + m), 1)
     z = np.abs(p / n - u / m) / np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / n + 1 / m))
     z[p + u < MIN_DOCS] = 0.0
     return (z >= max(1e-9, min(MIN_Z, np.sort(z)[-MIN_FEATURES])))

@@ -332,6 +332,24 @@ def test_toxicity_labels_that_favour_toxic_rows(spark, lookalikes):
     assert not any(got[i]["predicted"] for i in held if i % 8 > 1)
 
 
+def test_toxicity_rare_forms_share_a_stem(spark):
+    from casetrail.llm.toxicity import toxicity_scores
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(600):
+        toxic = i % 8 == 0
+        w = [f"w{rng.randint(0, 300)}" for _ in range(60)]
+        for k in rng.sample(range(60), 5 if toxic else int(rng.random() < 0.2)):
+            w[k] = f"grumpf{rng.randint(0, 10 ** 6)}"  # hardly any form occurs twice
+        rows.append((i, " ".join(w), "s"))
+        if rng.random() < 0.6:
+            labels.append((i, 1, int(toxic)))
+    got = by_id(toxicity_scores(docs_df(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")))
+    held = [i for i in range(600) if got[i]["held_out"]]
+    assert all(got[i]["predicted"] for i in held if i % 8 == 0)
+    assert sum(got[i]["predicted"] for i in held if i % 8) <= 0.03 * len(held)
+
+
 def test_pieces(spark, docs, texts, empty):
     from casetrail.llm import pieces as P
     p = P.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
