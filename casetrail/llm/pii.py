@@ -4,8 +4,13 @@ High-recall generators propose spans that may overlap: the four base patterns,
 whose valid matches are always redacted, and looser patterns around them (any
 word with an at sign, any run of digits and separators).  Each candidate gets
 format features (digits, separators, length, Luhn) and context features (the
-characters and words beside it).  Candidates that a base pattern confirms are
-the positives.  All candidates of the corpus are summed up by their features
+characters and words beside it).  The loose candidates that a base pattern
+confirms are positives, shown without what confirmed them: the '+' of a phone
+is hidden.  So are numbers after a word for a phone.  The negatives are those that other evidence speaks against: runs
+inside hex, code, dates, amounts or addresses, and e-mails without a domain.  The
+rest (numbers without '+', e-mails in other letters) is open: not learnt from, and
+added where it scores like the confirmed ones, as hinted numbers are; ip and card
+have no such rest, as their validity settles them.  The labelled candidates are summed up by their features
 (a table bounded by the number of feature values, made map-side first); a small
 gradient-boosted ensemble of depth-two trees is fitted on it, and each kind's
 threshold is the lowest score at which the held-out candidates reach
@@ -46,6 +51,13 @@ LOOSE = {
 CONTEXT = 24
 PRECISION, ROUNDS, LEARNING = 0.995, 24, 0.4
 #: Words before a number that speak for a phone, an address or a card.
+#: What stands beside or makes up a number that is a piece of code, a date, an amount or an address.
+CODE_BEFORE = r"[\p{L}\p{N}_#/=$€£%@]\z|[0-9][,:]\z"
+CODE_AFTER = r"^[\p{L}\p{N}_/=$€£%@]|^[,:][0-9]"
+CODE = (r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+|^[0-9]{4}[-.][0-9]{1,2}[-.][0-9]{1,2}(?:[ -]|$)|^[0-9]{1,2}[-. ][0-9]{1,2}[-. ][0-9]{4}$"
+        r"|^[0-9]+\.[0-9]+$")
+PHONE_HINT = r"(?i)(?:tel|phone|fon|mobil|m[oó]vil|fax)\p{L}{0,8}[.: ]{1,3}\z"
+AMOUNT = r"^[1-9][0-9]{0,2}(?:[. ][0-9]{3})+$"
 HINTS = r"(?i)(tel|phone|fon|call|mobil|m[oó]vil|fax|card|visa|carte|karte|tarjeta|ip|host|mail)[^\n]{0,12}$"
 BLOCK = 256
 
@@ -131,43 +143,52 @@ def _candidates(found: Column, kind: str, pattern: str, generator: int) -> Colum
         m, prev, nxt = x["m"], x["prev"], x["next"]
         n = F.length(_digits(m))
         if generator == 0:
-            named, good = F.lit(kind), _valid(kind, m)
+            named, good, open_, learn = F.lit(kind), _valid(kind, m), F.lit(False), F.lit(False)
         elif kind == "email":
             named, good = F.lit(kind), m.rlike(rf"^[{_LOCAL}]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+$")
+            # one that holds a base match is covered by it
+            open_ = m.rlike(r"@[^@]*[^\s@]\.\p{L}{2,}$") & ~m.rlike(BASE["email"])
+            learn = good | (~open_ & ~m.rlike(BASE["email"]))
         else:
             dots = m.rlike(r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$")
             named = F.when(dots, F.lit("ip")).when(n >= 16, F.lit("card")).otherwise(F.lit("phone"))
+            code = (prev.rlike(CODE_BEFORE) | nxt.rlike(CODE_AFTER) | m.rlike(CODE) | (m.rlike(AMOUNT) & ~prev.rlike(HINTS)))
             good = (F.when(dots, F.when(dots, _valid("ip", m)).otherwise(False))
                     .when(n >= 16, _valid("card", m) & m.rlike(r"^[0-9](?:[ -]?[0-9])+$"))
-                    .otherwise(prev.rlike(r"\+[ ().0-9-]*$") & n.between(6, 15)))
+                    .otherwise((prev.rlike(r"\+\z") & n.between(8, 15)) | (prev.rlike(PHONE_HINT) & n.between(8, 15) & ~code)))
+            open_ = (named == "phone") & ~prev.rlike(r"\+[ ().0-9-]*\z") & n.between(6, 15) & ~code
+            learn = (named != "phone") | good | code
+            prev = F.regexp_replace(prev, r"\+\z", "")
         kindof = lambda c: (F.when(c == "", F.lit(0)).when(c.rlike(r"[\s]"), F.lit(1)).when(c.rlike(r"\p{L}"), F.lit(2))
                             .when(c.rlike("[0-9]"), F.lit(3)).when(c.isin("+", "(", "-", "."), F.lit(4)).otherwise(F.lit(5)))
         seps = F.length(m) - n
         return F.struct(
             named.alias("kind"), x["s"].alias("s"), x["e"].alias("e"), (F.lit(generator == 0) & good).alias("base"),
-            F.coalesce(good, F.lit(False)).alias("good"),
-            F.struct(F.lit(generator).alias("generator"),
+            F.coalesce(good, F.lit(False)).alias("good"), F.coalesce(open_, F.lit(False)).alias("open"),
+            F.coalesce(learn, F.lit(False)).alias("learn"),
+            F.struct((seps > 0).cast("int").alias("grouped"),
                      F.when(named == "email", 0).when(named == "ip", 1).when(named == "card", 2).otherwise(3).alias("kind"),
                      F.when(n < 6, 0).when(n < 8, 1).when(n < 12, 2).when(n < 16, 3).when(n < 20, 4).otherwise(5).alias("digits"),
                      F.least(seps, F.lit(6)).alias("separators"),
                      kindof(F.right(prev, F.lit(1))).alias("before"), kindof(F.left(nxt, F.lit(1))).alias("after"),
                      F.when(n.between(12, 19), _luhn(m)).otherwise(False).cast("int").alias("luhn"),
-                     m.contains("(").cast("int").alias("paren"), m.contains("+").cast("int").alias("plus"),
+                     m.contains("(").cast("int").alias("paren"), m.contains(".").cast("int").alias("dots"),
                      m.rlike(r"[^\s@]\.[A-Za-z]{2,}").cast("int").alias("domain"),
                      prev.rlike(HINTS).cast("int").alias("hint")).alias("f"))
     return F.transform(found, row)
 
 
-FEATURES = ("generator", "kind", "digits", "separators", "before", "after", "luhn", "paren", "plus", "domain", "hint")
+FEATURES = ("grouped", "kind", "digits", "separators", "before", "after", "luhn", "paren", "dots", "domain", "hint")
 
 
 def feature_table(docs: DataFrame, id_col: str, text_col: str) -> list[tuple]:
-    """(features, fold, candidates, confirmed) over all documents.  Its rows are
+    """(features, fold, labelled candidates, confirmed) over all documents.  Its rows are
     combinations of feature values, not documents: a bounded number."""
     t = F.coalesce(F.col(text_col), F.lit(""))
     h = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
     # the outer form: for explode, Spark would add a filter on the list's size and make the list twice
-    c = with_candidates(docs, t, h).select(F.col("_k0").alias("_h"), F.explode_outer("_c").alias("c")).filter("c is not null")
+    c = with_candidates(docs, t, h).select(F.col("_k0").alias("_h"), F.explode_outer("_c").alias("c"))
+    c = c.filter("c.learn")
     rows = (c.select((F.col("_h") % 5 == 0).alias("held"), F.col("c.good").cast("long").alias("good"), "c.f.*")
             .groupBy("held", *FEATURES).agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("y")))
     return sorted((tuple(r[f] for f in FEATURES), r["held"], r["n"], r["y"]) for r in rows.collect())
@@ -231,7 +252,7 @@ def thresholds(model, rows, precision: float = PRECISION) -> dict[int, float]:
     are confirmed at the wanted rate; infinite where none is."""
     out = {}
     for kind in range(len(KINDS)):
-        held = sorted(((tree_score(model, r[0]), r[2], r[3]) for r in rows if r[0][1] == kind), reverse=True)
+        held = sorted(((tree_score(model, r[0]), r[2], r[3]) for r in rows if r[0][FEATURES.index("kind")] == kind), reverse=True)
         n = y = 0
         out[kind] = math.inf
         for i, (s, c, d) in enumerate(held):
@@ -243,7 +264,7 @@ def thresholds(model, rows, precision: float = PRECISION) -> dict[int, float]:
 
 
 def _chosen(model, cuts: dict[int, float]):
-    """candidate -> Column: a base span, or a score at or over its threshold."""
+    """candidate -> Column: a base span, or an open one with a score at or over its threshold."""
     start, trees = model
 
     def test(c):
@@ -255,7 +276,7 @@ def _chosen(model, cuts: dict[int, float]):
         cut = F.lit(math.inf)
         for k, v in cuts.items():
             cut = F.when(f["kind"] == k, F.lit(float(v))).otherwise(cut)
-        return c["base"] | (score >= cut)
+        return c["base"] | (c["open"] & (score >= cut))
     return test
 
 

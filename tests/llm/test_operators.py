@@ -168,6 +168,23 @@ def test_personal_data(spark, docs, texts, empty):
     assert personal_data(empty).count() == 0
 
 
+def test_personal_data_outside_the_base_patterns(spark):
+    from casetrail.llm.pii import personal_data
+    rng = random.Random(4)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    texts = [f"word and +1 ({digits(3)}) 555-{digits(4)} more" for _ in range(300)]
+    texts += [f"token abcdef{digits(9)}fa12{digits(7)}c end, to a.b@some.org and on" for _ in range(200)]
+    texts += [f"my tel {digits(3)} {digits(3)} {digits(4)} is" for _ in range(100)]
+    planted = ["(030) 1234-5678", "tel 555 123 4567", "jörg@büro.de"]
+    texts += [f"so {p} is" for p in planted]
+    plain = ["on 2024-01-15 12:30 at", "sum 1.234.567 of", "pi 3.14159265 is", "x 1.2.3.4567 y", "n 10,12 345 678 z", "tel#555 123 4567 x",
+             "a@b c", "write to a.b@some.org. Then", "at +12 345 x"]
+    got = by_id(personal_data(docs_df(spark, [(i, t, "s") for i, t in enumerate(texts + plain)])))
+    added = {i: sorted(set(r["spans"].split(",")) - set(brute.base_spans((texts + plain)[i])) - {""}) for i, r in got.items()}
+    assert {i: a for i, a in added.items() if a} == {
+        **{i: ["phone:7:19"] for i in range(500, 600)}, 600: ["phone:3:18"], 601: ["phone:7:19"], 602: ["email:3:15"]}
+
+
 def test_boosted_trees_separate_what_features_tell():
     from casetrail.llm import pii
     rows = [((0, 3, d, 0, 0, 0, 0, 0, p, 0, 0), False, 100, 100 if d == 3 and p == 1 else 0) for d in range(6) for p in (0, 1)]
