@@ -75,7 +75,7 @@ def op9_toxicity(spark, sf_dir):
 
 def op10_pieces(spark, sf_dir):
     from .pieces import encode_pieces
-    return encode_pieces(_documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
+    return encode_pieces(_documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"), with_ids=True)
 
 
 def pipeline(spark, sf_dir):

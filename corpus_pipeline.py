@@ -39,7 +39,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: one row per document of the mix, encoded and decoded."""
-    return encode_pieces(docs, vocabulary("piece_bpe_32k.model"))
+    return encode_pieces(docs, vocabulary("piece_bpe_32k.model"), with_ids=True)
 
 
 STAGES = [("toxicity", toxicity), ("exact_dedup", exact_dedup), ("ngram_join", ngram_join), ("mixing", mixing),

@@ -385,6 +385,17 @@ def test_pieces(spark, docs, texts, empty):
     assert P.encode_pieces(empty, public_tokenizers.path("piece_bpe_32k.model")).count() == 0
 
 
+def test_pieces_query_and_stage_give_the_encoded_corpus(spark):
+    import corpus_pipeline as C
+    from casetrail.llm.queries import op10_pieces
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in d.collect()}
+    for out in (op10_pieces(spark, SF), C.pieces(spark, d, SF)):
+        rows = out.collect()
+        assert len(rows) == len(texts) and all(r["decoded"] == texts[r["doc_id"]] for r in rows if r["round_trip"])
+        assert all(zlib.crc32(b"".join(x.to_bytes(4, "little") for x in r["ids"])) == r["ids_crc32"] for r in rows)
+
+
 def test_pipeline(spark):
     import corpus_pipeline as C
     assert [n for n, _ in C.STAGES] == ["toxicity", "exact_dedup", "ngram_join", "mixing", "pieces"]
