@@ -39,6 +39,12 @@ def store(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it again."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_dir(spark: SparkSession, path: str) -> None:
     """Delete what one run stored (its own folder only)."""
     jvm = spark.sparkContext._jvm

@@ -78,13 +78,29 @@ def op10_pieces(spark, sf_dir):
     return encode_pieces(_documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"), with_ids=True)
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    from .merkle import merkle_manifest
+    return merkle_manifest(_documents(spark, sf_dir))
+
+
+def op12_merge_replay(spark, sf_dir):
+    from .merge_replay import replay_tokens
+    import public_tokenizers
+    return replay_tokens(_documents(spark, sf_dir), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op13_token_alignment(spark, sf_dir):
+    from .token_alignment import align_tokens
+    return align_tokens(_documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 _QUERIES = [op1_bit_planes, op2_token_counts, op3_mixing, op4_host_rules, op5_pii, op6_ngram_join, op7_suffix_dedup,
-            op8_exact_dedup, op9_toxicity, op10_pieces, pipeline]
+            op8_exact_dedup, op9_toxicity, op10_pieces, op11_merkle_manifest, op12_merge_replay, op13_token_alignment, pipeline]
 
 
 def registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:

@@ -92,4 +92,67 @@ select d.doc_id, coalesce(n.n, 0) as n_shingles, c.component_id
 from d left join n using (doc_id) join (select a as doc_id, min(b) as component_id from r group by a) c using (doc_id)
 """
 
-ORACLE = {"op3_mixing": _OP3, "op4_host_rules": _OP4, "op6_ngram_join": _OP6, "op8_exact_dedup": _OP8}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _h(text: str) -> str:
+    """The leaf digest, with ``text`` for the text."""
+    return "sha256(" + " || ".join(f"coalesce(strlen({c}::varchar) || ':' || {c}::varchar, '-')"
+                                   for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_OP11 = f"""
+with recursive d as (
+  select doc_id, source, {_h('text')} as leaf, {_h(f"translate(text, '{_UPPER}', '{_LOWER}')")} as lowered,
+         flatten(list_transform(string_split(doc_id::varchar, ''), lambda c: list_transform(range(8), lambda k: (ascii(c) >> k::int) & 1))) as bits
+  from documents),
+c as (
+  select *, xor(list_reduce(list_prepend(4294967295::bigint, bits::bigint[]),
+                            lambda a, b: xor(a >> 1, case when xor(a, b) & 1 = 1 then 3988292384 else 0 end)), 4294967295) as crc from d),
+leaves as (
+  select doc_id, source, leaf, case when crc % 5 = 0 then lowered else leaf end as seen,
+         row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos,
+         row_number() over (order by source nulls first, doc_id nulls first, leaf) as rid
+  from c),
+low as (
+  select source, 0 as level, pos, leaf as h from leaves
+  union all
+  select source, level + 1, pos // 16, sha256(string_agg(h, '' order by pos))
+  from (select *, count(*) over (partition by source) as n from low) where n > 1 group by source, level, pos // 16),
+subroots as (
+  select source, max(level) as height, arg_max(h, level) as subroot, row_number() over (order by source nulls first) - 1 as place
+  from low group by source),
+top as (
+  select 0 as level, place as pos, subroot as h from subroots
+  union all
+  select level + 1, pos // 16, sha256(string_agg(h, '' order by pos))
+  from (select *, count(*) over () as n from top) where n > 1 group by level, pos // 16),
+crown as (select max(level) as height, arg_max(h, level) as root from top),
+runs as (
+  select false as up, source, level, pos // 16 as run, list(h order by pos) as hs from low group by source, level, pos // 16
+  union all
+  select true, null, level, pos // 16, list(h order by pos) from top group by level, pos // 16),
+steps as (
+  select rid, false as up, l.source, unnest(range(s.height)) as level, unnest(range(s.height)) as step, pos, doc_id
+  from leaves l join subroots s on l.source is not distinct from s.source
+  union all
+  select rid, true, null, unnest(range(k.height)), unnest(range(k.height)) + s.height, place, doc_id
+  from leaves l join subroots s on l.source is not distinct from s.source, crown k),
+proof as (
+  select rid, step, hs, ((pos >> (4 * s.level)::int) % 16)::int as own
+  from steps s join runs r on s.up = r.up and s.source is not distinct from r.source and s.level = r.level
+   and (s.pos >> (4 * s.level + 4)::int) = r.run),
+folded as (
+  select rid, 0::bigint as step, seen as h from leaves
+  union all
+  select f.rid, f.step + 1, sha256(array_to_string(hs[1:own] || [f.h] || hs[own + 2:], ''))
+  from folded f join proof p on f.rid = p.rid and f.step = p.step),
+ends as (select rid, arg_max(h, step) as folded_root from folded group by rid),
+digests as (select rid, sha256(string_agg(array_to_string(hs[1:own] || hs[own + 2:], ''), '' order by step)) as proof_sha256 from proof group by rid)
+select l.doc_id, l.leaf, s.subroot, k.root, coalesce(g.proof_sha256, sha256('')) as proof_sha256, e.folded_root,
+       e.folded_root = k.root as verified
+from leaves l join subroots s on l.source is not distinct from s.source join ends e on l.rid = e.rid
+left join digests g on l.rid = g.rid, crown k
+"""
+
+ORACLE = {"op11_merkle_manifest": _OP11, "op3_mixing": _OP3, "op4_host_rules": _OP4, "op6_ngram_join": _OP6, "op8_exact_dedup": _OP8}
