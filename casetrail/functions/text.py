@@ -71,12 +71,13 @@ def parse_meta(line) -> Column:
     """
     line = _c(line)
     m = meta_of(line)
-    n = F.length(m)
-    typ = m.substr(F.lit(2), F.instr(m, ":") - 2)
-    parsed = F.struct(
-        m.substr(n - 10, F.lit(10)).alias("date"),
-        typ.alias("type"),
-        m.substr(F.length(typ) + 3, n - F.length(typ) - 14).alias("user"),
-        line.substr(F.lit(1), F.length(line) - n).alias("text"),
-    )
-    return F.when(n > 0, parsed)
+    return F.when(F.length(m) > 0, F.struct(*[v.alias(k) for k, v in meta_parts(line, m).items()]))
+
+
+def meta_parts(line: Column, meta: Column) -> dict[str, Column]:
+    """What a closing line and its meta suffix say."""
+    n = F.length(meta)
+    typ = meta.substr(F.lit(2), F.instr(meta, ":") - 2)
+    return {"date": meta.substr(n - 10, F.lit(10)), "type": typ,
+            "user": meta.substr(F.length(typ) + 3, n - F.length(typ) - 14),
+            "text": line.substr(F.lit(1), F.length(line) - n)}

@@ -1,7 +1,7 @@
 """Shared helpers for the operators."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Largest side (rows) we are willing to broadcast to every executor.  Masters
@@ -9,17 +9,21 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 200_000
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the row count is proven to be at most ``max_rows``.
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """Whether ``df`` is proven to hold at most ``max_rows`` rows.  The check reads
+    at most ``max_rows + 1`` of them, once: the verdict stays with the frame."""
+    if getattr(df, "_casetrail_checked", None) is None:
+        df._casetrail_checked = df.limit(max_rows + 1).count() <= max_rows
+    return df._casetrail_checked
 
-    The check reads at most ``max_rows + 1`` rows; beyond it the frame is
-    returned unhinted and Spark plans a shuffle (sort-merge) join instead.
-    """
-    if getattr(df, "_casetrail_checked", None) is not None:
-        return df
-    n = df.limit(max_rows + 1).count()
-    out = F.broadcast(df) if n <= max_rows else df
-    out._casetrail_checked = n <= max_rows  # checked once; operators reuse the verdict
+
+def small_side(df: DataFrame, *columns: Column, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``df`` (or ``columns`` of it) with a broadcast hint, only where it is proven
+    small; otherwise unhinted, and Spark plans a shuffle (sort-merge) join."""
+    small = is_small(df, max_rows)
+    out = df.select(*columns) if columns else df
+    out = F.broadcast(out) if small else out
+    out._casetrail_checked = small
     return out
 
 
@@ -29,3 +33,18 @@ def known_small(df: DataFrame, n_rows: int, max_rows: int = BROADCAST_MAX_ROWS)
     out = F.broadcast(df) if n_rows <= max_rows else df
     out._casetrail_checked = n_rows <= max_rows
     return out
+
+
+def coded(df: DataFrame, keys: list[str]) -> DataFrame | None:
+    """The distinct ``keys`` of a master proven small, numbered (``_code``), for
+    picks that carry a number instead of texts; None where it isn't small."""
+    if not is_small(df):
+        return None
+    known = getattr(df, "_casetrail_codes", None)
+    if known is None:
+        part = df.select(*keys).distinct()
+        rows = sorted(part.collect(), key=lambda r: [(v is not None, v) for v in r])
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in part.schema) + ", _code int"
+        known = df._casetrail_codes = known_small(
+            df.sparkSession.createDataFrame([(*r, i) for i, r in enumerate(rows)], schema), len(rows))
+    return known

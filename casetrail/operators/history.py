@@ -37,16 +37,9 @@ def split_history(cases: DataFrame, id_col: str = "incident_id", by_col: str = "
     def entry(s, k):
         prev = F.when(k == 0, F.lit(-1)).otherwise(F.element_at(F.col("_closing"), k)["i"])
         carried = F.array_join(F.slice(F.col("_lines"), prev + 2, s["i"] - prev - 1), "")
-        m, line = s["m"], s["line"]
-        n = F.length(m)
-        typ = m.substr(F.lit(2), F.instr(m, ":") - 2)
-        return F.struct(
-            (k + 1).alias("seq"),
-            typ.alias("div"),
-            m.substr(F.length(typ) + 3, n - F.length(typ) - 14).alias("by"),
-            m.substr(n - 10, F.lit(10)).alias("date"),
-            F.concat(carried, line.substr(F.lit(1), F.length(line) - n)).alias("text"),
-        )
+        said = TX.meta_parts(s["line"], s["m"])
+        return F.struct((k + 1).alias("seq"), said["type"].alias("div"), said["user"].alias("by"),
+                        said["date"].alias("date"), F.concat(carried, said["text"]).alias("text"))
 
     first = F.struct(F.lit(0).alias("seq"), F.lit(TX.REGISTER_TYPE).alias("div"),
                      F.col("_by").alias("by"), F.col("_date").alias("date"),

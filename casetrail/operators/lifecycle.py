@@ -7,12 +7,16 @@ cut into *segments* of at most ``segment_size`` consecutive sequence numbers
 that).  Per-segment figures are pre-aggregated map-side, folded per case on the
 small segment table, and joined back on (case, segment).  The ``lead`` runs
 within a segment and takes the next segment's first date at the boundary.  So
-the only shuffle of full entry rows is hash-partitioned by (case, segment),
-and no task ever holds more than one segment of one case.
+the only shuffle of entry rows is hash-partitioned by (case, segment), and no
+task ever holds more than one segment of one case.  Entries that already lie
+by (case, segment), with their segment in ``_seg``, are not shuffled at all.
+
+The wording flags are computed where the text is read.  Whoever does not ask for
+``comment`` moves no texts: they are pruned below the shuffle.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as TX
@@ -35,10 +39,10 @@ LIFECYCLE_COLUMNS = [
 
 def with_entry_types(entries: DataFrame, types: DataFrame) -> DataFrame:
     """Left join the type master; unknown types -> 'others' / 'unknown' / false."""
-    m = small_side(types.select(
-        F.col("comment_div").alias("_m_div"), F.col("ball_on").alias("_m_ball_on"),
+    m = small_side(
+        types, F.col("comment_div").alias("_m_div"), F.col("ball_on").alias("_m_ball_on"),
         F.col("is_closer").alias("_m_closer"), F.col("is_approver").alias("_m_approver"),
-        F.col("is_patch_planned").alias("_m_patch"), F.col("is_response").alias("_m_response")))
+        F.col("is_patch_planned").alias("_m_patch"), F.col("is_response").alias("_m_response"))
     j = entries.join(m, entries["comment_div"] == m["_m_div"], "left")
     return j.select(
         *[F.col(c) for c in entries.columns],
@@ -56,20 +60,30 @@ def _flag(pred) -> F.Column:
     return F.coalesce(pred, F.lit(False))
 
 
-CASE_LAST_SEQ = "_case_last_seq"
+#: What the spine and the months ask of an entry besides the lifecycle columns:
+#: its segment, whether its case spans several, and whether the case's dates never fall as seq
+#: rises (said of single-segment cases only).
+PART_COLUMNS = ["_seg", "_split", "_chain"]
+
+
+def segment_of(seq, segment_size: int = SEGMENT_SIZE) -> Column:
+    return F.floor((F.col(seq) if isinstance(seq, str) else seq) / F.lit(segment_size)).cast("int")
 
 
 def entry_lifecycle(entries: DataFrame, types: DataFrame, aliases: DataFrame,
-                    segment_size: int = SEGMENT_SIZE, with_case_last_seq: bool = False) -> DataFrame:
+                    segment_size: int = SEGMENT_SIZE, parts: bool = False) -> DataFrame:
     """C6 over staged entries (``comment_id`` ... ``comment``); 22 columns out.
 
-    ``with_case_last_seq`` appends the case's highest seq as ``_case_last_seq``
-    (taken from the segment table, no extra pass), which lets the daily spine
-    tell single-segment cases from split ones.
+    ``parts`` appends ``PART_COLUMNS`` (no extra pass): they let the daily spine
+    tell single-segment cases from split ones, and days that only one entry can
+    cover from shared ones.  Entries may bring ``_seg`` of the same size.
     """
     seq = F.col("comment_seq")
-    e = with_entry_types(entries, types).withColumn(
-        "_seg", F.floor(seq / F.lit(segment_size)).cast("int"))
+    if "_seg" not in entries.columns:
+        entries = entries.withColumn("_seg", segment_of(seq, segment_size))
+    e = with_entry_types(entries, types).withColumns({
+        "is_force_close_announce": TX.is_force_close_announce("comment"),
+        "is_force_close": TX.is_force_close("comment")})
 
     # A2 per segment (partial aggregation before the shuffle).
     seg = e.groupBy("incident_id", "_seg").agg(
@@ -104,16 +118,18 @@ def entry_lifecycle(entries: DataFrame, types: DataFrame, aliases: DataFrame,
         _flag(F.col("is_approver") & (seq == F.col("_max_seq_no_appr") + 1)).alias("is_final_approver"),
         _flag(seq == F.col("_last_seq")).alias("is_last_comment"),
         raw_next.alias("_raw_next"),
-        "_last_seq",
+        "_last_seq", "_seg",
     )
 
     # Author aliases.
-    a = small_side(aliases.select(F.col("user_name").alias("_a_name"),
-                                  F.col("user_name_adjusted").alias("_a_adjusted")))
+    a = small_side(aliases, F.col("user_name").alias("_a_name"), F.col("user_name_adjusted").alias("_a_adjusted"))
     flagged = flagged.join(a, flagged["comment_by"] == a["_a_name"], "left")
 
     final_close = F.col("is_final_closer") | F.col("is_final_approver")
     next_date = F.when(final_close, F.coalesce("_raw_next", "comment_date")).otherwise(F.col("_raw_next"))
+    split = F.col("_last_seq") >= segment_size
+    rising = F.col("is_last_comment") | (next_date.isNotNull() & (next_date >= F.col("comment_date")))
+    chain = F.bool_and(_flag(rising)).over(Window.partitionBy("incident_id", "_seg"))
     return flagged.select(
         "comment_id", "incident_id", "comment_seq",
         F.col("comment_div_adjusted").alias("comment_div"),
@@ -126,8 +142,7 @@ def entry_lifecycle(entries: DataFrame, types: DataFrame, aliases: DataFrame,
         "ball_on", "is_first_response", "is_closer", "is_final_closer",
         "is_after_final_close", "is_approver", "is_final_approver", "is_last_comment",
         "is_patch_planned",
-        TX.is_force_close_announce("comment").alias("is_force_close_announce"),
-        TX.is_force_close("comment").alias("is_force_close"),
-        "comment",
-        *([F.col("_last_seq").alias(CASE_LAST_SEQ)] if with_case_last_seq else []),
+        "is_force_close_announce", "is_force_close", "comment",
+        *(["_seg", F.coalesce(split, F.lit(True)).alias("_split"),
+           (chain & ~F.coalesce(split, F.lit(True))).alias("_chain")] if parts else []),
     )

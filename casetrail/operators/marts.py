@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import first_date_of_fiscal_scope, lit_date
@@ -41,15 +41,21 @@ def active_cases(rollup: DataFrame) -> DataFrame:
     return rollup.filter(F.col("closed_date").isNull()).select(*ACTIVE_COLUMNS)
 
 
+def scope_start(as_of: _dt.date, scope_years: int = MART_SCOPE_YEARS) -> Column:
+    """P10: the first day that the mart shows."""
+    return first_date_of_fiscal_scope(lit_date(as_of), scope_years)
+
+
 def mart_monthly(monthly: DataFrame, rollup: DataFrame, as_of: _dt.date,
                  scope_years: int = MART_SCOPE_YEARS) -> DataFrame:
     """Monthly facts in the fiscal scope joined to the case attributes.
 
-    The scope filter sits on the monthly side, below the join, so it prunes
-    before the shuffle; the case side is projected to the 17 columns it gives.
+    The scope filter sits on the monthly side, below the join.  Months that are
+    made for this mart alone should start at ``scope_start`` (``since`` of
+    ``monthly_from_intervals``): then no earlier month is made at all.  The
+    case side is projected to the 17 columns it gives.
     """
-    start = first_date_of_fiscal_scope(lit_date(as_of), scope_years)
-    t1 = monthly.filter(F.col("month_id") >= start)
+    t1 = monthly.filter(F.col("month_id") >= scope_start(as_of, scope_years))
     t2 = rollup.select("incident_id", *_CASE_SIDE).withColumnRenamed("incident_id", "_case_id")
     j = t1.join(t2, t1["incident_id"] == t2["_case_id"], "inner")
     return j.select(*MART_MONTHLY_COLUMNS)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import lit_date, month_end, month_start, yyyymm
 from ..functions.keys import joined
-from .spine import SIDES
+from .spine import ATTR_COLUMNS, SIDES, by_side, event_counts, intervals, one_if, rolled_by_segment
 
 MONTHLY_COLUMNS = [
     "month_id", "monthly_incident_id", "comment_id", "incident_id", "comment_seq",
@@ -41,26 +41,69 @@ def _snapshot(as_of: _dt.date):
     return (c("date_id") == F.least(month_end("date_id"), lit_date(as_of))) & (c("close_count") == 0)
 
 
-def monthly_from_partitioned_daily(whole_daily: DataFrame, attrs: DataFrame, as_of: _dt.date) -> DataFrame:
-    """Monthly rows of single-segment cases straight from their partitioned
-    daily rows: hash aggregate per (case, segment, month) with no exchange,
-    last entry = highest seq (its attributes through the co-partitioned join)."""
-    from .spine import with_attributes
+#: Sides in the two lowest bits of a packed pick; 0 is any other.
+_SIDE_CODES = {s: i + 1 for i, s in enumerate(SIDES)}
+_SUMS = [*_ELAPSED, *_ADDITIVE, "_covered", "_closed"]
+
+
+def monthly_from_intervals(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date,
+                           since: Column | None = None) -> DataFrame:
+    """C10 straight from the entries' intervals, without a row per day.
+
+    An entry makes one row per month that it touches.  Elapsed days are the
+    difference of dates (less the day that ends the interval), an entry counts where the
+    month holds its own day, and the month-end snapshot asks whether the
+    interval holds that day, whether any entry closes on it, and which side the highest
+    seq on it is on (packed with the seq).  As for days, months inside an
+    interval are final as they are made where the case's dates never fall.
+    ``since`` (the first day of a month) leaves out earlier months.
+    """
     c = F.col
-    m = whole_daily.withColumn("month_id", month_start("date_id"))
-    agg = m.groupBy("incident_id", "_seg", "month_id").agg(
-        F.max("comment_seq").alias("comment_seq"), *_month_sums(c, _snapshot(as_of)))
-    return _monthly_select(with_attributes(agg, attrs))
+    base = intervals(lifecycle, calendar, as_of, since)
+    month = F.expr("INTERVAL 1 MONTH")
+    first, last = month_start("_lo"), month_start("_hi")
+    kept = ["incident_id", "comment_seq", *ATTR_COLUMNS]
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
 
+    inside_first, inside_last = F.add_months(first, 1), F.add_months(last, -1)
+    days = F.when(c("_until").isNotNull(), F.dayofmonth(F.last_day("month_id")).cast("bigint")).otherwise(zero)
+    alone = (base.filter(c("_chain") & (inside_first <= inside_last))
+             .select(*kept, "_until", F.explode(F.sequence(inside_first, inside_last, month)).alias("month_id"))
+             .withColumns({**{x: zero for x in _ADDITIVE}, **by_side("elapsed_days", days),
+                           "_covered": one, "_closed": zero, "_snapshot": _packed_side()}))
 
-def _monthly_select(df: DataFrame) -> DataFrame:
-    return df.select(
-        "month_id",
-        joined(yyyymm("month_id"), F.col("incident_id")).alias("monthly_incident_id"),
+    ends = F.array_distinct(F.array(first, last))
+    touched = base.select("*", F.explode(F.when(c("_chain"), ends).otherwise(F.sequence(first, last, month))).alias("month_id"))
+    lo, hi = F.greatest("_lo", "month_id"), F.least(c("_hi"), F.last_day("month_id"))
+    until_inside = F.coalesce(c("_until").between(lo, hi), F.lit(False))
+    elapsed = F.when(c("_until").isNull(), zero).otherwise(F.datediff(hi, lo) + one - one_if(until_inside))
+    snap = F.least(F.last_day("month_id"), lit_date(as_of))
+    covers = snap.between(lo, hi)
+    shared = touched.select(*kept, "_seg", "_split", "month_id", *[v.alias(k) for k, v in {
+        **by_side("elapsed_days", elapsed), **event_counts(c("comment_date").between(lo, hi)),
+        "_covered": one_if(covers), "_closed": one_if(covers & (c("comment_date") == snap) & c("is_final_closer")),
+        "_snapshot": F.when(covers, _packed_side())}.items()])
+
+    names = ["month_id", *kept, *_SUMS, "_snapshot"]
+    rows = alone.select(*names).unionByName(rolled_by_segment(shared, "month_id", _SUMS, ["_snapshot"]).select(*names))
+    active = (c("_covered") > 0) & (c("_closed") == 0)
+    side = c("_snapshot").bitwiseAND(F.lit(3))
+    counts = {"month_end_active_count": one_if(active),
+              **{f"month_end_active_count_{s}": one_if(active & (side == i)) for s, i in _SIDE_CODES.items()}}
+    return rows.withColumns(counts).select(
+        "month_id", joined(yyyymm("month_id"), c("incident_id")).alias("monthly_incident_id"),
         "comment_id", "incident_id", "comment_seq", "comment_div", "comment_by", "comment_date",
         "ball_on", *MONTHLY_COLUMNS[9:])
 
 
+def _packed_side() -> Column:
+    """The seq, and the side in its lowest bits."""
+    code = F.lit(0)
+    for s, i in _SIDE_CODES.items():
+        code = F.when(F.col("ball_on") == s, F.lit(i)).otherwise(code)
+    return F.shiftleft(F.col("comment_seq").cast("long"), 2) + code
+
+
 def monthly_counts(daily: DataFrame, as_of: _dt.date) -> DataFrame:
     """The last daily row of the month (by entry seq, then day) gives the
     attributes; elapsed and event counts add up; month-end counts are taken on

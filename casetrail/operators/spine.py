@@ -3,21 +3,26 @@
 The upstream model range-joins a calendar to entries on
 ``day >= entry_date and (day <= next_date or next_date is null)`` and finds
 the last entry of each (day, case) with a lag/lead over a global order.  Here
-each entry expands its own inclusive day range with ``sequence`` (no join,
-no nested loop), clipped to the calendar and to ``as_of``; the last entry of a
-(day, case) is a ``max_by`` inside the aggregate.  The aggregate is partial
-before the shuffle, so a case with many concurrent entries is combined map-side.
+each entry makes its own days (no join, no nested loop), clipped beforehand to
+the calendar and to ``as_of``:
+
+* a case whose dates never fall as seq rises has intervals that touch only at
+  their end days.  Days inside an interval belong to its entry alone and are
+  final as they are made: no aggregate, no sort, no shuffle;
+* end days (two an entry at most), and all days of other cases, are summed per
+  (case, segment, day), with the highest seq's attributes, where the entries lie;
+* only cases that span several segments are summed once more, per (case, day).
 """
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import lit_date, yyyymmdd
 from ..functions.keys import joined
-from .lifecycle import CASE_LAST_SEQ, SEGMENT_SIZE
+from .lifecycle import PART_COLUMNS, SEGMENT_SIZE, segment_of
 
 DAILY_COLUMNS = [
     "date_id", "daily_incident_id", "comment_id", "incident_id", "comment_seq",
@@ -28,151 +33,106 @@ DAILY_COLUMNS = [
 ]
 COUNT_COLUMNS = DAILY_COLUMNS[9:]
 SIDES = ["dev", "field", "unknown"]
+ATTR_COLUMNS = ["comment_id", "comment_div", "comment_by", "comment_date", "ball_on"]
 
 
-def daily_spine(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date,
-                keep: list[str] | None = None, attributes: bool = True,
-                with_next: bool = False) -> DataFrame:
-    """One row per (entry, day) the entry is current on, with the 0/1 indicators.
+def intervals(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date, since: Column | None = None) -> DataFrame:
+    """Entries that are current on any day, with those days as [``_lo``, ``_hi``]
+    and the day that ends them (``_until``, NULL while open).
 
     ``calendar`` must be contiguous (as built by ``fiscal_calendar``); only its
-    first and last day are read, as scalar subqueries.  ``attributes=False``
-    leaves the entry's text attributes out (only keys, seq and indicators).
+    first and last day are read, as scalar subqueries.  ``since`` leaves out
+    the days before it, and with them the entries that end earlier.  A lifecycle without
+    ``PART_COLUMNS`` is taken as cases that may span segments.
     """
     bounds = calendar.select(F.struct(F.min("date_id").alias("lo"),
                                       F.max("date_id").alias("hi"))).scalar()
     cal_lo, cal_hi = bounds.getField("lo"), bounds.getField("hi")
-    asof = lit_date(as_of)
-    c = F.col
-    text_cols = ["comment_id", "comment_div", "comment_by", "ball_on"] if attributes else []
-    base = (lifecycle.filter(~c("is_after_final_close"))
-            .select("incident_id", "comment_seq", "comment_date", *text_cols,
-                    F.when(c("is_final_closer"), c("comment_date"))
-                    .otherwise(c("next_comment_date")).alias("next_comment_date"),
-                    F.col("ball_on").alias("_side"), "is_final_closer", "is_patch_planned",
-                    "is_force_close_announce", "is_force_close", *(keep or [])))
-    lo = F.greatest(c("comment_date"), cal_lo)
-    hi = F.least(F.coalesce(c("next_comment_date"), asof), asof, cal_hi)
-    ok = c("comment_date").isNotNull() & cal_lo.isNotNull() & (lo <= hi)
-    spine = base.withColumn("date_id", F.explode(F.when(ok, F.sequence(lo, hi, F.expr("INTERVAL 1 DAY")))))
-
-    d, n, on_day = c("date_id"), c("next_comment_date"), c("date_id") == c("comment_date")
-
-    def ind(pred):
-        return F.when(pred, F.lit(1)).otherwise(F.lit(0))
-
-    elapsed = d != n
-    return spine.select(
-        "date_id", "incident_id", "comment_seq", *text_cols,
-        *(["comment_date"] if attributes else []),
-        ind(elapsed).alias("elapsed_days"),
-        *[ind(elapsed & (c("_side") == s)).alias(f"elapsed_days_on_{s}") for s in SIDES],
-        ind(on_day).alias("comment_count"),
-        ind(on_day & (c("comment_seq") == 0)).alias("registered_count"),
-        ind(on_day & c("is_patch_planned")).alias("patch_planned_count"),
-        ind(on_day & c("is_final_closer")).alias("close_count"),
-        ind(on_day & c("is_final_closer") & ~c("is_force_close")).alias("close_count_normal"),
-        ind(on_day & c("is_force_close")).alias("close_count_force"),
-        ind(on_day & c("is_force_close_announce")).alias("force_close_notice_count"),
-        *(["next_comment_date"] if with_next else []),
-        *(keep or []),
-    )
-
-
-ATTR_COLUMNS = ["comment_id", "comment_div", "comment_by", "comment_date", "ball_on"]
-
-
-def _daily_select(df: DataFrame) -> DataFrame:
-    return df.select(
-        "date_id",
-        joined(yyyymmdd("date_id"), F.col("incident_id")).alias("daily_incident_id"),
-        "comment_id", "incident_id", "comment_seq", "comment_div", "comment_by", "comment_date",
-        "ball_on", *COUNT_COLUMNS)
+    asof, c = lit_date(as_of), F.col
+    if PART_COLUMNS[0] not in lifecycle.columns:
+        lifecycle = lifecycle.select("*", segment_of("comment_seq").alias("_seg"), F.lit(True).alias("_split"),
+                                     F.lit(False).alias("_chain"))
+    until = F.when(c("is_final_closer"), c("comment_date")).otherwise(c("next_comment_date"))
+    lo = F.greatest(c("comment_date"), cal_lo, *([since] if since is not None else []))
+    hi = F.least(F.coalesce(until, asof), asof, cal_hi)
+    return (lifecycle.filter(~c("is_after_final_close") & c("comment_date").isNotNull() & cal_lo.isNotNull() & (lo <= hi))
+            .select("incident_id", "comment_seq", *ATTR_COLUMNS, *PART_COLUMNS, "is_final_closer", "is_patch_planned",
+                    "is_force_close_announce", "is_force_close", until.alias("_until"), lo.alias("_lo"), hi.alias("_hi")))
 
 
-def _merged_daily(spine: DataFrame) -> DataFrame:
-    """Generic (day, case) rollup: partial + final, last entry by ``max_by``."""
-    attrs = F.struct("comment_id", "comment_seq", "comment_div", "comment_by", "comment_date", "ball_on")
-    agg = spine.groupBy("date_id", "incident_id").agg(
-        F.max_by(attrs, F.col("comment_seq")).alias("_last"), *[F.sum(x).alias(x) for x in COUNT_COLUMNS])
-    return agg.select("date_id", "incident_id", *[F.col(f"_last.{a}").alias(a) for a in
-                                                  ["comment_id", "comment_seq", "comment_div", "comment_by",
-                                                   "comment_date", "ball_on"]], *COUNT_COLUMNS)
+def one_if(pred: Column) -> Column:
+    return F.when(pred, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
 
 
-def partitioned_lifecycle(lifecycle: DataFrame, segment_size: int = SEGMENT_SIZE) -> DataFrame:
-    """Entry rows hash-partitioned by (case, seq segment), with ``_split`` =
-    the case spans more than one segment (every case without
-    ``_case_last_seq`` counts as split)."""
+def event_counts(on: Column) -> dict[str, Column]:
+    """What an entry counts where its own day is (``on``)."""
     c = F.col
-    seg = F.floor(c("comment_seq") / F.lit(segment_size)).cast("int")
-    split = (c(CASE_LAST_SEQ) >= segment_size) if CASE_LAST_SEQ in lifecycle.columns else F.lit(True)
-    return (lifecycle.withColumn("_seg", seg)
-            .withColumn("_split", F.coalesce(split, F.lit(True)))
-            .repartition("incident_id", "_seg"))
-
-
-def entry_attributes(lc_part: DataFrame) -> DataFrame:
-    """Attributes keyed by (case, segment, seq), on the same partitioning; the
-    shuffled-hash hint keeps the lookups co-partitioned and sort-free."""
-    return lc_part.select(F.col("incident_id").alias("_a_case"), F.col("_seg").alias("_a_seg"),
-                          F.col("comment_seq").alias("_a_seq"), *ATTR_COLUMNS).hint("shuffle_hash")
-
-
-def with_attributes(df: DataFrame, attrs: DataFrame) -> DataFrame:
-    j = df.join(attrs, (df["incident_id"] == attrs["_a_case"]) & (df["_seg"] == attrs["_a_seg"])
-                & (df["comment_seq"] == attrs["_a_seq"]), "inner")
-    return j.drop("_a_case", "_a_seg", "_a_seq")
-
-
-def daily_parts(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date,
-                segment_size: int = SEGMENT_SIZE) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(whole, merged, attributes).
-
-    ``whole``: (day, case) rows of single-segment cases, still partitioned by
-    (case, segment) and carrying ``_seg``.  ``merged``: rows of split cases,
-    merged across segments.  Only entry rows are shuffled; days are exploded
-    after the shuffle.  Days that only one entry can cover (inside an entry's
-    interval, in a case whose dates never fall) are emitted as they are; the
-    rest are summed with a hash aggregate where they lie (the grouping keys
-    contain the partitioning keys, so no exchange).  The last entry of a day
-    is its highest seq; its attributes come from a co-partitioned hash join,
-    so spine rows are never sorted.
-    """
+    return {
+        "comment_count": one_if(on),
+        "registered_count": one_if(on & (c("comment_seq") == 0)),
+        "patch_planned_count": one_if(on & c("is_patch_planned")),
+        "close_count": one_if(on & c("is_final_closer")),
+        "close_count_normal": one_if(on & c("is_final_closer") & ~c("is_force_close")),
+        "close_count_force": one_if(on & c("is_force_close")),
+        "force_close_notice_count": one_if(on & c("is_force_close_announce")),
+    }
+
+
+def by_side(name: str, value: Column) -> dict[str, Column]:
+    """``name`` and its share of each side."""
+    zero = F.lit(0).cast("bigint")
+    return {name: value, **{f"{name}_on_{s}": F.when(F.col("ball_on") == s, value).otherwise(zero) for s in SIDES}}
+
+
+def rolled(rows: DataFrame, keys: list[str], sums: list[str], most: list[str] = []) -> DataFrame:
+    """One row per ``keys``: the row with the highest seq, with the sums (and the
+    maxima of ``most``) of all.  Rows that lie by some of the keys stay there."""
+    group = Window.partitionBy(*keys)
+    top = F.row_number().over(group.orderBy(F.col("comment_seq").desc()))
+    return (rows.withColumn("_rank", top)
+            .withColumns({**{x: F.sum(x).over(group) for x in sums}, **{x: F.max(x).over(group) for x in most}})
+            .filter("_rank = 1").drop("_rank"))
+
+
+def rolled_by_segment(shared: DataFrame, key: str, sums: list[str], most: list[str] = []) -> DataFrame:
+    """``rolled`` per (case, segment, key), and once more per (case, key) for
+    cases that span several segments."""
+    whole = rolled(shared.filter("not _split"), ["incident_id", "_seg", key], sums, most)
+    split = rolled(shared.filter("_split"), ["incident_id", "_seg", key], sums, most)
+    return whole.unionByName(rolled(split, ["incident_id", key], sums, most))
+
+
+def daily_parts(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date) -> tuple[DataFrame, DataFrame]:
+    """(alone, shared): the (day, case) rows of days inside an entry's interval,
+    and those of all other days."""
     c = F.col
-    lc = partitioned_lifecycle(lifecycle, segment_size)
-    attrs = entry_attributes(lc)
-    whole_lc = lc.filter(~c("_split"))
-    # A case whose dates never fall as seq rises (and none is missing) has
-    # intervals that touch only at their end days: every day strictly inside
-    # an entry's interval belongs to that entry alone.
-    chain_ok = c("is_last_comment") | (c("next_comment_date").isNotNull()
-                                       & (c("next_comment_date") >= c("comment_date")))
-    chains = (whole_lc.groupBy(F.col("incident_id").alias("_c_case"), F.col("_seg").alias("_c_seg"))
-              .agg(F.bool_and(F.coalesce(chain_ok, F.lit(False))).alias("_chain")).hint("shuffle_hash"))
-    whole_lc = whole_lc.join(chains, (whole_lc["incident_id"] == chains["_c_case"])
-                             & (whole_lc["_seg"] == chains["_c_seg"]), "inner").drop("_c_case", "_c_seg")
-    spine = daily_spine(whole_lc, calendar, as_of, keep=["_seg", "_chain"], with_next=True)
-    endpoint = (c("date_id") == c("comment_date")) | F.coalesce(c("date_id") == c("next_comment_date"), F.lit(False))
-    alone = c("_chain") & ~endpoint
-    single = spine.filter(alone).select(
-        "date_id", "incident_id", "_seg", "comment_seq", *ATTR_COLUMNS,
-        *[F.col(x).cast("bigint").alias(x) for x in COUNT_COLUMNS])
-    shared = spine.filter(~alone)
-    num = shared.groupBy("incident_id", "_seg", "date_id").agg(
-        F.max("comment_seq").alias("comment_seq"), *[F.sum(x).alias(x) for x in COUNT_COLUMNS])
-    whole = single.unionByName(with_attributes(num, attrs))
-    merged = _merged_daily(daily_spine(lc.filter(c("_split")), calendar, as_of))
-    return whole, merged, attrs
-
-
-def daily_counts(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date,
-                 segment_size: int = SEGMENT_SIZE) -> DataFrame:
+    base = intervals(lifecycle, calendar, as_of)
+    kept = ["incident_id", "comment_seq", *ATTR_COLUMNS]
+    day = F.expr("INTERVAL 1 DAY")
+    starts, ends = c("_lo") == c("comment_date"), F.coalesce(c("_hi") == c("_until"), F.lit(False))
+    first, last = F.when(starts, F.date_add("_lo", 1)).otherwise(c("_lo")), F.when(ends, F.date_sub("_hi", 1)).otherwise(c("_hi"))
+    zero = F.lit(0).cast("bigint")
+    alone = (base.filter(c("_chain") & (first <= last))
+             .select(*kept, "_until", F.explode(F.sequence(first, last, day)).alias("date_id"))
+             .withColumns({**{x: zero for x in COUNT_COLUMNS}, **by_side("elapsed_days", one_if(c("_until").isNotNull()))}))
+    end_days = F.array_compact(F.array(F.when(starts, c("_lo")), F.when(ends & (c("_until") != c("comment_date")), c("_hi"))))
+    days = F.when(c("_chain"), end_days).otherwise(F.sequence("_lo", "_hi", day))
+    shared = base.select("*", F.explode(days).alias("date_id"))
+    counts = {**by_side("elapsed_days", one_if(c("date_id") != c("_until"))), **event_counts(c("date_id") == c("comment_date"))}
+    shared = shared.select(*kept, "_seg", "_split", "date_id", *[v.alias(k) for k, v in counts.items()])
+    return (alone.select("date_id", *kept, *COUNT_COLUMNS),
+            rolled_by_segment(shared, "date_id", COUNT_COLUMNS).select("date_id", *kept, *COUNT_COLUMNS))
+
+
+def daily_counts(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date) -> DataFrame:
     """One row per (day, case); last-entry attributes + 11 day sums.
 
-    Pass the lifecycle with ``_case_last_seq`` (``entry_lifecycle(...,
-    with_case_last_seq=True)``) for the co-partitioned path; without it every
-    case goes through the generic partial + final aggregate.
+    Pass the lifecycle with ``PART_COLUMNS`` (``entry_lifecycle(..., parts=True)``)
+    for rows that stay where they lie; without them every day of every case is
+    summed in both steps.
     """
-    whole, merged, _ = daily_parts(lifecycle, calendar, as_of, segment_size)
-    return _daily_select(whole).unionByName(_daily_select(merged))
+    alone, shared = daily_parts(lifecycle, calendar, as_of)
+    return alone.unionByName(shared).select(
+        "date_id", joined(yyyymmdd("date_id"), F.col("incident_id")).alias("daily_incident_id"),
+        "comment_id", "incident_id", "comment_seq", "comment_div", "comment_by", "comment_date",
+        "ball_on", *COUNT_COLUMNS)

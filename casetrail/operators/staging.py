@@ -1,7 +1,7 @@
 """C4 stage_cases and C5 stage_entries (comment ids + direct-close synthesis)."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as TX
@@ -27,6 +27,17 @@ def stage_cases(base: DataFrame, before: DataFrame | None, after: DataFrame | No
     return staged.withColumn("has_library_change", TX.has_library_change("description"))
 
 
+#: Bits of a packed day, and what is added to a day number: 1 is the first day of
+#: year 0001, 0 stands for no date.
+DAY_BITS, DAY_ZERO = 22, 719_163
+
+
+def _packed_last(seq: str, date: str, ends: Column) -> Column:
+    """seq, day and flag in one long that sorts by seq first."""
+    day = F.coalesce(F.unix_date(date) + DAY_ZERO, F.lit(0)).cast("long")
+    return F.shiftleft(F.col(seq).cast("long"), DAY_BITS + 1) + 2 * day + ends.cast("long")
+
+
 def direct_close_entries(entries: DataFrame, cases: DataFrame, types: DataFrame) -> DataFrame:
     """Synthesised closing entries for cases closed without a closing entry.
 
@@ -34,21 +45,22 @@ def direct_close_entries(entries: DataFrame, cases: DataFrame, types: DataFrame)
     seq), whose last entry is neither closer nor approver (or of a type absent
     from the master), gets entry ``last + 1`` dated ``close_date``.
 
-    The last entry per case is a partial+final aggregate (map-side combine), so
-    a case holding a large share of all entries never lands in one task.
+    What is asked of the last entry (its seq, its date, whether its type ends a
+    case) is packed into one long, so the pick is a hash aggregate, combined
+    map-side: a case with a large share of all entries never lands in one task.
     """
-    last = (entries.groupBy("incident_id")
-            .agg(F.max(F.struct("comment_seq", "comment_div", "comment_date")).alias("_last")))
-    m = small_side(types.select(F.col("comment_div").alias("_m_div"),
-                                F.col("is_closer").alias("_m_closer"),
-                                F.col("is_approver").alias("_m_approver")))
+    m = small_side(types, F.col("comment_div").alias("_m_div"),
+                   F.coalesce(F.col("is_closer") | F.col("is_approver"), F.lit(True)).alias("_m_ends"))
+    typed = entries.select("incident_id", "comment_seq", "comment_div", "comment_date")
+    last = (typed.join(m, F.col("comment_div") == F.col("_m_div"), "left").groupBy("incident_id")
+            .agg(F.max(_packed_last("comment_seq", "comment_date", F.coalesce("_m_ends", F.lit(False)))).alias("_last")))
+    day = F.shiftright("_last", 1).bitwiseAND(F.lit((1 << DAY_BITS) - 1)).cast("int")
     c = (cases.select("incident_id", "close_date")
          .filter(F.col("close_date").isNotNull())
-         .join(last, "incident_id", "left")
-         .join(m, F.col("_last.comment_div") == F.col("_m_div"), "left")
-         .filter((F.col("close_date") >= F.col("_last.comment_date"))
-                 & (F.col("_m_div").isNull() | (~F.col("_m_closer") & ~F.col("_m_approver")))))
-    seq = (F.col("_last.comment_seq") + 1).cast("int")
+         .join(last, "incident_id")
+         .filter((F.col("_last").bitwiseAND(F.lit(1)) == 0) & (day > 0)
+                 & (F.col("close_date") >= F.date_from_unix_date(day - DAY_ZERO))))
+    seq = (F.shiftright("_last", DAY_BITS + 1) + 1).cast("int")
     return c.select(
         entry_id("incident_id", seq).alias("comment_id"),
         "incident_id",

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import LIBRARY_MARK, LIBRARY_PHRASE
-from ..sources.files import shared_dir
+from ..sources.layers import layer, snapshot
 from ..sources.schemas import ALIASES, CASE_COLUMNS, ENTRY_TYPES, MEMBERS, spark_type
 from ..operators.common import known_small
 from .warehouse import Inputs
@@ -69,6 +69,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: The tables that an adapter reads.
+READS = {"events": ["events", "customer"], "orders": ["orders", "customer"], "conversations": ["conversations"]}
+
+
+def run_id(spark: SparkSession, sf_dir: str, adapter: str) -> str:
+    """Names the stored layers of one state of the adapter's tables."""
+    return f"{adapter}_{snapshot(spark, *(f'{sf_dir.rstrip('/')}/{t}.parquet' for t in READS[adapter]))}"
+
+
 def masters(spark: SparkSession, types: Sequence[tuple], aliases: Sequence[tuple]):
     """The fixed masters as frames; their row counts are known, so they are
     marked broadcastable without a counting job."""
@@ -77,38 +86,66 @@ def masters(spark: SparkSession, types: Sequence[tuple], aliases: Sequence[tuple
             known_small(spark.createDataFrame([(n,) for n in MEMBER_NAMES], MEMBERS), len(MEMBER_NAMES)))
 
 
-def seq_within_case(df: DataFrame, case_col: str, day_col: str, order: Sequence[Column]) -> DataFrame:
+def seq_within_case(df: DataFrame, case_col: str, day_col: str, order: Sequence[Column], name: str) -> DataFrame:
     """Dense 0-based rank per case, ordered by ``day_col`` then ``order``
     (NULLs last, as in SQL), without ever ranking a whole case in one task.
 
-    Rows are range-partitioned on (case, day, order...), so even one hot day of
-    one case spreads over consecutive partitions.  The partition id is written
-    down with the rows by a reliable ``checkpoint()`` in the shared
-    ``spark.checkpoint.dir`` (range sampling is seeded per RDD, so two readers
-    of one range shuffle could disagree).  Rows are ranked within (case,
-    partition) and offset by the case's rows in earlier partitions, a window
-    over one row per (case, partition).  There is no other path; an unset
-    folder is an error.
+    Rows are range-partitioned and sorted on (case, day, order...), so even one
+    hot day of one case spreads over consecutive partitions, and stored as
+    table ``name`` with their place (partition and position in it): range
+    sampling is seeded per plan, so two readers of one range shuffle could disagree.
+    A case's rows lie in a row inside a partition.  A rank is a row's place less
+    that of the case's first row in its partition, plus the case's rows in earlier partitions: a
+    window over one row per (case, partition).  No row is sorted or ranked again.
     """
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    keys = [F.col(day_col).asc_nulls_last(), *order]
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    part = (df.repartitionByRange(n, F.col(case_col).asc_nulls_last(), *keys)
-            .withColumn("_part", F.spark_partition_id())
-            .checkpoint(eager=True))
-    counts = part.groupBy(case_col, "_part").agg(F.count(F.lit(1)).alias("_n"))
-    local = F.row_number().over(Window.partitionBy(case_col, "_part").orderBy(*keys)) - 1
+    keys = [F.col(case_col).asc_nulls_last(), F.col(day_col).asc_nulls_last(), *order]
+
+    def placed() -> DataFrame:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                .withColumn("_at", F.monotonically_increasing_id()))
+
+    # an id is the partition, 33 bits to the left, and the position in it
+    part = layer(df.sparkSession, name, placed).withColumn("_part", F.shiftright("_at", 33))
+    runs = part.groupBy(case_col, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(case_col).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(F.col(case_col).alias("_o_case"), F.col("_part").alias("_o_part"),
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    ranked = part.withColumn("_local", local)
-    j = ranked.join(offsets, ranked[case_col].eqNullSafe(offsets["_o_case"])
-                    & (ranked["_part"] == offsets["_o_part"]), "inner")
-    return j.withColumn("comment_seq", (F.col("_off") + F.col("_local")).cast("int")) \
-        .drop("_o_case", "_o_part", "_off", "_local", "_part")
+    starts = runs.select(F.col(case_col).alias("_o_case"), F.col("_part").alias("_o_part"),
+                         (F.col("_first") - F.coalesce(F.sum("_n").over(before), F.lit(0))).alias("_zero"))
+    j = part.join(starts, part[case_col].eqNullSafe(starts["_o_case"]) & (part["_part"] == starts["_o_part"]), "inner")
+    return j.withColumn("comment_seq", (F.col("_at") - F.col("_zero")).cast("int")) \
+        .drop("_o_case", "_o_part", "_zero", "_part", "_at")
+
+
+# Corrections (C3) by rules on the data, at both levels.
+# Cases of hospital 3 come back corrected, those of 7 are withdrawn, and those
+# of 5 get a twin without entries (an ``after`` row whose key is new).
+CORRECTED_HOSPITAL, WITHDRAWN_HOSPITAL, TWINNED_HOSPITAL = "3", "7", "5"
+# Entries on days 3, 10, 17, 24 and 31 of a month are withdrawn; those on day 3 and 17 come back a day later
+# with another author; a case's entry 4 gets a copy behind the case's last one.
+WITHDRAWN_DAY, CORRECTED_DAY, COPIED_SEQ = (7, 3), (14, 3), 4
+
+
+def case_corrections(cases: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(before, after) of the case headers."""
+    hospital = F.col("hospital")
+    before = cases.filter(hospital.isin(CORRECTED_HOSPITAL, WITHDRAWN_HOSPITAL))
+    corrected = cases.filter(hospital == CORRECTED_HOSPITAL).withColumns({
+        "title": F.concat("title", F.lit(" (corrected)")), "close_date": F.date_add("close_date", 9),
+        "description": F.concat(F.coalesce("description", F.lit("")), F.lit("\n" + LIBRARY_MARK + "\n" + LIBRARY_PHRASE)),
+        "assigned_to": F.lit(None).cast("string")})
+    twins = cases.filter(hospital == TWINNED_HOSPITAL).withColumn("incident_id", F.concat("incident_id", F.lit("-B")))
+    return before, corrected.unionByName(twins)
+
+
+def entry_corrections(entries: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(before, after) of the entries; ``sizes`` has each case's number of entries (``_n``)."""
+    day = F.dayofmonth("comment_date")
+    before = entries.filter(day % WITHDRAWN_DAY[0] == WITHDRAWN_DAY[1])
+    corrected = entries.filter(day % CORRECTED_DAY[0] == CORRECTED_DAY[1]).withColumns({
+        "comment_date": F.date_add("comment_date", 1), "comment_by": F.lit("corrector")})
+    copies = (entries.filter(F.col("comment_seq") == COPIED_SEQ).join(sizes, "incident_id")
+              .withColumn("comment_seq", (F.col("comment_seq") + F.col("_n")).cast("int")).drop("_n"))
+    return before, corrected.unionByName(copies.select(*entries.columns))
 
 
 def typed_cases(df: DataFrame, given: dict[str, Column]) -> DataFrame:
@@ -118,8 +155,8 @@ def typed_cases(df: DataFrame, given: dict[str, Column]) -> DataFrame:
     ])
 
 
-def _wording(key: str, wording) -> Column:
-    return F.concat(*[F.when(F.col(key) % m == r, F.lit(t)).otherwise("") for m, r, t in wording])
+def wording(key: str, rules) -> Column:
+    return F.concat(*[F.when(F.col(key) % m == r, F.lit(t)).otherwise("") for m, r, t in rules])
 
 
 def _close_date(last: Column) -> Column:
@@ -140,7 +177,7 @@ def _customer_cases(per_case: DataFrame, key: str, category: str, customer: Data
         "hospital": F.col("c_nationkey"),
         "registered_by": F.col("c_name"),
         "registered_date": F.col("_first"),
-        "description": F.concat("c_name", _wording(key, CASE_WORDING)),
+        "description": F.concat("c_name", wording(key, CASE_WORDING)),
         "assigned_to": F.when(F.col("c_mktsegment") != "MACHINERY",
                               F.format_string("person%04d", F.col("c_nationkey"))),
         "patch_no": F.when(F.col("c_acctbal") > 5000, F.format_string("P%06d", F.col("c_custkey"))),
@@ -156,7 +193,8 @@ def event_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         "event_id", "ts", "user_id", "event_type", "value", "props",
         F.to_date("ts").alias("_day"))
     ranked = seq_within_case(ev, "user_id", "_day",
-                             [F.col("ts").asc_nulls_last(), F.col("event_id").asc_nulls_last()])
+                             [F.col("ts").asc_nulls_last(), F.col("event_id").asc_nulls_last()],
+                             f"{run_id(spark, sf_dir, 'events')}_ranked")
     entries = ranked.select(
         F.format_string("EV-%06d", F.col("user_id")).alias("incident_id"),
         "comment_seq",
@@ -164,12 +202,15 @@ def event_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         F.when(F.col("value").isNotNull(),
                F.format_string("person%04d", F.floor("value").cast("int"))).alias("comment_by"),
         F.col("_day").alias("comment_date"),
-        F.concat("props", _wording("event_id", EVENT_WORDING)).alias("comment"),
+        F.concat("props", wording("event_id", EVENT_WORDING)).alias("comment"),
     )
-    per_user = ev.groupBy("user_id").agg(F.min("_day").alias("_first"), F.max("_day").alias("_last"))
+    per_user = ev.groupBy("user_id").agg(F.min("_day").alias("_first"), F.max("_day").alias("_last"),
+                                    F.count(F.lit(1)).alias("_n"))
+    sizes = per_user.select(F.format_string("EV-%06d", F.col("user_id")).alias("incident_id"), "_n")
     cases = _customer_cases(per_user, "user_id", "EV", table(spark, sf_dir, "customer"))
     types, aliases, members = masters(spark, EVENT_TYPES, EVENT_ALIASES)
-    return Inputs(cases, entries, types, aliases, members, EVENTS_AS_OF)
+    return Inputs(cases, entries, types, aliases, members, EVENTS_AS_OF, *case_corrections(cases),
+                  *entry_corrections(entries, sizes))
 
 
 def order_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
@@ -177,7 +218,8 @@ def order_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
         F.to_date("o_orderdate").alias("_day"))
-    ranked = seq_within_case(o, "o_custkey", "_day", [F.col("o_orderkey").asc_nulls_last()])
+    ranked = seq_within_case(o, "o_custkey", "_day", [F.col("o_orderkey").asc_nulls_last()],
+                             f"{run_id(spark, sf_dir, 'orders')}_ranked")
     entries = ranked.select(
         F.format_string("CU-%06d", F.col("o_custkey")).alias("incident_id"),
         "comment_seq",
@@ -186,10 +228,13 @@ def order_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         F.col("_day").alias("comment_date"),
         F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("comment"),
     )
-    per_cust = o.groupBy("o_custkey").agg(F.min("_day").alias("_first"), F.max("_day").alias("_last"))
+    per_cust = o.groupBy("o_custkey").agg(F.min("_day").alias("_first"), F.max("_day").alias("_last"),
+                                    F.count(F.lit(1)).alias("_n"))
+    sizes = per_cust.select(F.format_string("CU-%06d", F.col("o_custkey")).alias("incident_id"), "_n")
     cases = _customer_cases(per_cust, "o_custkey", "CU", table(spark, sf_dir, "customer"))
     types, aliases, members = masters(spark, ORDER_TYPES, ORDER_ALIASES)
-    return Inputs(cases, entries, types, aliases, members, ORDERS_AS_OF)
+    return Inputs(cases, entries, types, aliases, members, ORDERS_AS_OF, *case_corrections(cases),
+                  *entry_corrections(entries, sizes))
 
 
 def _slash_date(days: Column) -> Column:

@@ -8,12 +8,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import adapters as A
 from . import oracle as O
 from .warehouse import build, staged
-from ..functions.keys import entry_id
-from ..operators.staging import direct_close_entries
+from ..functions.text import DIRECT_CLOSE_TYPE
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -26,13 +26,11 @@ def _layer(adapter: str, layer: str) -> QueryFn:
         if layer in ("stg_cases", "stg_entries", "direct_close"):
             cases, entries = staged(inp)
             if layer == "direct_close":
-                keyed = inp.entries.select(entry_id("incident_id", "comment_seq").alias("comment_id"), "*")
-                return direct_close_entries(keyed, cases, inp.types)
+                return entries.filter(F.col("comment_div") == DIRECT_CLOSE_TYPE)
             return cases if layer == "stg_cases" else entries
-        # stage tables for layers read more than once by this query's plan
-        tables = {"calendar": (), "lifecycle": ("stg_entries",), "rollup": ("stg_entries",),
-                  "active": ("stg_entries",)}.get(layer, ("stg_entries", "lifecycle"))
-        wh = build(inp, tables=tables)
+        # stored: layers that this query's plan reads more than once, or that others share
+        tables = {"calendar": (), "dim_calendar": (), "lifecycle": ("stg_entries",)}.get(layer, ("stg_entries", "lifecycle"))
+        wh = build(inp, tables=tables, run_id=A.run_id(spark, sf_dir, adapter))
         return getattr(wh, layer)  # only this layer (and what it needs) is planned
     run.__name__ = f"{layer}_{adapter}"
     return run
@@ -50,11 +48,13 @@ _WAREHOUSE_QUERIES = [
     ("daily_counts_events", "events", "daily"),
     ("monthly_counts_events", "events", "monthly"),
     ("mart_monthly_events", "events", "mart_monthly"),
+    ("stage_cases_orders", "orders", "stg_cases"),
     ("stage_entries_orders", "orders", "stg_entries"),
     ("entry_lifecycle_orders", "orders", "lifecycle"),
     ("case_rollup_orders", "orders", "rollup"),
     ("active_cases_orders", "orders", "active"),
     ("fiscal_calendar_orders", "orders", "calendar"),
+    ("dim_calendar_orders", "orders", "dim_calendar"),
     ("daily_counts_orders", "orders", "daily"),
     ("monthly_counts_orders", "orders", "monthly"),
     ("mart_monthly_orders", "orders", "mart_monthly"),

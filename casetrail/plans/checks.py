@@ -2,6 +2,8 @@
 S5, S6), each over a whole driver table, with their DuckDB SQL."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,11 +12,14 @@ from ..functions.keys import case_id, entry_id, joined, seq4
 from ..operators.history import split_history
 from ..operators.overlay import overlay
 from ..operators.quality import unique_violations
+from ..sources.files import write_export
 from ..sources.ids import bad_ids, id_domain
+from ..sources.layers import layer, location
 from ..sources.layout import column_map, typed_projection
 from ..sources.schemas import ENTRY_COLUMNS
 from . import adapters as A
 from . import oracle as O
+from .seeds import build_seeds
 
 # --- P2 typed projection over orders rendered as export text ---------------
 ORDER_TEXT_COLUMNS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"),
@@ -70,19 +75,22 @@ COLUMN_MAP_SQL = """SELECT CAST(o_orderkey AS VARCHAR) AS case_no, CAST(o_custke
 
 
 def text_flags_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = A.table(spark, sf_dir, "documents")
+    """Documents, to which the fixed wordings are appended by rules on the id."""
+    d = A.table(spark, sf_dir, "documents").select("doc_id", F.concat("text", A.wording("doc_id", DOCUMENT_WORDING)).alias("text"))
     return d.select("doc_id",
                     TX.has_library_change("text").alias("has_library_change"),
                     TX.is_force_close_announce("text").alias("is_force_close_announce"),
                     TX.is_force_close("text").alias("is_force_close"))
 
 
+DOCUMENT_WORDING = A.EVENT_WORDING + A.CASE_WORDING
+
 TEXT_FLAGS_SQL = f"""SELECT doc_id,
   CASE WHEN text LIKE {O.q('%' + TX.LIBRARY_MARK + '%')} AND text LIKE {O.q('%' + TX.LIBRARY_PHRASE + '%')}
        THEN TRUE ELSE FALSE END AS has_library_change,
   coalesce(regexp_matches(text, {O.q(TX.FORCE_CLOSE_ANNOUNCE_PATTERN)}, 's'), FALSE) AS is_force_close_announce,
   coalesce(regexp_matches(text, {O.q(TX.FORCE_CLOSE_PATTERN)}, 's'), FALSE) AS is_force_close
-FROM documents"""
+FROM (SELECT doc_id, text || {O._wording_sql('doc_id', DOCUMENT_WORDING)} AS text FROM documents)"""
 
 # --- C3 overlay over orders ----------------------------------------------------
 
@@ -119,6 +127,46 @@ def split_history_typed_conversations(spark: SparkSession, sf_dir: str) -> DataF
     return typed_projection(split_history_conversations(spark, sf_dir), ENTRY_COLUMNS)
 
 
+# --- S1-S4, C14: export batches -> seed tables over conversations ---------------
+# The export's columns; its texts are those of the histories with other than ASCII
+# characters replaced, behind vendor characters that only cp932 as Windows has it can write.
+EXPORT_COLUMNS = {"管理NO": "incident_id", "登録者": "registered_by", "登録日": "registered_date", "内容": "description",
+                  "履歴": "comment_history"}
+EXPORT_BATCHES, NOT_ASCII, VENDOR_MARK = 4, "[^\\x00-\\x7F]", "①髙"
+SEED_MAP = ([{"name": c, "type": "map", "source": e} for e, c in EXPORT_COLUMNS.items()]
+            + [{"name": "status", "type": "const", "value": "取込"}, {"name": "patch_no", "type": "blank"}])
+
+
+def _seeds(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
+    """Conversations written as export batches, read, relaid and landed; the landed table is kept."""
+    key = A.run_id(spark, sf_dir, "conversations")
+
+    def chain() -> DataFrame:
+        folder = f"{location(spark)}/{key}_{which}_{uuid.uuid4().hex[:8]}"
+        hist = A.conversation_histories(spark, sf_dir).withColumn("description", F.concat(F.lit(VENDOR_MARK), "description"))
+        hist = hist.withColumn("comment_history", F.regexp_replace("comment_history", NOT_ASCII, "?"))
+        write_export(hist.select(*[F.col(c).alias(e) for e, c in EXPORT_COLUMNS.items()]), f"{folder}/export", EXPORT_BATCHES)
+        cases, entries = build_seeds(spark, f"{folder}/export", SEED_MAP, f"{folder}/cases", f"{folder}/entries")
+        return cases if which == "seed_cases" else entries
+    return layer(spark, f"{key}_{which}", chain)
+
+
+def seed_cases_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _seeds(spark, sf_dir, "seed_cases")
+
+
+def seed_entries_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _seeds(spark, sf_dir, "seed_entries")
+
+
+_EXPORTED = O.history_ctes(text=f"regexp_replace(text, {O.q(NOT_ASCII)}, '?', 'g')",
+                           description=f"{O.q(VENDOR_MARK)} || printf('%s turn %d', role, turn)")
+_LINE_END = "chr(13) || chr(10) || '?'"
+SEED_CASES_SQL = O.with_query(_EXPORTED, f"""SELECT incident_id, registered_by, registered_date, description,
+  regexp_replace(comment_history, {_LINE_END}, chr(10), 'g') AS comment_history, '取込' AS status,
+  CAST(NULL AS VARCHAR) AS patch_no FROM hist""")
+SEED_ENTRIES_SQL = O.with_query(_EXPORTED, "SELECT * FROM split")
+
 # --- Q1 / Q2 uniqueness -----------------------------------------------------------
 
 
@@ -193,6 +241,8 @@ CHECKS = {
     "overlay_orders": (overlay_orders, OVERLAY_SQL),
     "split_history_conversations": (split_history_conversations, O.split_history_sql()),
     "split_history_typed_conversations": (split_history_typed_conversations, O.split_history_typed_sql()),
+    "seed_cases_conversations": (seed_cases_conversations, SEED_CASES_SQL),
+    "seed_entries_conversations": (seed_entries_conversations, SEED_ENTRIES_SQL),
     "unique_line_ids_lineitem": (unique_line_ids_lineitem, UNIQUE_LINE_IDS_SQL),
     "unique_order_keys": (unique_order_keys, UNIQUE_ORDER_KEYS_SQL),
     "unique_entry_ids_events": (unique_entry_ids_events, UNIQUE_ENTRY_IDS_SQL),

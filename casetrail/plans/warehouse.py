@@ -1,10 +1,10 @@
 """The whole warehouse build as one lazy DataFrame graph.
 
 Layer order: staging (cases, entries) -> lifecycle -> rollup, calendar ->
-daily -> monthly -> marts.  ``materialize_tables=True`` stores the staging and
-intermediate layers as Parquet tables in the shared checkpoint folder (the
-upstream layers are tables too), which cuts lineage: a lost executor only
-recomputes from the last stored layer.
+daily -> monthly -> marts.  The layers named in ``tables`` are stored as tables
+of the catalog (``sources.layers``), which cuts lineage: a lost executor only
+recomputes from the last stored layer.  Staged entries and the lifecycle are
+bucketed by (case, segment), so that the layers above share that one shuffle.
 """
 from __future__ import annotations
 
@@ -16,14 +16,14 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from ..operators.calendar import fiscal_calendar
-from ..operators.lifecycle import LIFECYCLE_COLUMNS, SEGMENT_SIZE, entry_lifecycle
-from ..operators.marts import MART_SCOPE_YEARS, active_cases, mart_monthly
-from ..operators.monthly import monthly_counts, monthly_from_partitioned_daily
+from ..operators.lifecycle import LIFECYCLE_COLUMNS, entry_lifecycle, segment_of
+from ..operators.marts import MART_SCOPE_YEARS, active_cases, dim_calendar, dim_entry_type, mart_monthly, scope_start
+from ..operators.monthly import monthly_from_intervals
 from ..operators.rollup import case_rollup
-from ..operators.spine import _daily_select, daily_parts
-from ..operators.staging import stage_cases, stage_entries
+from ..operators.spine import daily_counts
+from ..operators.staging import STAGED_ENTRY_COLUMNS, stage_cases, stage_entries
 from ..operators.common import small_side
-from ..sources.files import materialize, shared_dir
+from ..sources.layers import drop_layers, layer
 from ..sources.schemas import CASES_TYPED, ENTRIES_TYPED
 
 
@@ -40,6 +40,7 @@ class Inputs:
     cases_after: DataFrame | None = None
     entries_before: DataFrame | None = None
     entries_after: DataFrame | None = None
+    _checked: bool = False
 
     def overlays(self):
         """(cases_before, cases_after, entries_before, entries_after); a missing
@@ -57,85 +58,81 @@ class Inputs:
 
     def checked(self) -> "Inputs":
         """Size-check the masters once (broadcast only if proven small)."""
-        self.types, self.aliases, self.members = (small_side(self.types), small_side(self.aliases),
-                                                  small_side(self.members))
+        if not self._checked:
+            self.types, self.aliases, self.members = map(small_side, (self.types, self.aliases, self.members))
+            self._checked = True
         return self
 
 
+#: What entries and the lifecycle are bucketed by when stored.
+SEGMENT_KEYS = ["incident_id", "_seg"]
+
+
 class Warehouse:
     """All layers of one build; each is planned on first access only, and the
-    layers named in ``tables`` are stored (Parquet in the shared folder) when
-    first reached."""
+    layers named in ``tables`` are stored when first reached.  A build with the
+    ``run_id`` of an earlier one of the same application finds its tables."""
 
     def __init__(self, inp: Inputs, scope_years: int, tables: tuple[str, ...], run_id: str):
         self.inp, self.scope_years, self.tables, self.run_id = inp, scope_years, tables, run_id
 
-    def stored_root(self, spark) -> str | None:
-        try:
-            return f"{shared_dir(spark).rstrip('/')}/casetrail/{self.run_id}"
-        except RuntimeError:
-            return None
-
     def drop_tables(self) -> None:
-        """Delete this build's stored layers (call when the results are consumed)."""
-        spark = self.inp.cases.sparkSession
-        root = self.stored_root(spark)
-        if root is None:
-            return
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(root)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Drop this build's stored layers (call when the results are consumed)."""
+        drop_layers(self.inp.cases.sparkSession, f"{self.run_id}_")
+
+    def _keep(self, name: str, make, buckets=(), laid_out: bool = False) -> DataFrame:
         if name not in self.tables:
-            return df
-        root = shared_dir(df.sparkSession)  # an error where no shared folder is set
-        loc = f"{root.rstrip('/')}/casetrail/{self.run_id}/{name}"
-        return materialize(df, f"ct_{self.run_id}_{name}", "table", location=loc)
+            return make()
+        return layer(self.inp.cases.sparkSession, f"{self.run_id}_{name}", make, buckets, laid_out)
 
     @cached_property
-    def _staged(self) -> tuple[DataFrame, DataFrame]:
-        cases, entries = staged(self.inp)
-        return self._keep(cases, "stg_cases"), self._keep(entries, "stg_entries")
-
-    @property
     def cases(self) -> DataFrame:
-        return self._staged[0]
+        cb, ca, _, _ = self.inp.checked().overlays()
+        return self._keep("stg_cases", lambda: stage_cases(self.inp.cases, cb, ca))
+
+    @cached_property
+    def entries_x(self) -> DataFrame:
+        """Staged entries with the segment that they lie in."""
+        _, _, eb, ea = self.inp.checked().overlays()
+
+        def make():
+            e = stage_entries(self.inp.entries, eb, ea, self.cases, self.inp.types)
+            return e.withColumn("_seg", segment_of("comment_seq"))
+        return self._keep("stg_entries", make, SEGMENT_KEYS)
 
     @property
     def entries(self) -> DataFrame:
-        return self._staged[1]
+        return self.entries_x.select(*STAGED_ENTRY_COLUMNS)
+
+    def _lifecycle(self) -> DataFrame:
+        return entry_lifecycle(self.entries_x, self.inp.types, self.inp.aliases, parts=True)
 
     @cached_property
     def lifecycle_x(self) -> DataFrame:
-        """Lifecycle plus the internal ``_case_last_seq`` column."""
-        lc = entry_lifecycle(self.entries, self.inp.types, self.inp.aliases, with_case_last_seq=True)
-        return self._keep(lc, "lifecycle")
+        """The lifecycle with ``PART_COLUMNS`` and without the texts, which no later layer reads."""
+        return self._keep("lifecycle", lambda: self._lifecycle().drop("comment"), SEGMENT_KEYS,
+                          laid_out="stg_entries" in self.tables)
 
     @cached_property
     def lifecycle(self) -> DataFrame:
-        return self.lifecycle_x.select(*LIFECYCLE_COLUMNS)
+        return self._lifecycle().select(*LIFECYCLE_COLUMNS)
 
     @cached_property
     def rollup(self) -> DataFrame:
-        return self._keep(case_rollup(self.cases, self.lifecycle, self.inp.aliases, self.inp.members), "rollup")
+        return self._keep("rollup", lambda: case_rollup(self.cases, self.lifecycle_x, self.inp.aliases, self.inp.members,
+                                                        self.inp.types))
 
     @cached_property
     def calendar(self) -> DataFrame:
-        return self._keep(fiscal_calendar(self.cases, self.inp.as_of), "calendar")
+        return self._keep("calendar", lambda: fiscal_calendar(self.cases, self.inp.as_of))
 
     @cached_property
-    def _counts(self) -> tuple[DataFrame, DataFrame]:
-        daily, monthly = daily_and_monthly(self.lifecycle_x, self.calendar, self.inp.as_of)
-        return self._keep(daily, "daily"), self._keep(monthly, "monthly")
-
-    @property
     def daily(self) -> DataFrame:
-        return self._counts[0]
+        return self._keep("daily", lambda: daily_counts(self.lifecycle_x, self.calendar, self.inp.as_of))
 
-    @property
+    @cached_property
     def monthly(self) -> DataFrame:
-        return self._counts[1]
+        return self._keep("monthly", lambda: monthly_from_intervals(self.lifecycle_x, self.calendar, self.inp.as_of))
 
     @cached_property
     def active(self) -> DataFrame:
@@ -143,7 +140,20 @@ class Warehouse:
 
     @cached_property
     def mart_monthly(self) -> DataFrame:
-        return mart_monthly(self.monthly, self.rollup, self.inp.as_of, self.scope_years)
+        if "monthly" in self.tables:
+            monthly = self.monthly
+        else:  # no month before the mart's scope is made
+            monthly = monthly_from_intervals(self.lifecycle_x, self.calendar, self.inp.as_of,
+                                             scope_start(self.inp.as_of, self.scope_years))
+        return mart_monthly(monthly, self.rollup, self.inp.as_of, self.scope_years)
+
+    @cached_property
+    def dim_calendar(self) -> DataFrame:
+        return dim_calendar(self.calendar)
+
+    @cached_property
+    def dim_entry_type(self) -> DataFrame:
+        return dim_entry_type(self.inp.types)
 
 
 def staged(inp: Inputs) -> tuple[DataFrame, DataFrame]:
@@ -159,21 +169,9 @@ SHARED_LAYERS = ("stg_entries",)
 ALL_TABLE_LAYERS = ("stg_cases", "stg_entries", "lifecycle", "rollup", "calendar", "daily", "monthly")
 
 
-def daily_and_monthly(lifecycle_x: DataFrame, calendar: DataFrame, as_of,
-                      segment_size: int = SEGMENT_SIZE) -> tuple[DataFrame, DataFrame]:
-    """C9 + C10 sharing one (case, segment) partitioning of the entry rows:
-    single-segment cases go day -> month without another exchange; split
-    cases take the generic merge path."""
-    whole, merged, attrs = daily_parts(lifecycle_x, calendar, as_of, segment_size)
-    daily = _daily_select(whole).unionByName(_daily_select(merged))
-    monthly = monthly_from_partitioned_daily(whole, attrs, as_of).unionByName(
-        monthly_counts(_daily_select(merged), as_of))
-    return daily, monthly
-
-
 def build(inp: Inputs, scope_years: int = MART_SCOPE_YEARS, tables: tuple[str, ...] = SHARED_LAYERS,
           run_id: str | None = None) -> Warehouse:
     """The warehouse over ``inp``; layers are planned lazily, and those named in
-    ``tables`` are written as Parquet tables under ``spark.checkpoint.dir`` when
-    first reached (use ``ALL_TABLE_LAYERS`` for a full stored build)."""
-    return Warehouse(inp, scope_years, tuple(tables), run_id or uuid.uuid4().hex[:12])
+    ``tables`` are stored as tables when first reached (use ``ALL_TABLE_LAYERS``
+    for a full stored build)."""
+    return Warehouse(inp, scope_years, tuple(tables), run_id or f"run_{uuid.uuid4().hex[:12]}")

@@ -27,6 +27,8 @@ def read_export(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     Each file's header is consumed, so batches concatenate into one frame.
     Multi-line CSV is not splittable: parallelism is one task per file, so land
     the result as Parquet once (:func:`casetrail.plans.seeds.build_seeds`).
+    The session option that allows the encoding has to hold when the frame is
+    executed, so it stays set.
     """
     if isinstance(paths, str):
         paths = [paths]
@@ -41,6 +43,16 @@ def read_export(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return _newline_normalised(df)
 
 
+def write_export(df: DataFrame, path: str, batches: int) -> None:
+    """Write ``df`` as that many export batches: cp932, a header each, every field
+    quoted, line ends inside fields as ``\\r\\n`` (what ``read_export`` reads)."""
+    df.sparkSession.conf.set("spark.sql.legacy.javaCharsets", "true")
+    (df.select(*[F.regexp_replace(F.col(f"`{c}`"), "\r\n?|\n", "\r\n").alias(c) for c in df.columns])
+     .repartition(batches).write.mode("errorifexists").option("header", True).option("quoteAll", True)
+     .option("escape", '"').option("encoding", EXPORT_ENCODING).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
 def read_seed(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
     """S3: UTF-8 (BOM allowed) seed CSV with a declared schema; empty -> NULL.
 
@@ -66,7 +78,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Write, refusing an existing target (``errorifexists``)."""
     w = df.write.mode("errorifexists")
     if fmt == "csv":
-        w.option("header", True).option("escape", '"').csv(path)
+        (w.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(path))
     else:
         w.format(fmt).save(path)
 
@@ -82,20 +95,16 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
-def materialize(df: DataFrame, name: str, kind: str = "view", location: str | None = None) -> DataFrame:
-    """Store a layer as a table (Parquet in a shared folder, read back) or a view.
+def materialize(df: DataFrame, name: str, kind: str = "view", buckets: Sequence[str] = ()) -> DataFrame:
+    """Store a layer as a table of the catalog (read back) or name it as a view.
 
     A table cuts lineage: later layers read files, so a lost executor only
-    recomputes from the last stored layer.
+    recomputes from the last stored layer.  An existing table is refused.
     """
-    spark = df.sparkSession
     if kind == "view":
         df.createOrReplaceTempView(name)
         return df
     if kind != "table":
         raise ValueError(f"unknown materialization {kind!r}")
-    path = location or f"{shared_dir(spark).rstrip('/')}/tables/{name}"
-    df.write.mode("overwrite").parquet(path)
-    out = spark.read.parquet(path)
-    out.createOrReplaceTempView(name)
-    return out
+    from .layers import save_layer
+    return save_layer(df, name, buckets)

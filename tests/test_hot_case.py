@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from casetrail.operators.calendar import fiscal_calendar
 from casetrail.operators.lifecycle import LIFECYCLE_COLUMNS, entry_lifecycle
-from casetrail.operators.monthly import monthly_counts
+from casetrail.operators.monthly import monthly_counts, monthly_from_intervals
 from casetrail.operators.spine import daily_counts
 from casetrail.functions.keys import entry_id
 from casetrail.plans.adapters import EVENTS_AS_OF, EVENT_ALIASES, EVENT_TYPES, masters, seq_within_case
-from casetrail.plans.warehouse import daily_and_monthly
 from helpers import cases_df
 
 SF = "/root/testdata/sf0.1"
@@ -24,7 +23,7 @@ def test_one_hot_case_spans_segments(spark):
     assert n > (1 << 16)  # more entries than one segment holds
     hot = ev.select(F.lit("HOT").alias("incident_id"), "ts", "event_id", "event_type", "props",
                     F.to_date("ts").alias("_day"))
-    ranked = seq_within_case(hot, "incident_id", "_day", [F.col("ts"), F.col("event_id")])
+    ranked = seq_within_case(hot, "incident_id", "_day", [F.col("ts"), F.col("event_id")], f"hot_{os.getpid()}")
     entries = ranked.select(
         entry_id("incident_id", "comment_seq").alias("comment_id"), "incident_id", "comment_seq",
         F.col("event_type").alias("comment_div"), F.lit("u").alias("comment_by"),
@@ -36,14 +35,14 @@ def test_one_hot_case_spans_segments(spark):
     assert tuple(seqs) == (0, n - 1, n)  # dense ranks although the case spans many range partitions
     types, aliases, _ = masters(spark, EVENT_TYPES, EVENT_ALIASES)
 
-    split = entry_lifecycle(entries, types, aliases, with_case_last_seq=True)
+    split = entry_lifecycle(entries, types, aliases, parts=True)
     one = entry_lifecycle(entries, types, aliases, segment_size=1 << 30)
     a = split.select(*LIFECYCLE_COLUMNS).exceptAll(one.select(*LIFECYCLE_COLUMNS))
     assert a.count() == 0 and split.count() == n
 
     cases = cases_df(spark, [{"incident_id": "HOT", "registered_date": "2024-01-01"}])
     cal = fiscal_calendar(cases, EVENTS_AS_OF)
-    d1, m1 = daily_and_monthly(split, cal, EVENTS_AS_OF)
+    d1, m1 = daily_counts(split, cal, EVENTS_AS_OF), monthly_from_intervals(split, cal, EVENTS_AS_OF)
     d2 = daily_counts(one, cal, EVENTS_AS_OF)
     m2 = monthly_counts(d2, EVENTS_AS_OF)
     assert d1.exceptAll(d2.select(*d1.columns)).count() == 0 and d1.count() == d2.count()

@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from casetrail.operators.calendar import fiscal_calendar
 from casetrail.operators.lifecycle import entry_lifecycle
@@ -76,22 +77,28 @@ def test_daily_and_monthly_match_brute_force(spark, seed):
 
 @pytest.mark.parametrize("seg,falling", [(3, True), (1 << 16, True), (1 << 16, False), (4, False)])
 def test_copartitioned_daily_monthly_match_generic(spark, seg, falling):
-    """The warehouse path (whole cases in place, split cases merged) equals the
-    generic partial+final path."""
+    """The warehouse path (days and months made where the entries lie, split cases
+    merged) equals the generic one, and months from intervals those from days."""
     from casetrail.functions.keys import entry_id
-    from casetrail.plans.warehouse import daily_and_monthly
+    from casetrail.operators.lifecycle import PART_COLUMNS
+    from casetrail.operators.monthly import monthly_from_intervals
     rows = random_entries(7, n_cases=6, falling=falling)
     e = entries_df(spark, rows).select(entry_id("incident_id", "comment_seq").alias("comment_id"), "*")
     lcx = entry_lifecycle(e, types_df(spark, TYPES), aliases_df(spark, []), segment_size=seg,
-                          with_case_last_seq=True)
+                          parts=True)
     cases = cases_df(spark, [{"incident_id": f"C{c:03d}", "registered_date": "2024-01-05"} for c in range(6)])
     cal = fiscal_calendar(cases, AS_OF)
-    d1, m1 = daily_and_monthly(lcx, cal, AS_OF, segment_size=seg)
-    plain = lcx.drop("_case_last_seq")
+    d1, m1 = daily_counts(lcx, cal, AS_OF), monthly_from_intervals(lcx, cal, AS_OF)
+    plain = lcx.drop(*PART_COLUMNS)
     d2 = daily_counts(plain, cal, AS_OF)
     m2 = monthly_counts(d2, AS_OF)
     assert sorted(map(tuple, d1.collect())) == sorted(map(tuple, d2.select(*d1.columns).collect()))
-    assert sorted(map(tuple, m1.collect())) == sorted(map(tuple, m2.select(*m1.columns).collect()))
+    want = sorted(map(tuple, m2.select(*m1.columns).collect()))
+    assert sorted(map(tuple, m1.collect())) == want
+    assert sorted(map(tuple, monthly_from_intervals(plain, cal, AS_OF).collect())) == want
+    for since in (dt.date(2024, 2, 1), dt.date(2023, 11, 1)):
+        late = monthly_from_intervals(lcx, cal, AS_OF, F.lit(since))
+        assert sorted(map(tuple, late.collect())) == [r for r in want if r[0] >= since]
 
 
 def test_n2_n4_open_dev_entry_adds_nothing_and_sum_is_null(spark):
@@ -199,13 +206,14 @@ def test_stored_layers_live_in_shared_folder_and_can_be_dropped(spark):
     from casetrail.plans.warehouse import ALL_TABLE_LAYERS, build
     wh = build(event_inputs(spark, "/root/testdata/sf0.001"), tables=ALL_TABLE_LAYERS)
     n = wh.mart_monthly.count()
-    root = wh.stored_root(spark)
+    from casetrail.sources.layers import location
+    root = location(spark).removeprefix("file:")
     assert root.startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
-    local = root.replace("file:", "")
-    assert {"stg_entries", "lifecycle", "daily", "monthly", "rollup"} <= set(os.listdir(local))
+    held = lambda: {x.removeprefix(f"{wh.run_id}_") for x in os.listdir(root) if x.startswith(wh.run_id)}
+    assert {"stg_entries", "lifecycle", "monthly", "rollup"} <= held()
     assert n == wh.mart_monthly.count()
     wh.drop_tables()
-    assert not os.path.exists(local)
+    assert not held()
 
 
 def test_n6_force_close_wording_without_final_close(spark):
@@ -233,7 +241,7 @@ def test_rank_within_case_equals_plain_rank(spark):
     from casetrail.plans.adapters import seq_within_case
     rows = [("A" if i % 5 else "B", dt.date(2024, 1, 1 + (i * 7) % 3), i) for i in range(200)]
     df = spark.createDataFrame(rows, "c string, d date, k int")
-    got = seq_within_case(df, "c", "d", [F.col("k")])
+    got = seq_within_case(df, "c", "d", [F.col("k")], "rank_test")
     want = df.withColumn("comment_seq", (F.row_number().over(Window.partitionBy("c").orderBy("d", "k")) - 1).cast("int"))
     assert sorted(map(tuple, got.select("c", "d", "k", "comment_seq").collect())) == \
         sorted(map(tuple, want.select("c", "d", "k", "comment_seq").collect()))
@@ -241,9 +249,11 @@ def test_rank_within_case_equals_plain_rank(spark):
 
 def test_rank_needs_the_shared_folder(spark, monkeypatch):
     from casetrail.plans import adapters
+    from casetrail.sources import layers
 
     def unset(_spark):
         raise RuntimeError("spark.checkpoint.dir is not set")
-    monkeypatch.setattr(adapters, "shared_dir", unset)
+    layers.release(spark)
+    monkeypatch.setattr(layers, "shared_dir", unset)
     with pytest.raises(RuntimeError):
-        adapters.seq_within_case(spark.range(3), "id", "id", [])
+        adapters.seq_within_case(spark.range(3), "id", "id", [], "rank_test")

@@ -2,11 +2,8 @@
 import pytest
 
 import __spark_entry__ as E
-from casetrail.operators.calendar import fiscal_calendar
-from casetrail.operators.lifecycle import entry_lifecycle
-from casetrail.operators.spine import daily_parts
 from casetrail.plans.adapters import event_inputs
-from casetrail.plans.warehouse import staged
+from casetrail.plans.warehouse import build
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,40 +31,64 @@ def names(plan):
 
 
 @pytest.fixture(scope="module")
-def whole_daily(spark):
-    inp = event_inputs(spark, SF)
-    c, e = staged(inp)
-    lcx = entry_lifecycle(e, inp.types, inp.aliases, with_case_last_seq=True)
-    whole, _merged, _ = daily_parts(lcx, fiscal_calendar(c, inp.as_of), inp.as_of)
-    return whole
-
-
-def test_spine_rows_are_never_shuffled(whole_daily):
-    """Exploded day rows reach no exchange unless an aggregate sits in between
-    (only pre-aggregated rows may move)."""
-    plan = physical(whole_daily)
-    gens = [(n, p) for n, p in walk(plan) if n.nodeName() == "Generate"]
-    assert gens, "the spine explode is in the plan"
-    emitted_in_place = 0
-    for _, ancestors in gens:
-        up = [a.nodeName() for a in reversed(ancestors)]  # nearest first
-        ex = [i for i, n in enumerate(up) if "Exchange" in n]
-        if not ex:
-            emitted_in_place += 1
-            continue
-        assert any("Aggregate" in n for n in up[:ex[0]]), f"exploded days crossed a shuffle: {up[:ex[0] + 1]}"
-    assert emitted_in_place >= 1  # single-entry days go out without any exchange
-
-
-def test_spine_rows_are_never_sorted(whole_daily):
-    """Above the explode only hash aggregates and hash joins: no sort of day rows."""
-    plan = physical(whole_daily)
-    for n, ancestors in walk(plan):
+def wh(spark):
+    return build(event_inputs(spark, SF), tables=("stg_entries", "lifecycle"))
+
+
+def above(plan, name):
+    """Names of the nodes above each node called ``name``, nearest first."""
+    return [[a.nodeName() for a in reversed(path)] for n, path in walk(plan) if n.nodeName() == name]
+
+
+@pytest.mark.parametrize("layer, made", [("daily", "date_id"), ("monthly", "month_id")])
+def test_rows_are_made_where_entries_lie(wh, layer, made):
+    """Above the stored, bucketed lifecycle: one expansion for rows that are final at once,
+    one for shared ones, one for split cases; the only exchange brings
+    a split case's segments together, behind its own roll-up."""
+    plan = physical(getattr(wh, layer))
+    paths = above(plan, "Generate")
+    assert len(paths) == 3
+    assert [sum("Exchange" in n for n in p) for p in paths] == [0, 0, 1]
+    assert not any(n.startswith("Sort") or "Window" in n for n in paths[0])
+    assert paths[2].index("Window") < next(i for i, n in enumerate(paths[2]) if "Exchange" in n)
+    assert sum("Exchange" in n for n in names(plan)) == 1
+    gens = [n.toString().split("\n")[0] for n, _ in walk(plan) if n.nodeName() == "Generate"]
+    assert all(f"[{made}#" in g for g in gens)  # no row per day on the way to months
+
+
+def test_mart_makes_no_month_before_its_scope(wh):
+    plan = physical(wh.mart_monthly)
+    for n, path in walk(plan):
         if n.nodeName() == "Generate":
-            up = [a.nodeName() for a in ancestors]
-            assert not [x for x in up if x in ("Sort", "SortAggregate", "SortMergeJoin")], up
-    ns = names(plan)
-    assert not any("NestedLoop" in n or "Cartesian" in n for n in ns)
+            below = n.toString()
+            assert "greatest(comment_date" in below  # clipped below the expansion
+            assert not any("trunc(date_id" in a.toString().split("\n")[0] for a in path)
+
+
+def test_stored_entries_need_no_shuffle_for_the_lifecycle(spark, wh):
+    wh.entries_x, wh.lifecycle_x  # stored
+    plan = physical(wh.lifecycle)
+    moved = [n for n, _ in walk(plan) if n.nodeName() == "Exchange"]
+    # only the small table of segments moves, to its cases and back
+    assert len(moved) <= 2 and not any("comment_by" in n.output().toString() for n in moved)
+    assert all("_last_seq" in n.output().toString() or "_s_max" in n.output().toString() for n in moved)
+
+
+@pytest.mark.parametrize("query", ["case_rollup_events", "case_rollup_orders", "stage_entries_events", "direct_close_events"])
+def test_picks_hash_and_texts_stay(spark, query):
+    plan = physical(E.queries()[query](spark, SF))
+    assert "SortAggregate" not in names(plan)
+    for n, _ in walk(plan):
+        if n.nodeName() == "Exchange" and query.startswith("case_rollup"):
+            assert "comment#" not in n.output().toString()
+
+
+def test_unstored_rollup_moves_no_texts(spark):
+    inp = event_inputs(spark, SF)
+    plan = physical(build(inp, tables=()).rollup)
+    assert "SortAggregate" not in names(plan)
+    lifecycle = [n for n, _ in walk(plan) if n.nodeName() == "Exchange" and "_seg#" in n.output().toString()]
+    assert lifecycle and not any("comment#" in n.output().toString() for n in lifecycle)
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))

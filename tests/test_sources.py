@@ -1,3 +1,5 @@
+import pytest
+from pyspark.errors import AnalysisException
 import os
 
 from casetrail.sources.files import read_export, read_seed
@@ -39,4 +41,7 @@ def test_materialize_view_and_table(spark):
     name = f"ct_test_{uuid.uuid4().hex[:8]}"
     t = materialize(df, name, "table")
     assert sorted(r.k for r in t.collect()) == list(range(5))
+    with pytest.raises(AnalysisException):
+        materialize(spark.range(3), name, "table")  # refused, and left as it is
+    assert t.count() == 5
     assert spark.conf.get("spark.checkpoint.dir").rstrip("/") in t.inputFiles()[0]
