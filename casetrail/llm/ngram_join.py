@@ -9,16 +9,22 @@ documents link at a Jaccard similarity of 0.8 or more.
    be their overlap with a partner.  Two sets that share a subset of k shingles
    link if k >= 0.8 (n + m - k); with the smallest set of a subset's list as its
    partner, every other set of the list is linked that any of them is linked to.
-3. Large sets post their prefixes to inverted lists: sorted by hash, a pair with
-   the needed overlap meets in the first floor(n/9)+1 shingles of the smaller
-   and the first floor(m/5)+1 of the larger.  Every list is scanned against one
-   of its sets, parity sketches rule out most pairs, the others are compared
-   exactly, and components are formed.
-4. Lists that still hold several components are scanned whole, across
-   components only.  Short ("light") ones pair directly.  Documents in long
-   ("heavy") ones, such as passages that many documents share, are joined anew
-   with the rarest shingles of all such documents first, where shared passages
-   fall out of the prefixes.
+3. Large sets post their prefixes to inverted lists, their rarest shingles: in any
+   one order of all shingles, a pair with the needed overlap meets in the first
+   floor(n/9)+1 of the smaller and the first floor(m/5)+1 of the larger.  The
+   order is by how often the corpus has shingles of the same slot of a table of
+   fixed size (counted over all texts first, and broadcast), then by hash, so
+   passages that many documents share fall out of the prefixes.  Every list is scanned against one
+   of its sets, sizes and parity sketches rule out most pairs, the others are
+   compared exactly, and components are formed.
+4. Lists that still hold several components are made again and scanned whole,
+   across components only.  Short ("light") ones pair directly.  Documents in
+   long ("heavy") ones, whose slots told too little, are joined anew in the order of
+   how many of these documents hold a shingle.
+
+Prefixes are stored once.  The lists are made from them in ``PARTS`` parts, by
+key, one part after the other: a part's pairs are stored before the next begins,
+so that no more than a part of all list entries is on disk at a time.
 
 The boundary is the size at which the subsets of the small sets cost more rows
 than list entries and their scans, by the sizes and list lengths of this input.
@@ -33,22 +39,29 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
+from functools import reduce
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import run_dir, small_batches, store
-from .components import components, release
+from .components import components
 
 N = 5
 #: Largest size that may count as small, and the sizes at which the boundary may lie.
 SMALL, BOUNDARIES = 24, (0, 4, 9, 14, 19, 24)
 #: Entries of a list from which it is heavy.
 HEAVY = 64
+#: Parts of the lists, and of the pairs whose texts are compared, that are worked on one by one.
+PARTS, TEXT_PARTS = 4, 2
+#: Sets that one task compares with one text's.
+PARTNERS = 1024
 
 _upper = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -92,8 +105,8 @@ def word_hashes(data: bytes) -> np.ndarray:
     return out
 
 
-def shingles(text: str | None) -> np.ndarray:
-    """The set of a text: distinct 64-bit shingle hashes, ascending."""
+def shingles(text: str | None, distinct: bool = True) -> np.ndarray:
+    """The set of a text: distinct 64-bit shingle hashes, ascending (or as they come)."""
     w = word_hashes((text or "").encode("utf-8", "surrogatepass").translate(_upper))
     if not len(w):
         return np.zeros(0, np.uint64)
@@ -102,6 +115,8 @@ def shingles(text: str | None) -> np.ndarray:
     h = np.full(n, min(len(w), N), np.uint64)
     for k in range(min(N, len(w))):
         h += w[k:k + n] * _PLACE[k]
+    if not distinct:
+        return _mix(h)
     h = np.sort(_mix(h))
     return h[np.append(True, h[1:] != h[:-1])]
 
@@ -136,26 +151,68 @@ def may_link(a: bytes, n: int, b: bytes, m: int) -> bool:
     return 9 * (int.from_bytes(a) ^ int.from_bytes(b)).bit_count() <= n + m
 
 
+#: Slots of the table of how often shingles occur: 4 MB, whatever the corpus.
+SLOT_BITS = 20
+
+
+def slots(s: np.ndarray) -> np.ndarray:
+    return (s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def shingle_counts(docs: DataFrame, text_col: str = "text", fan_in: int = 16) -> np.ndarray:
+    """How many shingles of the corpus fall into each slot (repeats in a text count;
+    the table only steers the order).  One compressed table a task, added up ``fan_in`` at a time."""
+    def row(counts):
+        return pa.RecordBatch.from_arrays([pa.array([zlib.compress(counts.astype("<u4").tobytes(), 1)], pa.binary())], names=["counts"])
+
+    def count(batches):
+        total = np.zeros(1 << SLOT_BITS, np.uint64)
+        for b in small_batches(batches):
+            some = [slots(shingles(t, distinct=False)) for t in b.column(0).to_pylist()]
+            total += np.bincount(np.concatenate(some), minlength=len(total)).astype(np.uint64)
+        yield row(np.minimum(total, 0xFFFFFFFF))
+
+    def add(batches):
+        total = np.zeros(1 << SLOT_BITS, np.uint64)
+        for b in batches:
+            for c in b.column(0):
+                total += np.frombuffer(zlib.decompress(c.as_py()), "<u4")
+        yield row(np.minimum(total, 0xFFFFFFFF))
+
+    texts = docs.select(F.col(text_col).alias("text"))
+    tables, n = texts.mapInArrow(count, "counts binary"), texts.rdd.getNumPartitions()
+    while n > 1:
+        n = -(-n // fan_in)
+        tables = tables.repartition(n).mapInArrow(add, "counts binary")
+    rows = tables.collect()  # one table
+    return np.frombuffer(zlib.decompress(rows[0][0]), "<u4") if rows else np.zeros(1 << SLOT_BITS, "<u4")
+
+
 def _signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
 def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n, sig (128 bits of the whole set), first: the lowest hashes of the
-    set, as many as its prefix needs, or all of a small set; bits: its sketch."""
+    """uid (a number of the row), doc_id, n, sig (128 bits of the whole set), first: the
+    rarest hashes of the set, as many as its prefix needs, or all of a small set; bits: its sketch."""
+    table = docs.sparkSession.sparkContext.broadcast(shingle_counts(docs, text_col))
     rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(id_col).cast("long").alias("doc_id"))
 
     def run(batches):
+        uid = TaskContext.get().partitionId() << 33
         for b in small_batches(batches):
             sets = [shingles(t) for t in b.column(0).to_pylist()]
-            first = [_signed(s[:len(s) if len(s) <= SMALL else len(s) // 5 + 1]) for s in sets]
+            uids, uid = range(uid, uid + len(sets)), uid + len(sets)
+            # equal counts keep the order of the hashes
+            first = [_signed(s[np.argsort(table.value[slots(s)], kind="stable")[:len(s) if len(s) <= SMALL else len(s) // 5 + 1]])
+                     for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [b.column(1), pa.array([len(s) for s in sets], pa.int32()),
+                [pa.array(uids, pa.int64()), b.column(1), pa.array([len(s) for s in sets], pa.int32()),
                  pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()),
                  pa.array(first, pa.list_(pa.int64())), pa.array([sketch(s) if len(s) else None for s in sets], pa.binary())],
-                names=["doc_id", "n", "sig", "first", "bits"])
+                names=["uid", "doc_id", "n", "sig", "first", "bits"])
 
-    return rows.mapInArrow(run, "doc_id long, n int, sig binary, first array<long>, bits binary")
+    return rows.mapInArrow(run, "uid long, doc_id long, n int, sig binary, first array<long>, bits binary")
 
 
 def subset_cost(n: int) -> int:
@@ -190,19 +247,19 @@ def _subsets(boundary: int):
 
 
 def _compare(batches):
-    """(u, v, text of u, text of v) -> the linked pairs."""
-    last: dict[tuple, np.ndarray] = {}
-
-    def of(i, t):
-        if (i, t) not in last:
-            if len(last) > 64:
-                last.clear()
-            last[i, t] = shingles(t)
-        return last[i, t]
+    """Rows sorted by (target, salt), the target's own text first -> the linked pairs."""
+    at, heads = None, []
     for b in small_batches(batches):
-        u, v, tu, tv = (b.column(i).to_pylist() for i in range(4))
-        hit = [i for i in range(len(u)) if linked(of(u[i], tu[i]), of(v[i], tv[i]))]
-        yield pa.RecordBatch.from_pydict({"u": [u[i] for i in hit], "v": [v[i] for i in hit]},
+        hit = []
+        for v, salt, u, text in zip(*(b.column(i).to_pylist() for i in range(4))):
+            if (v, salt) != at:
+                at, heads = (v, salt), []
+            mine = shingles(text)
+            if u is None:  # rows with one id may hold several texts
+                heads.append(mine)
+            elif any(linked(mine, h) for h in heads):
+                hit.append((u, v))
+        yield pa.RecordBatch.from_pydict({"u": [u for u, _ in hit], "v": [v for _, v in hit]},
                                          schema=pa.schema([("u", pa.int64()), ("v", pa.int64())]))
 
 
@@ -215,17 +272,37 @@ def _possible(batches):
                                          schema=pa.schema([("u", pa.int64()), ("v", pa.int64())]))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, path: str) -> DataFrame:
-    """The pairs (u, v) whose texts link.  Sketches go first; only the texts of
-    the pairs that they leave are joined and compared."""
-    a, b = (sets.select(F.col("rid").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"b{x}")) for x in "uv")
-    pairs = pairs.distinct().join(b, "v").join(a, "u").select("u", "v", "nu", "bu", "nv", "bv")
+def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, path: str) -> DataFrame:
+    """The pairs (u, v) whose texts link.  Sizes and sketches go first; only the
+    texts of the pairs that they leave are brought together: u's to v's, where each
+    task takes up to ``PARTNERS`` of v's partners (by expectation)."""
+    a, b = (classes.select(F.col("rid").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"b{x}")) for x in "uv")
+    pairs = pairs.distinct().join(b, "v").join(a, "u").filter("9 * abs(nu - nv) <= nu + nv").select("u", "v", "nu", "bu", "nv", "bv")
     pairs = store(pairs.mapInArrow(_possible, "u long, v long").distinct(), f"{path}-pairs")
-    ids = pairs.select(F.col("u").alias("rid")).union(pairs.select("v")).distinct()
-    some = store(texts.join(ids, "rid", "left_semi"), f"{path}-texts")
-    a, b = (some.select(F.col("rid").alias(x), F.col("text").alias(f"t{x}")) for x in "uv")
-    rows = pairs.join(b, "v").join(a, "u").select("u", "v", "tu", "tv")
-    return store(rows.mapInArrow(_compare, "u long, v long"), f"{path}-links")
+    salts = pairs.groupBy("v").agg((F.floor(F.count(F.lit(1)) / PARTNERS) + 1).cast("int").alias("salts"))
+    meet = pairs.join(salts, "v").select(F.col("u").alias("rid"), "v", F.pmod(F.xxhash64("u"), "salts").cast("int").alias("salt"),
+                                         F.col("u").alias("who"))
+    own = salts.select(F.col("v").alias("rid"), "v", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+                       F.lit(None).cast("long").alias("who"))
+    meet = store(meet.unionByName(own), f"{path}-meet")
+    found = []
+    for k in range(TEXT_PARTS):
+        part = texts.join(meet.filter(F.pmod(F.xxhash64("v"), F.lit(TEXT_PARTS)) == k), "rid").select("v", "salt", "who", "text")
+        rows = part.repartition("v", "salt").sortWithinPartitions("v", "salt", F.col("who").asc_nulls_first())
+        found.append(store(rows.mapInArrow(_compare, "u long, v long"), f"{path}-links-{k}"))
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def _posted(sets: DataFrame, classes: DataFrame, least: int, part: int | None = None, parts: int = PARTS) -> DataFrame:
+    """The list entries of sets of more than ``least`` shingles (of one part of
+    the keys): key, indexed, and the columns of ``classes``.  Keys are dealt to
+    parts before the arrays meet their classes, so a part's entries alone move."""
+    prefix = F.transform(F.slice("first", 1, F.floor(F.col("n") / 5).cast("int") + 1),
+                         lambda x, i: F.struct(x.alias("key"), (i <= F.floor(F.col("n") / 9)).alias("indexed")))
+    if part is not None:
+        prefix = F.filter(prefix, lambda x: F.pmod(x["key"], F.lit(parts)) == part)
+    rows = sets.filter(F.col("n") > least).select("uid", prefix.alias("keys")).filter(F.size("keys") > 0)
+    return rows.join(classes, "uid").select(*[c for c in classes.columns if c not in ("uid", "bits")], F.inline("keys"))
 
 
 def _across(lists: DataFrame) -> DataFrame:
@@ -238,47 +315,48 @@ def _across(lists: DataFrame) -> DataFrame:
     return j.select("u", "v").distinct()
 
 
-def set_links(sets: DataFrame, texts: DataFrame, path: str, heavy: int = HEAVY) -> DataFrame:
-    """(node, component) of the classes that link with another.  ``sets``: rid,
-    n, first, bits; ``texts``: rid, text of the same ids."""
-    spark = sets.sparkSession
-    small = sets.filter(F.col("n") <= SMALL)
-    posted = small.select("n", F.explode(F.slice("first", 1, F.floor(F.col("n") / 5).cast("int") + 1)).alias("key"))
+def set_links(sets: DataFrame, classes: DataFrame, texts: DataFrame, path: str, heavy: int = HEAVY) -> DataFrame:
+    """(node, component) of the classes that link with another.  ``sets``: uid,
+    n, first; ``classes``: uid, rid, n, bits; ``texts``: rid, text."""
+    small = classes.filter(F.col("n") <= SMALL)
+    posted = _posted(sets.filter(F.col("n") <= SMALL), small, 0)
     per_list = posted.groupBy("key").agg(F.count(F.lit(1)).alias("c")).agg(F.avg("c")).first()[0] or 0.0
     boundary = choose_boundary({r["n"]: r["count"] for r in small.groupBy("n").count().collect()}, per_list)
 
-    subsets = sets.filter(F.col("n") <= boundary).select("rid", "n", "first").mapInArrow(
-        _subsets(boundary), "k int, key long, n int, rid long")
+    subsets = (sets.filter(F.col("n") <= boundary).select("uid", "first").join(classes.select("uid", "rid", "n"), "uid")
+               .select("rid", "n", "first").mapInArrow(_subsets(boundary), "k int, key long, n int, rid long"))
     least = subsets.groupBy("k", "key").agg(F.min(F.struct("n", "rid")).alias("low"))
     near = subsets.join(least, ["k", "key"]).filter("rid <> low.rid and 100 * k >= 80 * (n + low.n - k)")
     edges = store(near.select(F.col("rid").alias("u"), F.col("low.rid").alias("v")).distinct(), f"{path}/small")
 
-    large = sets.filter(5 * F.col("n") > F.lit(4 * boundary))  # and the small ones that a large one may be linked to
-    post = large.select("rid", "n", F.posexplode(F.slice("first", 1, F.floor(F.col("n") / 5).cast("int") + 1)).alias("at", "key"))
-    post = post.select("key", "rid", "n", (F.col("at") <= F.floor(F.col("n") / 9)).alias("indexed"))
-    heads = post.groupBy("key").agg(F.min(F.when(F.col("indexed"), F.col("rid"))).alias("head"), F.count(F.lit(1)).alias("c"))
-    heads = heads.filter("c > 1 and head is not null").drop("c")
-    shared = store(post.join(heads, "key").filter("rid <> head"), f"{path}/shared")
-    release(spark)
-    pairs = shared.select(F.col("rid").alias("u"), F.col("head").alias("v"))
-    found = _verified(pairs, sets, texts, f"{path}/heads")
-    edges = edges.unionByName(found)
-    release(spark)
-
-    parts = components(edges)
-    label = lambda d: (d.join(parts.withColumnRenamed("node", "rid"), "rid", "left")
-                       .withColumn("component", F.coalesce("component", "rid")))
+    # large sets, and the small ones that a large one may be linked to: 5 n > 4 boundary
+    above = 4 * boundary // 5
+    pairs = []
+    for k in range(PARTS):
+        post = _posted(sets, classes.select("uid", "rid"), above, k)
+        heads = (post.groupBy("key").agg(F.min(F.when(F.col("indexed"), F.col("rid"))).alias("head"), F.count(F.lit(1)).alias("c"))
+                 .filter("c > 1 and head is not null").drop("c"))
+        shared = post.join(heads, "key").filter("rid <> head")
+        pairs.append(store(shared.select(F.col("rid").alias("u"), F.col("head").alias("v")).distinct(), f"{path}/heads-{k}"))
+    edges = edges.unionByName(_verified(reduce(DataFrame.unionByName, pairs), classes, texts, f"{path}/heads"))
+
     # heads were compared with all of their lists; what is left is between the others
-    lists = label(shared.drop("head"))
-    many = (lists.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("c"))
-            .filter("a <> b").select("key", (F.col("c") > heavy).alias("heavy")))
-    lists = store(lists.join(many, "key"), f"{path}/lists")
+    label = components(edges)
+    known = classes.select("uid", "rid", "n").join(label.withColumnRenamed("node", "rid"), "rid", "left")
+    known = store(known.withColumn("component", F.coalesce("component", "rid")), f"{path}/known")
+    lists = []
+    for k in range(PARTS):
+        post = _posted(sets, known, above, k)
+        many = (post.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("c"),
+                                        F.min(F.when(F.col("indexed"), F.col("rid"))).alias("head"))
+                .filter("a <> b and head is not null").select("key", "head", (F.col("c") > heavy).alias("heavy")))
+        lists.append(store(post.join(many, "key").filter("rid <> head").drop("head"), f"{path}/lists-{k}"))
+    lists = reduce(DataFrame.unionByName, lists)
     more = _across(lists.filter("not heavy"))
     again = store(lists.filter("heavy").select("rid", "n", "component").distinct(), f"{path}/heavy")
     if not again.isEmpty():
         more = more.unionByName(_rarest_first(again, texts, path))
-    found = _verified(more, sets, texts, f"{path}/rest")
-    release(spark)
+    found = _verified(more, classes, texts, f"{path}/rest")
     return components(edges.unionByName(found))
 
 
@@ -309,16 +387,16 @@ def _rarest_first(again: DataFrame, texts: DataFrame, path: str) -> DataFrame:
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", heavy: int = HEAVY) -> DataFrame:
     """doc_id, n_shingles, component_id (and the class: the smallest id with the same set)."""
-    spark = docs.sparkSession
-    path = run_dir(spark, "ngram-join")
+    path = run_dir(docs.sparkSession, "ngram-join")
     sets = store(document_sets(docs, id_col, text_col), f"{path}/sets")
-    classes = store(sets.filter("n > 0 and doc_id is not null").groupBy("sig", "n").agg(
-        F.min("doc_id").alias("rid"), F.any_value("first").alias("first"), F.any_value("bits").alias("bits")), f"{path}/classes")
-    release(spark)
+    # the smallest id of an equal set stands for it, with one of its rows
+    classes = sets.filter("n > 0 and doc_id is not null").groupBy("sig", "n").agg(F.min(F.struct("doc_id", "uid")).alias("one"))
+    classes = store(classes.select("sig", "n", F.col("one.doc_id").alias("rid"), F.col("one.uid").alias("uid")), f"{path}/classes")
+    sketched = store(classes.select("uid", "rid", "n").join(sets.select("uid", "bits"), "uid"), f"{path}/sketches")
     # of several rows with a class's id any has the same set, unless ids repeat; then all sets of an id are compared
     texts = docs.select(F.col(id_col).cast("long").alias("rid"), F.col(text_col).alias("text"))
-    links = set_links(classes.select("rid", "n", "first", "bits"), texts, path, heavy)
-    member = sets.drop("first", "bits").join(classes.select("sig", F.col("n").alias("n_"), "rid"), ["sig"], "left").drop("n_")
+    links = set_links(sets.select("uid", "n", "first"), sketched, texts, path, heavy)
+    member = sets.select("doc_id", "n", "sig").join(classes.select("sig", "rid"), ["sig"], "left")
     out = member.join(links, F.col("rid") == links["node"], "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                       F.coalesce("component", "rid", "doc_id").alias("component_id"), F.coalesce("rid", "doc_id").alias("class_id"))

@@ -109,6 +109,19 @@ def test_token_planes(spark, docs, texts, empty, bits):
     assert sorted((r["start"], r["n_tokens"]) for r in two) == [(0, 1), (1, 2), (3, 2)]
 
 
+def test_planes_of_a_tokenizer_that_minds_spaces(spark):
+    """Only a file that says that words can be cut is cut; any other tokenizer gets whole texts."""
+    from tokenizers import Tokenizer
+    from casetrail.llm.token_planes import cuts_at_spaces, plane_files
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert cuts_at_spaces(public_tokenizers.path("word_bpe_49k.json")) and not cuts_at_spaces(path)
+    texts, tok = ["Some Words, and\n more", "", "a  b", " lead"], Tokenizer.from_file(path)
+    got = by_id(plane_files(docs_df(spark, [(i, t, "s") for i, t in enumerate(texts)]), path))
+    for i, t in enumerate(texts):
+        ids = tok.encode(t, add_special_tokens=False).ids + [2]
+        assert (got[i]["n_tokens"], got[i]["ids_crc32"]) == (len(ids), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids)))
+
+
 def test_planes_round_trip():
     import numpy as np
     from casetrail.llm.token_planes import from_planes, to_planes
@@ -141,12 +154,19 @@ def test_host_rules(spark, docs, texts, empty):
         n, chars, symbols, dup, rep = brute.quality(t)
         failed = n < 50 or 100 * rep > 50 * n
         assert tuple(got[i])[:7] == (i, n, chars, symbols, dup, rep, failed)
-        assert got[i]["kept"] == (not failed and got[i]["host_rate"] <= 0.5)
+        assert got[i]["kept"] == (not failed)  # no host stands out
     good, bad = " ".join(f"w{k}" for k in range(60)), "spam " * 60
     rows = [(i, bad if i < 30 else good, "bad") for i in range(33)] + [(100 + i, bad if i < 2 else good, "good") for i in range(60)]
     v = by_id(host_verdicts(docs_df(spark, rows)))
     assert not v[32]["kept"] and not v[32]["base_failed"]  # the host's verdict
     assert v[150]["kept"] and not v[100]["kept"]
+    # the same rate in a host of few documents proves nothing: the prior holds it, and its good one stays
+    few = [(i, bad if i < 2 else good, "few") for i in range(3)] + [(100 + i, bad if i % 6 == 0 else good, f"h{i % 5}") for i in range(300)]
+    v = by_id(host_verdicts(docs_df(spark, few)))
+    assert v[2]["kept"] and v[2]["host_rate"] < 0.5 and not v[0]["kept"]
+    # the limit follows the corpus: where all hosts are alike, none fails, however high the rate
+    alike = [(i, bad if i % 10 < 8 else good, f"h{i % 3}") for i in range(300)]
+    assert all(r["kept"] == (not r["base_failed"]) for r in by_id(host_verdicts(docs_df(spark, alike))).values())
     assert host_verdicts(empty).count() == 0 and beta_prior(0, 0, 0, 0.0) == (1.0, 1.0)
 
 
@@ -204,25 +224,6 @@ def test_ngram_join(spark, docs, texts, empty):
     assert near_copies(empty).count() == 0
 
 
-def test_small_sets_by_subsets(spark, monkeypatch):
-    from casetrail.llm import ngram_join
-    rng = random.Random(9)
-    base = [[f"w{rng.randint(0, 40)}" for _ in range(rng.randint(4, 28))] for _ in range(6)]
-    texts = []
-    for _ in range(80):
-        w = list(rng.choice(base))
-        if rng.random() < 0.7:
-            w[rng.choice([0, -1])] = f"v{rng.randint(0, 3)}"
-        texts.append(" ".join(w))
-    want = brute.near_components(texts)
-    for x in (0, 9, 24):
-        monkeypatch.setattr(ngram_join, "choose_boundary", lambda *a, x=x: x)
-        got = by_id(ngram_join.near_copies(docs_df(spark, [(i, t, "s") for i, t in enumerate(texts)])))
-        assert [(got[i]["n_shingles"], got[i]["component_id"]) for i in range(len(texts))] == want
-    monkeypatch.undo()
-    assert ngram_join.choose_boundary({3: 100}, 50.0) >= 4 and ngram_join.choose_boundary({20: 1000}, 0.0) <= 19
-
-
 def test_small_sets_by_subsets_at_every_boundary(spark, monkeypatch):
     from casetrail.llm import ngram_join
     rng = random.Random(9)
@@ -242,6 +243,44 @@ def test_small_sets_by_subsets_at_every_boundary(spark, monkeypatch):
     assert ngram_join.choose_boundary({3: 100}, 50.0) >= 4 and ngram_join.choose_boundary({20: 1000}, 0.0) <= 19
 
 
+def test_rare_shingles_come_first(spark, monkeypatch):
+    """Counts add up over tasks; documents that share a long passage and nothing else meet in no
+    list, and links are the same whatever the table says."""
+    import numpy as np
+
+    from casetrail.llm import ngram_join as nj
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    passage = [word() for _ in range(60)]
+    texts = [" ".join([word() for _ in range(120)] + passage + [word() for _ in range(120)]) for _ in range(90)]
+    texts += [t.rsplit(" ", 9)[0] for t in texts[:20]]
+    d = docs_df(spark, [(i, t, "s") for i, t in enumerate(texts)]).repartition(9)
+    table = nj.shingle_counts(d, fan_in=2)
+    want = np.bincount(np.concatenate([nj.slots(nj.shingles(t, distinct=False)) for t in texts]), minlength=len(table))
+    assert (table == want).all() and want.sum() == sum(len(t.split()) - 4 for t in texts)
+    common = {int(x) for x in nj.shingles(" ".join(passage)).view(np.int64)}
+    first = [r["first"] for r in nj.document_sets(d).collect()]
+    assert not any(common & set(f) for f in first)
+    expect = brute.near_components(texts)
+    for counts in (nj.shingle_counts, lambda *a: np.zeros(1 << nj.SLOT_BITS, "<u4")):
+        monkeypatch.setattr(nj, "shingle_counts", counts)
+        got = by_id(nj.near_copies(d, heavy=8))
+        assert [(got[i]["n_shingles"], got[i]["component_id"]) for i in range(len(texts))] == expect
+
+
+def test_repeated_rows_and_ids_in_the_join(spark):
+    """A row that is there twice changes nothing; an id with two texts has the links of both; NULL ids get the id of their class."""
+    from casetrail.llm import ngram_join as nj
+    rng = random.Random(8)
+    base = [" ".join(f"w{rng.randint(0, 999)}" for _ in range(40)) for _ in range(3)]
+    near = [t + " tail" for t in base]
+    rows = [(1, base[0]), (1, base[0]), (2, near[0]), (3, base[1]), (3, base[2]), (4, near[1]), (5, near[2]), (None, base[0]), (6, None), (None, None)]
+    got = {(r["doc_id"], r["n_shingles"] > 0): r["component_id"] for r in nj.near_copies(docs_df(spark, [(i, t, "s") for i, t in rows])).collect()}
+    assert got[1, True] == got[2, True] == got[None, True] == 1
+    assert got[3, True] == got[4, True] == got[5, True] == 3
+    assert got[6, False] == 6 and got[None, False] is None
+
+
 def test_word_hashes_and_sketches():
     """Words hash alike at every offset, over block edges too; a sketch never rules out sets that link."""
     import numpy as np
