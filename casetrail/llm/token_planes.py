@@ -13,8 +13,10 @@ Spark can write:
            the block starts at in the whole corpus, and its compressed size
 
 ``docs`` lists the pieces of documents inside the block, so a block can be read
-without any other.  Word ends keep the tokenizer from merging across white
-space, so text is encoded word by word through the worker's cache.
+without any other.  Word ends keep such a tokenizer from merging across white
+space, so a batch's words are coded by Arrow, each distinct one is encoded once
+through the worker's cache, and ids are gathered by code.  The tokenizer's file
+is asked whether that holds; texts go to any other tokenizer whole.
 
 Defined results: a NULL or empty text is the end id alone; rows with equal ids
 are written one after the other, by text; NULL ids come first; a document may
@@ -23,20 +25,26 @@ not read.
 """
 from __future__ import annotations
 
+import json
 import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .chunks import gathered
 from .common import run_dir, small_batches
-from .word_cache import WordCache, packed_ids, worker_cache
+from .word_cache import WordCache, encode_all, packed_ids, worker_cache
 
 BLOCK_IDS = 1 << 16
+#: Words that a worker remembers, as they stand and with their marks cut off.
+CACHE_WORDS = 300_000
 LEVEL = 3
 END_ID = 2
 
@@ -72,13 +80,65 @@ _mark = re.compile(r"(?<=[a-zA-Z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([,.
 
 
 def _words(text: str) -> list[str]:
-    """White-space words, with a comma or full stop behind a Latin letter or digit cut
+    """A white-space word, with a comma or full stop behind a Latin letter or digit cut
     off, as the tokenizer does, and ASCII text in lower case, which it makes it
     anyway (special tokens are looked for before): fewer distinct words."""
     if text.isascii() and "<|" not in text:
         text = text.lower()
-    text = _mark.sub(r" \1", text)
-    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+    return _mark.sub(r" \1", text).split(" ")
+
+
+def cuts_at_spaces(tokenizer_path: str) -> bool:
+    """Whether the tokenizer encodes a text like its words, one by one, in lower case:
+    it lower-cases, drops white space between pre-tokens, ends words with a suffix
+    (so that none depends on what is beside it), cuts marks off letters,
+    adds nothing around a text, and its special strings hold ``<|`` and no space."""
+    with open(tokenizer_path, encoding="utf-8") as f:
+        t = json.load(f)
+    steps = lambda part, inner: [x for x in [part, *(part or {}).get(inner, [])] if x]
+    normal, cut = steps(t["normalizer"], "normalizers"), steps(t["pre_tokenizer"], "pretokenizers")
+    split = next((x for x in cut if x["type"] == "Split"), {"pattern": {}})
+    words = regex.compile(split["pattern"].get("Regex", ""))
+    return (any(x["type"] == "Lowercase" for x in normal) and bool(t["model"].get("end_of_word_suffix"))
+            and t["post_processor"] is None and not any(x.get("add_prefix_space") for x in cut)
+            and split.get("behavior") == "Removed" and split.get("invert", False)
+            and words.findall("ab, c. d7.e") == ["ab", ",", "c", ".", "d", "7", ".", "e"]
+            and all("<|" in a["content"] and not re.search(r"\s", a["content"]) for a in t["added_tokens"]))
+
+
+def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """(starts, codes, words): the codes of text i's parts between blanks and line
+    ends lie from ``starts[i]`` to ``starts[i + 1]``."""
+    texts = texts.cast(pa.large_string())
+    for blank in "\n\t\r":
+        texts = pc.replace_substring(texts, blank, " ")
+    parts = pc.split_pattern(texts, " ")
+    starts = np.asarray(parts.offsets).astype(np.int64)
+    coded = parts.flatten().dictionary_encode()
+    return starts - starts[0], np.asarray(coded.indices), coded.dictionary.to_pylist()
+
+
+class PlaneEncoder:
+    """Ids of texts, ``width`` bytes each; words are remembered within bounds."""
+
+    def __init__(self, tokenizer_path: str, width: int):
+        self.path, self.width, self.whole = tokenizer_path, width, not cuts_at_spaces(tokenizer_path)
+        self.marked = WordCache(packed_ids(tokenizer_path, width), {"": b""}, limit=CACHE_WORDS)
+        self.words = WordCache(self._split, {"": b""}, limit=CACHE_WORDS)
+
+    def _split(self, words: list[str]) -> list[bytes]:
+        cut = [_words(w) for w in words]
+        ids = iter(self.marked.values([w for c in cut for w in c]))
+        return [b"".join([next(ids) for _ in c]) for c in cut]
+
+    def encode(self, texts: pa.Array) -> tuple[memoryview, list[int]]:
+        """All ids, and each text's first byte among them (one more at the end)."""
+        if self.whole:
+            ids = [np.asarray(i, f"<u{self.width}").tobytes() for i in encode_all(self.path, texts.to_pylist())]
+            return memoryview(b"".join(ids)), np.concatenate([[0], np.cumsum([len(i) for i in ids])]).tolist()
+        starts, codes, words = word_codes(texts)
+        data, at = gathered(self.words.values(words), codes)
+        return data, at[starts].tolist()
 
 
 def encode_planes(docs: DataFrame, path: str, tokenizer_path: str, width: int = 2, end_id: int = END_ID,
@@ -91,7 +151,7 @@ def encode_planes(docs: DataFrame, path: str, tokenizer_path: str, width: int =
     kind = np.dtype(f"<u{width}")
 
     def write(batches):
-        cache = worker_cache(("planes", tokenizer_path, width), lambda: WordCache(packed_ids(tokenizer_path, width), {"": b""}))
+        coder = worker_cache(("planes", tokenizer_path, width), lambda: PlaneEncoder(tokenizer_path, width))
         end, part, pack = np.asarray([end_id], kind).tobytes(), TaskContext.get().partitionId(), zstandard.ZstdCompressor(level=LEVEL)
         pending, size, listed, block, first = [], 0, [], 0, 0  # bytes and documents of the open block
 
@@ -101,8 +161,9 @@ def encode_planes(docs: DataFrame, path: str, tokenizer_path: str, width: int =
             return pa.RecordBatch.from_pylist([{"part": part, "block": block, "first_id": first, "n_ids": len(ids),
                                                 "width": width, "docs": pieces, "planes": planes}], schema=_BLOCK_TYPE)
         for b in small_batches(batches):
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = b"".join(cache.values(_words(text))) + end
+            data, cuts = coder.encode(b.column(1))
+            for doc_id, s, e in zip(b.column(0).to_pylist(), cuts, cuts[1:]):
+                ids = bytes(data[s:e]) + end
                 n, start, at = len(ids) // width, first + size // width, 0
                 while at < n:
                     take = min(n - at, block_ids - size // width)
