@@ -3,8 +3,11 @@
 Every document is measured by itself.  Its host fails with the share of its
 documents that break any rule, shrunken towards the corpus: the prior is a beta
 distribution with the mean and the between-host variance of the rates, so a
-host of few documents is judged by the corpus and a large one by itself.  Hosts
-whose posterior mean is over ``HOST_MAX`` lose all their documents.
+host of few documents is judged by the corpus and a large one by itself.  A host
+loses all its documents if its posterior puts its rate over ``OUTLIER`` times the
+prior's mean with a probability of 95 % (the posterior mean less ``SURE`` standard
+deviations is over that limit): the limit moves with the corpus, and a host has
+to have the documents to show it.
 
 The rates are sums per host, made map-side first; the prior takes two numbers
 from one row; verdicts, one narrow row per host, are joined back.  Large hosts
@@ -28,7 +31,9 @@ from .common import run_dir, small_batches, store
 MIN_WORDS, MAX_REPEAT_PCT = 50, 50
 #: Further rules, which count for the host only: symbols per 100 word characters, duplicate lines.
 MAX_SYMBOL_PCT, MAX_DUP_LINES = 10, 10
-HOST_MAX = 0.5
+#: A host fails where its rate is over this many times the corpus's, and the standard
+#: deviations that make 95 % on one side.
+OUTLIER, SURE = 2.0, 1.645
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -83,13 +88,17 @@ def rule_failed():
 
 
 def host_rates(measures: DataFrame) -> DataFrame:
-    """host, n_docs, n_failed, host_rate: the posterior mean of its failure rate."""
+    """host, n_docs, n_failed, host_rate (the posterior mean of its failure rate),
+    host_least (what the rate is over with a probability of 95 %), corpus_rate (the prior's mean)."""
     hosts = measures.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(rule_failed().cast("long")).alias("n_failed"))
     rate = F.col("n_failed") / F.col("n_docs")
     # n, failures, hosts and the sum of n * rate^2 give the mean and the variance
     n, f, k, q = hosts.agg(F.sum("n_docs"), F.sum("n_failed"), F.count(F.lit(1)), F.sum(F.col("n_docs") * rate * rate)).first()
     a, b = beta_prior(n or 0, f or 0, k, q or 0.0)
-    return hosts.withColumn("host_rate", (F.col("n_failed") + a) / (F.col("n_docs") + a + b))
+    mean, size = (F.col("n_failed") + a) / (F.col("n_docs") + a + b), F.col("n_docs") + a + b
+    return (hosts.withColumn("host_rate", mean)
+            .withColumn("host_least", mean - SURE * F.sqrt(mean * (1 - mean) / (size + 1)))
+            .withColumn("corpus_rate", F.lit(a / (a + b))))
 
 
 def beta_prior(n: int, failures: int, hosts: int, square: float) -> tuple[float, float]:
@@ -104,11 +113,11 @@ def beta_prior(n: int, failures: int, hosts: int, square: float) -> tuple[float,
 
 
 def host_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-                  host_max: float = HOST_MAX) -> DataFrame:
+                  outlier: float = OUTLIER) -> DataFrame:
     """The measures of each document, base_failed, kept, and its host's rate."""
     m = store(text_measures(docs, id_col, text_col, host_col), run_dir(docs.sparkSession, "hosts"))
-    rates = host_rates(m).select(F.col("host").alias("_h"), "host_rate")
+    rates = host_rates(m).select(F.col("host").alias("_h"), "host_rate", (F.col("host_least") > outlier * F.col("corpus_rate")).alias("_fails"))
     j = m.join(rates, m["host"].eqNullSafe(rates["_h"]))
     return j.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     base_failed().alias("base_failed"),
-                    (~base_failed() & (F.col("host_rate") <= host_max)).alias("kept"), "host_rate")
+                    (~base_failed() & ~F.col("_fails")).alias("kept"), "host_rate")

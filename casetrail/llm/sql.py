@@ -68,9 +68,9 @@ p as (select sum(n) as n, sum(f) as f, count(*) as k, sum(n * (f / n) * (f / n))
 a as (select least(greatest(f / n, 1e-6), 1 - 1e-6) as m, greatest(q / n - (f / n) * (f / n)
              - least(greatest(f / n, 1e-6), 1 - 1e-6) * (1 - least(greatest(f / n, 1e-6), 1 - 1e-6)) * k / n, 1e-6) as v from p),
 z as (select m, least(greatest(m * (1 - m) / v - 1, 1.0), 1e6) as strength from a),
-x as (select source, (f + m * strength) / (n + strength) as rate from h, z)
+x as (select source, m, n + strength as size, (f + m * strength) / (n + strength) as rate from h, z)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       not base_failed and rate <= 0.5 as kept
+       not base_failed and not (rate - 1.645 * sqrt(rate * (1 - rate) / (size + 1)) > 2.0 * m) as kept
 from b join x on b.source is not distinct from x.source
 """
 
