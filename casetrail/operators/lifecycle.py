@@ -70,13 +70,47 @@ def segment_of(seq, segment_size: int = SEGMENT_SIZE) -> Column:
     return F.floor((F.col(seq) if isinstance(seq, str) else seq) / F.lit(segment_size)).cast("int")
 
 
+#: Bytes of texts from which a segment is cut further, and the entries that a cut keeps together.
+SEGMENT_BYTES, FINE = 64 << 20, 64
+
+
+def with_segments(entries: DataFrame, segment_size: int = SEGMENT_SIZE, max_bytes: int = SEGMENT_BYTES,
+                  fine: int = FINE) -> DataFrame:
+    """``_seg``, ascending with seq inside a case: at most ``segment_size``
+    consecutive numbers, and about ``max_bytes`` of texts, whichever is reached first.
+
+    Sizes are summed map-side per (case, segment).  Only segments over the limit
+    are cut, at multiples of ``fine`` numbers, by the running sum of their sizes;
+    where there is none, which one row tells, a segment follows from its seq alone.
+    """
+    seq, cuts = F.col("comment_seq"), -(-segment_size // fine) + 1
+    rows = entries.withColumn("_seg", segment_of(seq, segment_size))
+    sizes = rows.groupBy("incident_id", "_seg").agg(F.sum(F.coalesce(F.octet_length("comment"), F.lit(0))).alias("_bytes"))
+    large = sizes.filter(F.col("_bytes") > max_bytes)
+    numbered = (F.col("_seg") * cuts).cast("int")
+    if large.isEmpty():
+        return rows.withColumn("_seg", numbered)
+    part = F.floor(seq / F.lit(fine)).cast("int")
+    per_part = (rows.join(large.select("incident_id", "_seg"), ["incident_id", "_seg"], "left_semi")
+                .groupBy("incident_id", "_seg", part.alias("_part")).agg(F.sum(F.coalesce(F.octet_length("comment"), F.lit(0))).alias("_b")))
+    segment = Window.partitionBy("incident_id", "_seg")
+    before = segment.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = per_part.withColumn("_full", F.floor((F.sum("_b").over(before) - F.col("_b")) / max_bytes))
+    # no more cuts than parts, so that the numbers of one segment stay below the next one's
+    cut = small_side(filled.select(F.col("incident_id").alias("_c_case"), F.col("_seg").alias("_c_seg"), F.col("_part").alias("_c_part"),
+                                   (F.dense_rank().over(segment.orderBy("_full")) - 1).alias("_cut")))
+    j = rows.withColumn("_part", part)
+    j = j.join(cut, j["incident_id"].eqNullSafe(cut["_c_case"]) & (j["_seg"] == cut["_c_seg"]) & (j["_part"] == cut["_c_part"]), "left")
+    return (j.withColumn("_seg", numbered + F.coalesce("_cut", F.lit(0))).drop("_part", "_c_case", "_c_seg", "_c_part", "_cut"))
+
+
 def entry_lifecycle(entries: DataFrame, types: DataFrame, aliases: DataFrame,
                     segment_size: int = SEGMENT_SIZE, parts: bool = False) -> DataFrame:
     """C6 over staged entries (``comment_id`` ... ``comment``); 22 columns out.
 
     ``parts`` appends ``PART_COLUMNS`` (no extra pass): they let the daily spine
     tell single-segment cases from split ones, and days that only one entry can
-    cover from shared ones.  Entries may bring ``_seg`` of the same size.
+    cover from shared ones.  Entries may bring their ``_seg`` (``with_segments``).
     """
     seq = F.col("comment_seq")
     if "_seg" not in entries.columns:
@@ -102,6 +136,7 @@ def entry_lifecycle(entries: DataFrame, types: DataFrame, aliases: DataFrame,
         F.max("_s_max_no_appr").over(case_w).alias("_max_seq_no_appr"),
         F.max("_s_max_no_close").over(case_w).alias("_max_seq_no_close"),
         F.lead("_s_first_date").over(case_w.orderBy("_seg")).alias("_next_seg_first_date"),
+        (F.min("_seg").over(case_w) < F.max("_seg").over(case_w)).alias("_several"),
     )
 
     j = e.join(seg, ["incident_id", "_seg"], "left")
@@ -118,7 +153,7 @@ def entry_lifecycle(entries: DataFrame, types: DataFrame, aliases: DataFrame,
         _flag(F.col("is_approver") & (seq == F.col("_max_seq_no_appr") + 1)).alias("is_final_approver"),
         _flag(seq == F.col("_last_seq")).alias("is_last_comment"),
         raw_next.alias("_raw_next"),
-        "_last_seq", "_seg",
+        "_several", "_seg",
     )
 
     # Author aliases.
@@ -127,7 +162,7 @@ def entry_lifecycle(entries: DataFrame, types: DataFrame, aliases: DataFrame,
 
     final_close = F.col("is_final_closer") | F.col("is_final_approver")
     next_date = F.when(final_close, F.coalesce("_raw_next", "comment_date")).otherwise(F.col("_raw_next"))
-    split = F.col("_last_seq") >= segment_size
+    split = F.coalesce("_several", F.lit(True))
     rising = F.col("is_last_comment") | (next_date.isNotNull() & (next_date >= F.col("comment_date")))
     chain = F.bool_and(_flag(rising)).over(Window.partitionBy("incident_id", "_seg"))
     return flagged.select(
@@ -143,6 +178,5 @@ def entry_lifecycle(entries: DataFrame, types: DataFrame, aliases: DataFrame,
         "is_after_final_close", "is_approver", "is_final_approver", "is_last_comment",
         "is_patch_planned",
         "is_force_close_announce", "is_force_close", "comment",
-        *(["_seg", F.coalesce(split, F.lit(True)).alias("_split"),
-           (chain & ~F.coalesce(split, F.lit(True))).alias("_chain")] if parts else []),
+        *(["_seg", split.alias("_split"), (chain & ~split).alias("_chain")] if parts else []),
     )

@@ -16,7 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from ..operators.calendar import fiscal_calendar
-from ..operators.lifecycle import LIFECYCLE_COLUMNS, entry_lifecycle, segment_of
+from ..operators.lifecycle import LIFECYCLE_COLUMNS, entry_lifecycle, with_segments
 from ..operators.marts import MART_SCOPE_YEARS, active_cases, dim_calendar, dim_entry_type, mart_monthly, scope_start
 from ..operators.monthly import monthly_from_intervals
 from ..operators.rollup import case_rollup
@@ -97,7 +97,7 @@ class Warehouse:
 
         def make():
             e = stage_entries(self.inp.entries, eb, ea, self.cases, self.inp.types)
-            return e.withColumn("_seg", segment_of("comment_seq"))
+            return with_segments(e)
         return self._keep("stg_entries", make, SEGMENT_KEYS)
 
     @property

@@ -47,3 +47,29 @@ def test_one_hot_case_spans_segments(spark):
     m2 = monthly_counts(d2, EVENTS_AS_OF)
     assert d1.exceptAll(d2.select(*d1.columns)).count() == 0 and d1.count() == d2.count()
     assert m1.exceptAll(m2.select(*m1.columns)).count() == 0 and m1.count() == m2.count()
+
+
+def test_segments_of_long_texts_are_cut_by_bytes(spark):
+    """A case of long texts: no segment holds much more than the limit, other cases keep
+    theirs, and the figures are those of whole segments."""
+    from casetrail.operators.lifecycle import PART_COLUMNS, with_segments
+    from casetrail.operators.monthly import monthly_from_intervals
+    from helpers import TYPES, aliases_df, entries_df, types_df
+    kinds = [t[0] for t in TYPES]
+    rows = [(c, i, kinds[(i * i + len(c)) % len(kinds)], "u", f"2024-01-{1 + i // 9:02d}", "x" * (400 if c == "LONG" else 3))
+            for c in ("LONG", "SHORT") for i in range(150)] + [(None, 0, "answer", "u", "2024-01-01", "y" * 9000)]
+    e = entries_df(spark, rows).withColumn("comment_id", entry_id("incident_id", "comment_seq"))
+    cut = with_segments(e, segment_size=100, max_bytes=4000, fine=4)
+    held = {(r["incident_id"], r["_seg"]): r for r in cut.groupBy("incident_id", "_seg").agg(
+        F.sum(F.octet_length("comment")).alias("b"), F.min("comment_seq").alias("lo"), F.max("comment_seq").alias("hi")).collect()}
+    assert max(r["b"] for k, r in held.items() if k[0] == "LONG") <= 4000 + 4 * 400
+    assert sum(k[0] == "SHORT" for k in held) == 2 and sum(k[0] == "LONG" for k in held) >= 14
+    spans = sorted((r["lo"], r["hi"], k[1]) for k, r in held.items() if k[0] == "LONG")
+    assert all(a[1] < b[0] and a[2] < b[2] for a, b in zip(spans, spans[1:]))  # ascending with seq
+    types, aliases = types_df(spark, TYPES), aliases_df(spark, [])
+    a = entry_lifecycle(cut.filter("incident_id is not null"), types, aliases, parts=True)
+    b = entry_lifecycle(e.filter("incident_id is not null"), types, aliases, parts=True)
+    assert sorted(map(str, a.drop(*PART_COLUMNS).collect())) == sorted(map(str, b.drop(*PART_COLUMNS).collect()))
+    cal = fiscal_calendar(cases_df(spark, [{"incident_id": "LONG", "registered_date": "2024-01-01"}]), EVENTS_AS_OF)
+    for made in (daily_counts, monthly_from_intervals):
+        assert sorted(map(str, made(a, cal, EVENTS_AS_OF).collect())) == sorted(map(str, made(b, cal, EVENTS_AS_OF).collect()))
