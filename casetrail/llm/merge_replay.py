@@ -10,6 +10,7 @@ neighbours, and enters them in the index.  Where such a pair ranks below the
 merge itself, it goes first and the remaining positions wait, so that each word
 sees its merges in the order that the reference algorithm (lowest rank, then
 leftmost) gives it.  A pre-token that is an entry of the vocabulary is that id.
+A pattern that does not start a match at single spaces gets its texts uncut.
 
 The corpus of a replay is a block, not a shuffle of all words: words are never
 sent to another task and back, tasks do not depend on each other, and a
@@ -39,7 +40,9 @@ from .word_cache import WordCache, worker_cache
 
 
 #: Pre-tokens and chunks (a pre-token or several between two spaces) that a worker remembers.
-CACHE_WORDS, CACHE_CHUNKS = 200_000, 300_000
+CACHE_WORDS, CACHE_CHUNKS = 400_000, 500_000
+#: Bytes of documents to a block.
+BLOCK_BYTES = 8 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -143,11 +146,20 @@ def replay(words: list[bytes], table: MergeTable) -> list[np.ndarray]:
     return [ids[at[s]:at[e]] for s, e in zip(starts.tolist(), ends.tolist())]
 
 
+def cuts_at_spaces(pattern: regex.Pattern) -> bool:
+    """Whether a single space between two other characters starts a new match:
+    asked for every pair of kinds of characters."""
+    kinds = ["a", "B", "é", "日", "7", "½", ",", "'", "'s", "$", "🙂", "\u0301", "\x1c", "\x00"]
+    found = pattern.findall
+    return all(found(f"{x} {y}") == found(x) + found(f" {y}") for x in kinds for y in kinds)
+
+
 class ReplayEncoder:
     """Ids of texts; keeps what it has replayed, within bounds."""
 
     def __init__(self, table: MergeTable, pattern: str):
         self.table, self.pattern = table, regex.compile(pattern)
+        self.cut = cuts_at_spaces(self.pattern)
         self.words = WordCache(self._replayed, limit=CACHE_WORDS)
         self.chunks = WordCache(self._split, limit=CACHE_CHUNKS)
 
@@ -164,7 +176,11 @@ class ReplayEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[memoryview, np.ndarray]:
         """All ids (little-endian, 32 bits) and each text's first byte among them."""
-        starts, codes, chunks = chunked(texts)
+        if self.cut:
+            starts, codes, chunks = chunked(texts)
+        else:  # each text is a chunk
+            chunks = [t or "" for t in texts.to_pylist()]
+            starts, codes = np.arange(len(chunks) + 1), np.arange(len(chunks))
         data, at = gathered(self.chunks.values(chunks), codes)
         return data, at[starts]
 
@@ -189,7 +205,7 @@ def replay_tokens(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool
 
     def encode(batches):
         coder = worker_cache(("replay", ranks_path, pattern), lambda: ReplayEncoder(MergeTable(load_ranks(ranks_path)), pattern))
-        for b in small_batches(batches):
+        for b in small_batches(batches, BLOCK_BYTES):
             ids, at = coder.encode(b.column(1))
             raw, begin = coder.decode(ids)
             cuts = begin[at // 4].tolist()

@@ -86,6 +86,21 @@ def test_replay_takes_lower_ranks_that_a_merge_makes_first():
     assert [x.tolist() for x in replay(words, table)] == [plain(w) for w in words]
 
 
+def test_a_pattern_that_matches_over_spaces_gets_whole_texts():
+    import regex
+    from casetrail.llm.merge_replay import MergeTable, ReplayEncoder, cuts_at_spaces
+    assert cuts_at_spaces(regex.compile(public_tokenizers.PATTERN)) and not cuts_at_spaces(regex.compile(r"\S+ ?|\s"))
+    table = MergeTable({bytes([i]): i for i in range(256)} | {b"a ": 300, b"a b": 301})
+    ids, at = ReplayEncoder(table, r".+").encode(pa.array(["a b", None, "xa b"]))
+    assert [np.frombuffer(ids[s:e], "<u4").tolist() for s, e in zip(at, at[1:])] == [[301], [], [120, 301]]
+
+
+def test_alignment_refuses_tokenizers_that_it_can_not_cut():
+    from casetrail.llm.token_alignment import Tokenizers
+    with pytest.raises(ValueError):
+        Tokenizers(path("word_bpe_49k.json"), path("piece_bpe_32k.model"))
+
+
 def aligned_rows(rows):
     import sentencepiece
     from tokenizers import Tokenizer
