@@ -44,8 +44,10 @@ from .word_cache import ENCODE_CHARS, WordCache, worker_cache
 TABLE_PAIRS = 1 << 20
 #: Pairs that a task holds before it adds them up, and bytes of pairs read at once.
 HELD_PAIRS, READ_BYTES = 1 << 22, 16 << 20
-#: Chunks that a worker remembers.
-CACHE_CHUNKS = 200_000
+#: Chunks that a worker remembers, and that are aligned in one sort.
+CACHE_CHUNKS, SORTED_CHUNKS = 400_000, 20_000
+#: Bytes of documents handled at once.
+BLOCK_BYTES = 8 << 20
 #: A pair is id A * 2^32 + id B.
 SHIFT = 32
 
@@ -62,10 +64,17 @@ class Tokenizers:
     """Both libraries, and the bytes of their tokens."""
 
     def __init__(self, a_path: str, b_path: str):
+        import json
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
+        with open(a_path, encoding="utf-8") as f:
+            parts = json.load(f)
+        cut = parts["pre_tokenizer"] or {}
+        if parts["normalizer"] or (cut.get("type"), cut.get("use_regex"), cut.get("add_prefix_space")) != ("ByteLevel", True, False):
+            raise ValueError(f"{a_path} is no plain byte-level tokenizer: texts can't be cut at spaces")
+        del parts
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True  # their strings in a text are ordinary text
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
@@ -120,7 +129,11 @@ class Aligner:
         self.b_size = np.array([len(x) for x in self.tokens.b_bytes], np.int64)
         #: by 3 * id + separator: the id as text with what follows it
         self.texts = [f"{i}{s}" for i in range(max(len(self.a_size), len(self.b_size))) for s in ",|;"]
-        self.cache = WordCache(self.align, limit=CACHE_CHUNKS)
+        self.cache = WordCache(self._pieces, limit=CACHE_CHUNKS)
+
+    def _pieces(self, chunks: list[str]):
+        for i in range(0, len(chunks), SORTED_CHUNKS):
+            yield from self.align(chunks[i:i + SORTED_CHUNKS])
 
     def align(self, chunks: list[str]) -> list[tuple]:
         """(n_a, n_b, n_groups, text of the groups, linked pairs as bytes) of
@@ -170,7 +183,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, with_groups: bool = False
     def align(batches):
         aligner = worker_cache(("align", a_path, b_path), lambda: Aligner(a_path, b_path))
         row = TaskContext.get().partitionId() << 33
-        for b in small_batches(batches):
+        for b in small_batches(batches, BLOCK_BYTES):
             out = []
             starts, codes, chunks = chunked(b.column(1), lead=True)
             known = aligner.cache.values(chunks)
