@@ -6,8 +6,8 @@ a word always starts one.  So a text is cut at single spaces into such pieces
 
 1. a broadcast table has the counts of the ``TABLE_WORDS`` most frequent
    pieces.  Each task sums up its pieces in a Misra-Gries summary of fixed size;
-   the summaries are merged in two rounds, so neither the driver nor any task
-   holds more than a fixed number of them.  All documents take part;
+   the summaries are merged on the executors in rounds, so no task holds more
+   than a fixed number of them and the driver gets one.  All documents take part;
 2. a piece that is not in it goes through the cache of the worker, and from
    there to the tokenizers library.
 
@@ -33,7 +33,7 @@ from .word_cache import CACHE_CHARS, WordCache, encode_all, worker_cache
 
 #: Entries of the broadcast table: about 2 MB, whatever the corpus.
 TABLE_WORDS = 65_536
-#: Counters of a task's summary, and summaries merged by one task or the driver.
+#: Counters of a task's summary, and summaries merged by one task.
 SUMMARY_WORDS, FAN_IN = 16_384, 64
 LIMIT = 1024
 
@@ -69,7 +69,7 @@ def _merge(batches):
     for b in batches:
         for r in b.to_pylist():
             total.update(dict(zip(r["words"], r["counts"])))
-            total = shrink(total, SUMMARY_WORDS)
+            total = shrink(total, TABLE_WORDS)
     yield _row(total)
 
 
@@ -86,15 +86,17 @@ def frequent_pieces(texts: DataFrame, size: int = TABLE_WORDS) -> list[str]:
 
     schema = "words array<string>, counts array<long>"
     rows = texts.mapInArrow(summary, schema)
-    # one summary per task: 64 of them to a merging task, and so on up to the driver
+    # one summary per task: 64 of them to a merging task, and so on until one is left
     n = texts.rdd.getNumPartitions()
-    while n > FAN_IN:
+    while True:
         n = -(-n // FAN_IN)
-        rows = rows.repartition(n).mapInArrow(_merge, schema)
+        rows = rows.repartition(max(n, 1)).mapInArrow(_merge, schema)
+        if n <= 1:
+            break
     total: Counter = Counter()
-    for r in rows.toLocalIterator():
+    for r in rows.collect():
         total.update(dict(zip(r["words"], r["counts"])))
-        total = shrink(total, size)
+    total = shrink(total, size)
     return [w for w, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))]
 
 
