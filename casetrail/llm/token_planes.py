@@ -43,8 +43,8 @@ from .common import run_dir, small_batches
 from .word_cache import WordCache, encode_all, packed_ids, worker_cache
 
 BLOCK_IDS = 1 << 16
-#: Words that a worker remembers, as they stand and with their marks cut off.
-CACHE_WORDS = 300_000
+#: Words that a worker remembers, and bytes of documents encoded at once.
+CACHE_WORDS, BATCH_BYTES = 500_000, 8 << 20
 LEVEL = 3
 END_ID = 2
 
@@ -75,17 +75,8 @@ def from_planes(planes: list[bytes], n: int, width: int) -> np.ndarray:
     return np.ascontiguousarray(rows).view(f"<u{width}").reshape(n)
 
 
-#: Latin-1 letters and digits: neither NFC nor lower case makes marks of them.
-_mark = re.compile(r"(?<=[a-zA-Z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([,.])")
-
-
-def _words(text: str) -> list[str]:
-    """A white-space word, with a comma or full stop behind a Latin letter or digit cut
-    off, as the tokenizer does, and ASCII text in lower case, which it makes it
-    anyway (special tokens are looked for before): fewer distinct words."""
-    if text.isascii() and "<|" not in text:
-        text = text.lower()
-    return _mark.sub(r" \1", text).split(" ")
+#: A comma or full stop behind an ASCII letter or digit: neither NFC nor lower case makes marks of these.
+_MARK = "([a-zA-Z0-9])([,.])"
 
 
 def cuts_at_spaces(tokenizer_path: str) -> bool:
@@ -108,10 +99,16 @@ def cuts_at_spaces(tokenizer_path: str) -> bool:
 
 def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """(starts, codes, words): the codes of text i's parts between blanks and line
-    ends lie from ``starts[i]`` to ``starts[i + 1]``."""
+    ends lie from ``starts[i]`` to ``starts[i + 1]``.  Commas and full stops behind
+    an ASCII letter or digit are cut off, as the tokenizer does, and ASCII texts put in lower case,
+    which it does anyway (special tokens are looked for before): fewer distinct words."""
     texts = texts.cast(pa.large_string())
     for blank in "\n\t\r":
         texts = pc.replace_substring(texts, blank, " ")
+    # the replaced texts are an array of their own: ascii_lower garbles slices of others
+    plain = pc.and_(pc.string_is_ascii(texts), pc.invert(pc.match_substring(texts, "<|")))
+    texts = pc.if_else(plain, pc.ascii_lower(texts), texts)
+    texts = pc.replace_substring_regex(texts, _MARK, r"\1 \2")
     parts = pc.split_pattern(texts, " ")
     starts = np.asarray(parts.offsets).astype(np.int64)
     coded = parts.flatten().dictionary_encode()
@@ -123,13 +120,7 @@ class PlaneEncoder:
 
     def __init__(self, tokenizer_path: str, width: int):
         self.path, self.width, self.whole = tokenizer_path, width, not cuts_at_spaces(tokenizer_path)
-        self.marked = WordCache(packed_ids(tokenizer_path, width), {"": b""}, limit=CACHE_WORDS)
-        self.words = WordCache(self._split, {"": b""}, limit=CACHE_WORDS)
-
-    def _split(self, words: list[str]) -> list[bytes]:
-        cut = [_words(w) for w in words]
-        ids = iter(self.marked.values([w for c in cut for w in c]))
-        return [b"".join([next(ids) for _ in c]) for c in cut]
+        self.words = WordCache(packed_ids(tokenizer_path, width), {"": b""}, limit=CACHE_WORDS)
 
     def encode(self, texts: pa.Array) -> tuple[memoryview, list[int]]:
         """All ids, and each text's first byte among them (one more at the end)."""
@@ -160,7 +151,7 @@ def encode_planes(docs: DataFrame, path: str, tokenizer_path: str, width: int =
             planes = [pack.compress(p) for p in to_planes(ids, bits)]
             return pa.RecordBatch.from_pylist([{"part": part, "block": block, "first_id": first, "n_ids": len(ids),
                                                 "width": width, "docs": pieces, "planes": planes}], schema=_BLOCK_TYPE)
-        for b in small_batches(batches):
+        for b in small_batches(batches, BATCH_BYTES):
             data, cuts = coder.encode(b.column(1))
             for doc_id, s, e in zip(b.column(0).to_pylist(), cuts, cuts[1:]):
                 ids = bytes(data[s:e]) + end
