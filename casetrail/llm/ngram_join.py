@@ -60,6 +60,8 @@ SMALL, BOUNDARIES = 24, (0, 4, 9, 14, 19, 24)
 HEAVY = 64
 #: Parts of the lists, and of the pairs whose texts are compared, that are worked on one by one.
 PARTS, TEXT_PARTS = 4, 2
+#: Subsets that a task holds.
+SUBSET_ROWS = 20_000
 #: Sets that one task compares with one text's.
 PARTNERS = 1024
 
@@ -232,17 +234,23 @@ def _subsets(boundary: int):
     """Small sets -> (k, key, n, rid) for every subset that may be an overlap."""
     from itertools import combinations
 
+    def rows(out):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int32(), pa.int64()))],
+                                          names=["k", "key", "n", "rid"])
+
     def run(batches):
+        out: list[tuple] = []
         for b in batches:
-            out: list[tuple] = []
             for rid, n, first in zip(*(b.column(i).to_pylist() for i in range(3))):
                 h = _mix(np.array(first, np.int64).view(np.uint64))
                 for gone in (g for d in range(n // 5 + 1) for g in combinations(range(n), d)):
                     kept = np.delete(h, list(gone))
                     out.append((len(kept), int(_mix(kept.sum(dtype=np.uint64, keepdims=True)).view(np.int64)[0]), n, rid))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int32(), pa.int64()))],
-                                                 names=["k", "key", "n", "rid"])
+                if len(out) >= SUBSET_ROWS:
+                    yield rows(out)
+                    out = []
+        if out:
+            yield rows(out)
     return run
 
 
@@ -302,7 +310,8 @@ def _posted(sets: DataFrame, classes: DataFrame, least: int, part: int | None =
     if part is not None:
         prefix = F.filter(prefix, lambda x: F.pmod(x["key"], F.lit(parts)) == part)
     rows = sets.filter(F.col("n") > least).select("uid", prefix.alias("keys")).filter(F.size("keys") > 0)
-    return rows.join(classes, "uid").select(*[c for c in classes.columns if c not in ("uid", "bits")], F.inline("keys"))
+    # one plan at all sizes: a small table of classes isn't broadcast
+    return rows.join(classes.hint("merge"), "uid").select(*[c for c in classes.columns if c not in ("uid", "bits")], F.inline("keys"))
 
 
 def _across(lists: DataFrame) -> DataFrame:
