@@ -49,3 +49,19 @@ def test_line_without_closing_paren_position(spark):
     df = spark.createDataFrame([("I6", "u", "d", "x", h)], HISTORY_INPUT)
     got = rows(split_history(df))
     assert got[1][5] == "mid (T:U 2024/01/01) not endend"
+
+
+def test_every_line_separator_splits_as_in_python(spark):
+    """All of str.splitlines' separators, and nothing else that looks like one."""
+    seps = ["\n", "\r", "\r\n", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", " ", " "]
+    others = ["\t", "\x1f", " ", "​", "\x00"]
+    cells = [f"a{i}(T:U 2024/01/0{1 + i % 9}){s}b{i}(T:V 2024/02/0{1 + i % 9})" for i, s in enumerate(seps + others)]
+    df = spark.createDataFrame([(f"I{i:02d}", "u", "d", "x", c) for i, c in enumerate(cells)], HISTORY_INPUT)
+    got = {}
+    for r in rows(split_history(df)):
+        if r[1]:
+            got.setdefault(r[0], []).append(r[5])
+    want = {f"I{i:02d}": [f"a{i}", f"b{i}"] for i in range(len(seps))}
+    want |= {f"I{i:02d}": [cells[i][:-len("(T:V 2024/02/01)")]] for i in range(len(seps), len(cells))}
+    assert got == want
+    assert all(len(c.splitlines()) == (2 if i < len(seps) else 1) for i, c in enumerate(cells))
