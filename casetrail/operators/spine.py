@@ -9,9 +9,12 @@ the calendar and to ``as_of``:
 * a case whose dates never fall as seq rises has intervals that touch only at
   their end days.  Days inside an interval belong to its entry alone and are
   final as they are made: no aggregate, no sort, no shuffle;
-* end days (two an entry at most), and all days of other cases, are summed per
-  (case, segment, day), with the highest seq's attributes, where the entries lie;
-* only cases that span several segments are summed once more, per (case, day).
+* end days (two an entry at most) are summed per (case, segment, day), with the
+  highest seq's attributes, where the entries lie;
+* other cases of one segment are cut into stretches of days that the same entries
+  cover, at every day where one begins or ends.  Stretches are summed like
+  days and make their days afterwards, so the sort is of entries, not of days;
+* only cases that span several segments are summed day by day, and once more per (case, day).
 """
 from __future__ import annotations
 
@@ -116,12 +119,36 @@ def daily_parts(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date) -> t
              .select(*kept, "_until", F.explode(F.sequence(first, last, day)).alias("date_id"))
              .withColumns({**{x: zero for x in COUNT_COLUMNS}, **by_side("elapsed_days", one_if(c("_until").isNotNull()))}))
     end_days = F.array_compact(F.array(F.when(starts, c("_lo")), F.when(ends & (c("_until") != c("comment_date")), c("_hi"))))
-    days = F.when(c("_chain"), end_days).otherwise(F.sequence("_lo", "_hi", day))
-    shared = base.select("*", F.explode(days).alias("date_id"))
     counts = {**by_side("elapsed_days", one_if(c("date_id") != c("_until"))), **event_counts(c("date_id") == c("comment_date"))}
-    shared = shared.select(*kept, "_seg", "_split", "date_id", *[v.alias(k) for k, v in counts.items()])
-    return (alone.select("date_id", *kept, *COUNT_COLUMNS),
-            rolled_by_segment(shared, "date_id", COUNT_COLUMNS).select("date_id", *kept, *COUNT_COLUMNS))
+    summed = [v.alias(k) for k, v in counts.items()]
+    at = ["incident_id", "_seg", "date_id"]
+    touching = base.filter("_chain").select("*", F.explode(end_days).alias("date_id")).select(*kept, "_seg", "date_id", *summed)
+    loose = in_stretches(base.filter("not _chain and not _split")).select(*kept, "_seg", "date_id", "_to", *summed)
+    loose = rolled(loose, at, COUNT_COLUMNS).withColumn("date_id", F.explode(F.sequence("date_id", "_to", day)))
+    split = base.filter("_split").select("*", F.explode(F.sequence("_lo", "_hi", day)).alias("date_id")).select(*kept, "_seg", "date_id", *summed)
+    split = rolled(rolled(split, at, COUNT_COLUMNS), ["incident_id", "date_id"], COUNT_COLUMNS)
+    names = ["date_id", *kept, *COUNT_COLUMNS]
+    shared = rolled(touching, at, COUNT_COLUMNS).select(*names).unionByName(loose.select(*names)).unionByName(split.select(*names))
+    return alone.select(*names), shared
+
+
+def in_stretches(base: DataFrame) -> DataFrame:
+    """One row per entry and stretch [``date_id``, ``_to``] that it covers.  A
+    (case, segment) is cut where an interval begins or ends and around each entry's own
+    and last day, so what holds on a stretch's first day holds on all of it.
+    There are no more stretches than days."""
+    c = F.col
+    day = F.expr("INTERVAL 1 DAY")
+    cuts = F.array_compact(F.array("_lo", F.date_add("_hi", 1), "comment_date", F.date_add("comment_date", 1),
+                                   "_until", F.date_add("_until", 1)))
+    marks = (base.select("incident_id", "_seg", F.explode(cuts).alias("_mark")).groupBy("incident_id", "_seg")
+             .agg(F.sort_array(F.collect_set("_mark")).alias("_marks")))
+    # the last mark lies behind all intervals, so it opens no stretch
+    spans = F.transform("_marks", lambda m, i: F.struct(m.alias("date_id"), F.date_sub(F.get("_marks", i + 1), 1).alias("_to")))
+    inside = F.filter(spans, lambda s: s["date_id"].between(F.col("_lo"), F.col("_hi")))
+    days = F.transform(F.sequence("_lo", "_hi", day), lambda d: F.struct(d.alias("date_id"), d.alias("_to")))
+    met = base.join(marks, ["incident_id", "_seg"], "left")  # rows without a case meet no marks
+    return met.select(*[c(x) for x in base.columns], F.inline(F.when(c("_marks").isNull(), days).otherwise(inside)))
 
 
 def daily_counts(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date) -> DataFrame:

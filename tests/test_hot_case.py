@@ -73,3 +73,24 @@ def test_segments_of_long_texts_are_cut_by_bytes(spark):
     cal = fiscal_calendar(cases_df(spark, [{"incident_id": "LONG", "registered_date": "2024-01-01"}]), EVENTS_AS_OF)
     for made in (daily_counts, monthly_from_intervals):
         assert sorted(map(str, made(a, cal, EVENTS_AS_OF).collect())) == sorted(map(str, made(b, cal, EVENTS_AS_OF).collect()))
+
+
+def test_days_of_falling_cases_are_made_after_the_sums(spark, monkeypatch):
+    """A case whose dates fall is summed by stretches: the rows that are sorted follow
+    the entries, not the days, and the days are those of the plain computation."""
+    import datetime as dt
+    from casetrail.operators import spine
+    from helpers import TYPES, aliases_df, entries_df, types_df
+    rows = [("F", i, "stranger", "u", d, "t") for i, d in enumerate(
+        ["2001-01-05", "2003-02-01", "2001-06-30", "2001-01-05", "2006-05-01"])]
+    e = entries_df(spark, rows).withColumn("comment_id", entry_id("incident_id", "comment_seq"))
+    parts = entry_lifecycle(e, types_df(spark, TYPES), aliases_df(spark, []), parts=True)
+    assert not parts.filter("_chain or _split").count()
+    cal, as_of = fiscal_calendar(cases_df(spark, [{"incident_id": "F", "registered_date": "2001-01-05"}]), dt.date(2008, 3, 1)), dt.date(2008, 3, 1)
+    summed, rolled = [], spine.rolled
+    monkeypatch.setattr(spine, "rolled", lambda rows, *a, **k: summed.append(rows) or rolled(rows, *a, **k))
+    days = spine.daily_counts(parts, cal, as_of)
+    assert days.count() > 1500 and sum(r.count() for r in summed) < 100
+    monkeypatch.undo()
+    plain = daily_counts(parts.select(*LIFECYCLE_COLUMNS), cal, as_of)
+    assert sorted(map(str, days.collect())) == sorted(map(str, plain.collect()))
