@@ -19,8 +19,8 @@ repeated rows give equal results; other columns are not read.
 """
 from __future__ import annotations
 
+import hashlib
 import re
-import uuid
 import zlib
 from dataclasses import dataclass
 
@@ -34,6 +34,8 @@ from .word_cache import WordCache, worker_cache
 
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
+#: Words segmented in step (each takes some 2 kB then), and bytes of texts taken at once.
+STEP_WORDS, BLOCK_BYTES = 4096, 1 << 20
 _word = re.compile(f"{MARKER}*[^{MARKER}]+|{MARKER}+")
 
 
@@ -206,6 +208,20 @@ def segment_many(p: Pieces, new: list[str], longest: int = 48) -> list[list[int]
     return out
 
 
+class Segmenter:
+    """The pieces of a model, and the words that a worker has segmented by them."""
+
+    def __init__(self, p: Pieces):
+        self.p, self.is_byte = p, np.zeros(len(p.text), bool)
+        self.is_byte[p.byte_id] = True
+        self.cache = WordCache(self._packed)
+
+    def _packed(self, new: list[str]):
+        for i in range(0, len(new), STEP_WORDS):
+            for ids in segment_many(self.p, new[i:i + STEP_WORDS]):
+                yield np.asarray(ids, "<u4").tobytes()
+
+
 def words(text: str) -> list[str]:
     return _word.findall(MARKER + text.replace(" ", MARKER)) if text else []
 
@@ -220,22 +236,21 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     ids), decoded_crc32 (of the decoded text's UTF-8), round_trip (decoding
     gives the text again), and the ``ids`` and ``decoded`` text on demand."""
     spark = docs.sparkSession
-    model, run = spark.sparkContext.broadcast(load_pieces(model_path)), uuid.uuid4().hex
+    model = spark.sparkContext.broadcast(load_pieces(model_path))
+    with open(model_path, "rb") as f:  # runs over one model share a worker's segmenter
+        key = ("pieces", hashlib.md5(f.read()).hexdigest())
     rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(id_col).cast("long").alias("doc_id"))
     more = [("ids", pa.list_(pa.int32())), ("decoded", pa.string())] if with_ids else []
     schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("n_ids", pa.int64()), ("n_byte_ids", pa.int64()),
                         ("ids_crc32", pa.int64()), ("decoded_crc32", pa.int64()), ("round_trip", pa.bool_()), *more])
 
     def encode(batches):
-        p = model.value
-        cache = worker_cache(("pieces", run), lambda: WordCache(
-            lambda new: (np.asarray(ids, "<u4").tobytes() for ids in segment_many(p, new))))
-        is_byte = np.zeros(len(p.text), bool)
-        is_byte[p.byte_id] = True
-        for b in small_batches(batches):
+        known = worker_cache(key, lambda: Segmenter(model.value))
+        p, is_byte = known.p, known.is_byte
+        for b in small_batches(batches, BLOCK_BYTES):
             texts, ids_of = b.column(0).to_pylist(), b.column(1).to_pylist()
             cut = [words(t) for t in texts]
-            made, at, out = cache.values([w for ws in cut for w in ws]), 0, []  # words of all texts of the batch at once
+            made, at, out = known.cache.values([w for ws in cut for w in ws]), 0, []  # words of all texts of the batch at once
             for text, doc_id, ws in zip(texts, ids_of, cut):
                 raw = b"".join(made[at:at + len(ws)])
                 at += len(ws)

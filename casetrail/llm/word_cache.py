@@ -8,9 +8,12 @@ only the time to fill a new one.
 """
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 
 import numpy as np
+import pyarrow as pa
 
 #: Words a worker remembers, and the longest that it remembers.
 CACHE_WORDS, CACHE_CHARS = 500_000, 64
@@ -72,10 +75,22 @@ _caches: dict[tuple, WordCache] = {}
 
 def worker_cache(key: tuple, build) -> WordCache:
     """The worker's cache under ``key``, built by ``build()`` where there is none.
-    Only the last few are kept.  (Called by name, so that tasks find the caches
-    of this module and not a pickled copy.)"""
+    Only the last is kept: workers outlive their queries, and the memory of another
+    one's cache goes back to the system first.  (Called by name, so that tasks find
+    the caches of this module and not a pickled copy.)"""
     if key not in _caches:
-        while len(_caches) >= 2:
-            _caches.pop(next(iter(_caches)))
+        if _caches:
+            _caches.clear()
+            _give_back()
         _caches[key] = build()
     return _caches[key]
+
+
+def _give_back() -> None:
+    """Return freed memory to the system, which the allocators keep otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
