@@ -202,29 +202,30 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """doc_id, held_out, score, predicted; one row per document."""
     weights, bias, prior = train(docs, labels, id_col=id_col, text_col=text_col)
     rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(id_col).cast("long").alias("doc_id"))
-    scored = rows.mapInArrow(_scorer(docs, weights, bias, prior, ["doc_id"]), "doc_id long, score double")
+    scored = rows.mapInArrow(_scorer(docs, weights, bias, prior, 0, ["doc_id"]), "doc_id long, score double")
     return scored.select("doc_id", (remainder(F.col("doc_id")) == 0).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def _scorer(docs, weights, bias, prior, keep, score_name="score"):
-    """A map over (text, *keep) that gives (*keep, score)."""
+def _scorer(docs, weights, bias, prior, text_at, keep, score_name="score"):
+    """A map over batches with the text at ``text_at`` that gives (*keep, score)."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):
         w = sent.value
         cache = worker_cache(("toxicity",), lambda: WordCache(_hash))
         for b in small_batches(batches):
-            s = [w[features(t, cache)].sum(dtype=np.float64) + bias for t in b.column(0).to_pylist()]
+            s = [w[features(t or "", cache)].sum(dtype=np.float64) + bias for t in b.column(text_at).to_pylist()]
             s = np.full(len(s), prior) if np.isnan(bias) else _sigmoid(np.array(s, float))
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(s)], names=[*keep, score_name])
+            kept = b.columns[b.num_columns - len(keep):]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(s)], names=[*keep, score_name])
     return run
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with their own columns."""
     weights, bias, prior = train(docs, labels, id_col=id_col, text_col=text_col)
-    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("__tox_text"), *[docs[c] for c in docs.columns])
+    text_at = [c.lower() for c in docs.columns].index(text_col.lower())  # each text goes to the workers once
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    scored = rows.mapInArrow(_scorer(docs, weights, bias, prior, docs.columns, "__tox_score"), f"{schema}, `__tox_score` double")
+    scored = docs.mapInArrow(_scorer(docs, weights, bias, prior, text_at, docs.columns, "__tox_score"), f"{schema}, `__tox_score` double")
     return scored.filter("`__tox_score` < 0.5").drop("__tox_score")
