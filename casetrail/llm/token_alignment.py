@@ -45,9 +45,9 @@ TABLE_PAIRS = 1 << 20
 #: Pairs that a task holds before it adds them up, and bytes of pairs read at once.
 HELD_PAIRS, READ_BYTES = 1 << 22, 16 << 20
 #: Chunks that a worker remembers, and that are aligned in one sort.
-CACHE_CHUNKS, SORTED_CHUNKS = 400_000, 20_000
+CACHE_CHUNKS, SORTED_CHUNKS = 200_000, 20_000
 #: Bytes of documents handled at once.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: A pair is id A * 2^32 + id B.
 SHIFT = 32
 
