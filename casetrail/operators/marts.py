@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import first_date_of_fiscal_scope, lit_date
+from .monthly import months_of
 
 # Upstream default: two fiscal years of monthly history, counting the current one.
 MART_SCOPE_YEARS = 2
@@ -53,11 +54,16 @@ def mart_monthly(monthly: DataFrame, rollup: DataFrame, as_of: _dt.date,
     The scope filter sits on the monthly side, below the join.  Months that are
     made for this mart alone should start at ``scope_start`` (``since`` of
     ``monthly_from_intervals``): then no earlier month is made at all.  The
-    case side is projected to the 17 columns it gives.
+    case side is projected to the 17 columns it gives.  ``monthly_stretches`` may
+    be given instead of months: they meet their cases first and make their
+    months afterwards, so no row per month is moved or sorted.
     """
-    t1 = monthly.filter(F.col("month_id") >= scope_start(as_of, scope_years))
+    first, stretched = scope_start(as_of, scope_years), "_to" in monthly.columns
+    t1 = monthly.filter(F.col("_to" if stretched else "month_id") >= first)
     t2 = rollup.select("incident_id", *_CASE_SIDE).withColumnRenamed("incident_id", "_case_id")
     j = t1.join(t2, t1["incident_id"] == t2["_case_id"], "inner")
+    if stretched:
+        j = months_of(j).filter(F.col("month_id") >= first)
     return j.select(*MART_MONTHLY_COLUMNS)
 
 

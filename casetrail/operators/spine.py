@@ -97,14 +97,6 @@ def rolled(rows: DataFrame, keys: list[str], sums: list[str], most: list[str] =
             .filter("_rank = 1").drop("_rank"))
 
 
-def rolled_by_segment(shared: DataFrame, key: str, sums: list[str], most: list[str] = []) -> DataFrame:
-    """``rolled`` per (case, segment, key), and once more per (case, key) for
-    cases that span several segments."""
-    whole = rolled(shared.filter("not _split"), ["incident_id", "_seg", key], sums, most)
-    split = rolled(shared.filter("_split"), ["incident_id", "_seg", key], sums, most)
-    return whole.unionByName(rolled(split, ["incident_id", key], sums, most))
-
-
 def daily_parts(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date) -> tuple[DataFrame, DataFrame]:
     """(alone, shared): the (day, case) rows of days inside an entry's interval,
     and those of all other days."""
@@ -123,7 +115,8 @@ def daily_parts(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date) -> t
     summed = [v.alias(k) for k, v in counts.items()]
     at = ["incident_id", "_seg", "date_id"]
     touching = base.filter("_chain").select("*", F.explode(end_days).alias("date_id")).select(*kept, "_seg", "date_id", *summed)
-    loose = in_stretches(base.filter("not _chain and not _split")).select(*kept, "_seg", "date_id", "_to", *summed)
+    cuts = F.array("_lo", F.date_add("_hi", 1), "comment_date", F.date_add("comment_date", 1), "_until", F.date_add("_until", 1))
+    loose = in_stretches(base.filter("not _chain and not _split"), "date_id", cuts, c("_lo"), c("_hi"), day).select(*kept, "_seg", "date_id", "_to", *summed)
     loose = rolled(loose, at, COUNT_COLUMNS).withColumn("date_id", F.explode(F.sequence("date_id", "_to", day)))
     split = base.filter("_split").select("*", F.explode(F.sequence("_lo", "_hi", day)).alias("date_id")).select(*kept, "_seg", "date_id", *summed)
     split = rolled(rolled(split, at, COUNT_COLUMNS), ["incident_id", "date_id"], COUNT_COLUMNS)
@@ -132,23 +125,21 @@ def daily_parts(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date) -> t
     return alone.select(*names), shared
 
 
-def in_stretches(base: DataFrame) -> DataFrame:
-    """One row per entry and stretch [``date_id``, ``_to``] that it covers.  A
-    (case, segment) is cut where an interval begins or ends and around each entry's own
-    and last day, so what holds on a stretch's first day holds on all of it.
-    There are no more stretches than days."""
+def in_stretches(base: DataFrame, name: str, cuts: Column, lo: Column, hi: Column, step: Column) -> DataFrame:
+    """One row per entry and stretch [``name``, ``_to``] of days or months (``step``)
+    that it covers between ``lo`` and ``hi``.  A (case, segment) is cut at all
+    ``cuts`` of its entries, which hold ``lo``, what follows ``hi``, and both ends of all
+    that differs from its surroundings, so what holds at a stretch's start holds on all of
+    it.  There are no more stretches than days or months."""
     c = F.col
-    day = F.expr("INTERVAL 1 DAY")
-    cuts = F.array_compact(F.array("_lo", F.date_add("_hi", 1), "comment_date", F.date_add("comment_date", 1),
-                                   "_until", F.date_add("_until", 1)))
-    marks = (base.select("incident_id", "_seg", F.explode(cuts).alias("_mark")).groupBy("incident_id", "_seg")
+    marks = (base.select("incident_id", "_seg", F.explode(F.array_compact(cuts)).alias("_mark")).groupBy("incident_id", "_seg")
              .agg(F.sort_array(F.collect_set("_mark")).alias("_marks")))
     # the last mark lies behind all intervals, so it opens no stretch
-    spans = F.transform("_marks", lambda m, i: F.struct(m.alias("date_id"), F.date_sub(F.get("_marks", i + 1), 1).alias("_to")))
-    inside = F.filter(spans, lambda s: s["date_id"].between(F.col("_lo"), F.col("_hi")))
-    days = F.transform(F.sequence("_lo", "_hi", day), lambda d: F.struct(d.alias("date_id"), d.alias("_to")))
+    spans = F.transform("_marks", lambda m, i: F.struct(m.alias(name), (F.get("_marks", i + 1) - step).cast("date").alias("_to")))
+    inside = F.filter(spans, lambda s: s[name].between(lo, hi))
+    single = F.transform(F.sequence(lo, hi, step), lambda d: F.struct(d.alias(name), d.alias("_to")))
     met = base.join(marks, ["incident_id", "_seg"], "left")  # rows without a case meet no marks
-    return met.select(*[c(x) for x in base.columns], F.inline(F.when(c("_marks").isNull(), days).otherwise(inside)))
+    return met.select(*[c(x) for x in base.columns], F.inline(F.when(c("_marks").isNull(), single).otherwise(inside)))
 
 
 def daily_counts(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date) -> DataFrame:

@@ -94,3 +94,29 @@ def test_days_of_falling_cases_are_made_after_the_sums(spark, monkeypatch):
     monkeypatch.undo()
     plain = daily_counts(parts.select(*LIFECYCLE_COLUMNS), cal, as_of)
     assert sorted(map(str, days.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_months_of_falling_cases_are_made_after_sums_and_join(spark, monkeypatch):
+    """What is summed and joined follows the entries, not the months; the months and
+    their days are those of the daily table."""
+    import datetime as dt
+    from casetrail.operators import marts, monthly
+    from casetrail.operators.rollup import case_rollup
+    from helpers import TYPES, aliases_df, entries_df, members_df, types_df
+    rows = [("F", i, "register" if i % 2 else "answer", "u", d, "t") for i, d in enumerate(
+        ["2001-01-05", "2003-02-01", "2001-06-30", "2001-01-05", "2006-05-01", "2006-05-01", "2002-02-11"])]
+    e = entries_df(spark, rows).withColumn("comment_id", entry_id("incident_id", "comment_seq"))
+    types, aliases, as_of = types_df(spark, TYPES), aliases_df(spark, []), dt.date(2008, 3, 15)
+    parts = entry_lifecycle(e, types, aliases, parts=True)
+    cases = cases_df(spark, [{"incident_id": "F", "registered_date": "2001-01-05"}]).withColumn("has_library_change", F.lit(False))
+    cal = fiscal_calendar(cases, as_of)
+    summed, rolled = [], monthly.rolled
+    monkeypatch.setattr(monthly, "rolled", lambda rows, *a, **k: summed.append(rows) or rolled(rows, *a, **k))
+    stretches = monthly.monthly_stretches(parts, cal, as_of)
+    assert sum(r.count() for r in summed) < 60 and stretches.count() < 30
+    plain = monthly_counts(daily_counts(parts.select(*LIFECYCLE_COLUMNS), cal, as_of), as_of)
+    assert plain.count() > 80
+    assert sorted(map(str, monthly_from_intervals(parts, cal, as_of).collect())) == sorted(map(str, plain.collect()))
+    rollup = case_rollup(cases, parts, aliases, members_df(spark, ["u"]), types)
+    got, want = (marts.mart_monthly(m, rollup, as_of, 4) for m in (stretches, plain))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > 40
