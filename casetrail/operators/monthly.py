@@ -91,16 +91,14 @@ def monthly_stretches(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date
         "_covered": one_if(covers), "_closed": one_if(covers & (c("comment_date") == snap) & c("is_final_closer")),
         "_snapshot": F.when(covers, _packed_side())}.items()]
     at, single = ["incident_id", "_seg", "month_id"], c("month_id").alias("_to")
-    ends = (base.filter("_chain").select("*", F.explode(F.array_distinct(F.array(first, last))).alias("month_id"))
-            .select(*kept, "_seg", "month_id", single, *summed))
     # what differs lies in an interval's first and last month
     cuts = F.array(first, F.add_months(first, 1), last, F.add_months(last, 1))
-    loose = (in_stretches(base.filter("not _chain and not _split"), "month_id", cuts, first, last, F.expr(_MONTH))
+    loose = (in_stretches(base.filter("not _split"), "month_id", F.array_distinct(F.array(first, last)), cuts, first, last, F.expr(_MONTH))
              .select(*kept, "_seg", "month_id", "_to", *summed))
     split = (base.filter("_split").select("*", F.explode(F.sequence(first, last, F.expr(_MONTH))).alias("month_id"))
              .select(*kept, "_seg", "month_id", single, *summed))
     names, most = ["month_id", "_to", *kept, *_SUMS, "_snapshot"], ["_snapshot"]
-    parts = [alone, rolled(ends, at, _SUMS, most), rolled(loose, at, _SUMS, most),
+    parts = [alone, rolled(loose, at, _SUMS, most),
              rolled(rolled(split, at, _SUMS, most), ["incident_id", "month_id"], _SUMS, most)]
     return reduce(DataFrame.unionByName, [p.select(*names) for p in parts])
 

@@ -97,9 +97,8 @@ def rolled(rows: DataFrame, keys: list[str], sums: list[str], most: list[str] =
             .filter("_rank = 1").drop("_rank"))
 
 
-def daily_parts(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date) -> tuple[DataFrame, DataFrame]:
-    """(alone, shared): the (day, case) rows of days inside an entry's interval,
-    and those of all other days."""
+def daily_stretches(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date) -> DataFrame:
+    """The (day, case) rows by stretches of equal days [``date_id``, ``_to``]."""
     c = F.col
     base = intervals(lifecycle, calendar, as_of)
     kept = ["incident_id", "comment_seq", *ATTR_COLUMNS]
@@ -108,38 +107,37 @@ def daily_parts(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date) -> t
     first, last = F.when(starts, F.date_add("_lo", 1)).otherwise(c("_lo")), F.when(ends, F.date_sub("_hi", 1)).otherwise(c("_hi"))
     zero = F.lit(0).cast("bigint")
     alone = (base.filter(c("_chain") & (first <= last))
-             .select(*kept, "_until", F.explode(F.sequence(first, last, day)).alias("date_id"))
+             .select(*kept, "_until", first.alias("date_id"), last.alias("_to"))
              .withColumns({**{x: zero for x in COUNT_COLUMNS}, **by_side("elapsed_days", one_if(c("_until").isNotNull()))}))
     end_days = F.array_compact(F.array(F.when(starts, c("_lo")), F.when(ends & (c("_until") != c("comment_date")), c("_hi"))))
     counts = {**by_side("elapsed_days", one_if(c("date_id") != c("_until"))), **event_counts(c("date_id") == c("comment_date"))}
     summed = [v.alias(k) for k, v in counts.items()]
-    at = ["incident_id", "_seg", "date_id"]
-    touching = base.filter("_chain").select("*", F.explode(end_days).alias("date_id")).select(*kept, "_seg", "date_id", *summed)
+    at, names = ["incident_id", "_seg", "date_id"], ["date_id", "_to", *kept, *COUNT_COLUMNS]
     cuts = F.array("_lo", F.date_add("_hi", 1), "comment_date", F.date_add("comment_date", 1), "_until", F.date_add("_until", 1))
-    loose = in_stretches(base.filter("not _chain and not _split"), "date_id", cuts, c("_lo"), c("_hi"), day).select(*kept, "_seg", "date_id", "_to", *summed)
-    loose = rolled(loose, at, COUNT_COLUMNS).withColumn("date_id", F.explode(F.sequence("date_id", "_to", day)))
-    split = base.filter("_split").select("*", F.explode(F.sequence("_lo", "_hi", day)).alias("date_id")).select(*kept, "_seg", "date_id", *summed)
-    split = rolled(rolled(split, at, COUNT_COLUMNS), ["incident_id", "date_id"], COUNT_COLUMNS)
-    names = ["date_id", *kept, *COUNT_COLUMNS]
-    shared = rolled(touching, at, COUNT_COLUMNS).select(*names).unionByName(loose.select(*names)).unionByName(split.select(*names))
-    return alone.select(*names), shared
+    whole = in_stretches(base.filter("not _split"), "date_id", end_days, cuts, c("_lo"), c("_hi"), day)
+    whole = rolled(whole.select(*kept, "_seg", "date_id", "_to", *summed), at, COUNT_COLUMNS)
+    split = base.filter("_split").select("*", F.explode(F.sequence("_lo", "_hi", day)).alias("date_id"))
+    split = rolled(split.select(*kept, "_seg", "date_id", c("date_id").alias("_to"), *summed), at, COUNT_COLUMNS)
+    split = rolled(split, ["incident_id", "date_id"], COUNT_COLUMNS)
+    return alone.select(*names).unionByName(whole.select(*names)).unionByName(split.select(*names))
 
 
-def in_stretches(base: DataFrame, name: str, cuts: Column, lo: Column, hi: Column, step: Column) -> DataFrame:
+def in_stretches(base: DataFrame, name: str, own: Column, cuts: Column, lo: Column, hi: Column, step: Column) -> DataFrame:
     """One row per entry and stretch [``name``, ``_to``] of days or months (``step``)
     that it covers between ``lo`` and ``hi``.  A (case, segment) is cut at all
     ``cuts`` of its entries, which hold ``lo``, what follows ``hi``, and both ends of all
     that differs from its surroundings, so what holds at a stretch's start holds on all of
-    it.  There are no more stretches than days or months."""
+    it.  There are no more stretches than days or months.  Cases whose dates never
+    fall give the days or months ``own`` only."""
     c = F.col
-    marks = (base.select("incident_id", "_seg", F.explode(F.array_compact(cuts)).alias("_mark")).groupBy("incident_id", "_seg")
-             .agg(F.sort_array(F.collect_set("_mark")).alias("_marks")))
+    marks = (base.filter("not _chain").groupBy("incident_id", "_seg")
+             .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.array_compact(cuts))))).alias("_marks")))
     # the last mark lies behind all intervals, so it opens no stretch
     spans = F.transform("_marks", lambda m, i: F.struct(m.alias(name), (F.get("_marks", i + 1) - step).cast("date").alias("_to")))
     inside = F.filter(spans, lambda s: s[name].between(lo, hi))
-    single = F.transform(F.sequence(lo, hi, step), lambda d: F.struct(d.alias(name), d.alias("_to")))
-    met = base.join(marks, ["incident_id", "_seg"], "left")  # rows without a case meet no marks
-    return met.select(*[c(x) for x in base.columns], F.inline(F.when(c("_marks").isNull(), single).otherwise(inside)))
+    single = F.transform(F.when(c("_chain"), own).otherwise(F.sequence(lo, hi, step)), lambda d: F.struct(d.alias(name), d.alias("_to")))
+    met = base.join(marks.hint("merge"), ["incident_id", "_seg"], "left")  # rows without a case meet no marks
+    return met.select(*[c(x) for x in base.columns], F.inline(F.when(c("_chain") | c("_marks").isNull(), single).otherwise(inside)))
 
 
 def daily_counts(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date) -> DataFrame:
@@ -149,8 +147,9 @@ def daily_counts(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date) ->
     for rows that stay where they lie; without them every day of every case is
     summed in both steps.
     """
-    alone, shared = daily_parts(lifecycle, calendar, as_of)
-    return alone.unionByName(shared).select(
+    made = daily_stretches(lifecycle, calendar, as_of).withColumnRenamed("date_id", "_from")
+    made = made.withColumn("date_id", F.explode(F.sequence("_from", "_to", F.expr("INTERVAL 1 DAY"))))
+    return made.select(
         "date_id", joined(yyyymmdd("date_id"), F.col("incident_id")).alias("daily_incident_id"),
         "comment_id", "incident_id", "comment_seq", "comment_div", "comment_by", "comment_date",
         "ball_on", *COUNT_COLUMNS)
