@@ -58,9 +58,9 @@ def chunked(texts: pa.Array, lead: bool = False) -> tuple[np.ndarray, np.ndarray
     return starts, code, chunks
 
 
-def gathered(values: list[bytes], codes: np.ndarray) -> tuple[memoryview, np.ndarray]:
+def gathered(values: list[bytes] | pa.Array, codes: np.ndarray) -> tuple[memoryview, np.ndarray]:
     """The join of ``values[c]`` for c in ``codes``, and where each begins (one more at the end)."""
     if len(codes) == 0:
         return memoryview(b""), np.zeros(1, np.int64)
-    taken = pa.array(values, pa.large_binary()).take(pa.array(codes))
+    taken = (values if isinstance(values, pa.Array) else pa.array(values, pa.large_binary())).take(pa.array(codes))
     return memoryview(taken.buffers()[2] or b""), np.frombuffer(taken.buffers()[1], np.int64, len(codes) + 1)

@@ -10,7 +10,7 @@ leading one.
 
 No piece of such a model has a marker after another character, so the best
 segmentation of a text is that of its words (markers and what follows them),
-one by one.  Each worker keeps the words that it has segmented.
+one by one.  Each worker keeps words that it has segmented, above all those that recur.
 
 Defined results: NULL and empty texts have no ids and decode to the empty
 text; a marker character in the text comes back as a space, as in the library;
@@ -23,19 +23,23 @@ import hashlib
 import re
 import zlib
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .chunks import gathered
 from .common import small_batches
-from .word_cache import WordCache, worker_cache
+from .word_cache import RecurringCache, worker_cache
 
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Words segmented in step (each takes some 2 kB then), and bytes of texts taken at once.
-STEP_WORDS, BLOCK_BYTES = 4096, 1 << 20
+STEP_WORDS, BLOCK_BYTES = 4096, 1 << 18
+#: Words that a worker remembers.
+KNOWN_WORDS = 240_000
 _word = re.compile(f"{MARKER}*[^{MARKER}]+|{MARKER}+")
 
 
@@ -214,7 +218,8 @@ class Segmenter:
     def __init__(self, p: Pieces):
         self.p, self.is_byte = p, np.zeros(len(p.text), bool)
         self.is_byte[p.byte_id] = True
-        self.cache = WordCache(self._packed)
+        self.text = pa.array(p.text, pa.large_binary())
+        self.cache = RecurringCache(self._packed, KNOWN_WORDS)
 
     def _packed(self, new: list[str]):
         for i in range(0, len(new), STEP_WORDS):
@@ -246,19 +251,24 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
 
     def encode(batches):
         known = worker_cache(key, lambda: Segmenter(model.value))
-        p, is_byte = known.p, known.is_byte
         for b in small_batches(batches, BLOCK_BYTES):
-            texts, ids_of = b.column(0).to_pylist(), b.column(1).to_pylist()
+            texts = b.column(0).to_pylist()
             cut = [words(t) for t in texts]
-            made, at, out = known.cache.values([w for ws in cut for w in ws]), 0, []  # words of all texts of the batch at once
-            for text, doc_id, ws in zip(texts, ids_of, cut):
-                raw = b"".join(made[at:at + len(ws)])
-                at += len(ws)
-                ids = np.frombuffer(raw, "<u4")
-                back = decode(p, ids.tolist())
-                out.append((doc_id, len(text), len(ids), int(is_byte[ids].sum()), zlib.crc32(raw),
-                            zlib.crc32(back.encode()), back == text, *((ids.tolist(), back) if with_ids else ())))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+            made = known.cache.values([w for ws in cut for w in ws])  # words of all texts of the batch at once
+            # where each text's ids begin, and the last end
+            at = np.concatenate([[0], np.cumsum([len(m) for m in made], dtype=np.int64)])[
+                np.concatenate([[0], np.cumsum([len(ws) for ws in cut])])] // 4
+            raw = b"".join(made)
+            ids = np.frombuffer(raw, "<u4")
+            data, ends = gathered(known.text, ids)
+            byte_ids = np.concatenate([[0], np.cumsum(known.is_byte[ids])])[at]
+            back = [bytes(data[i:j]).decode("utf-8", "replace")[1:] for i, j in pairwise(ends[at].tolist())]
+            columns = [b.column(1), [len(t) for t in texts], np.diff(at), np.diff(byte_ids),
+                       [zlib.crc32(raw[4 * i:4 * j]) for i, j in pairwise(at.tolist())], [zlib.crc32(t.encode()) for t in back],
+                       [t == u for t, u in zip(texts, back)]]
+            if with_ids:
+                columns += [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.view("<i4"))), back]
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     ddl = "doc_id long, n_chars long, n_ids long, n_byte_ids long, ids_crc32 long, decoded_crc32 long, round_trip boolean"
     return rows.mapInArrow(encode, ddl + (", ids array<int>, decoded string" if with_ids else ""))

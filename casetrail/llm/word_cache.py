@@ -11,6 +11,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import os
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +65,41 @@ class WordCache:
         return [made[w] if v is None else v for w, v in zip(words, got)]
 
 
+class RecurringCache(WordCache):
+    """A :class:`WordCache` for texts where most distinct words come once: ``limit``
+    bounds all that it holds, half of it for words met once and half for words met again.
+    Each half keeps its newest words, so a word that came once never drives out one that recurs."""
+
+    def __init__(self, make, limit: int = CACHE_WORDS):
+        self.make, self.limit = make, limit
+        self.known, self.older, self.once, self.once_older = {}, {}, {}, {}
+
+    def values(self, words: list[str]) -> list:
+        got = list(map(self.known.get, words))
+        if None not in got:
+            return got
+        more, new = {}, []
+        for w in dict.fromkeys(w for w, v in zip(words, got) if v is None):
+            v = self.older.pop(w, None) or self.once.pop(w, None) or self.once_older.pop(w, None)
+            if v is None:
+                new.append(w)
+            else:
+                more[w] = v
+        made = dict(zip(new, self.make(new)))
+        self.known, self.older = self._newest(self.known, self.older, more)
+        self.once, self.once_older = self._newest(self.once, self.once_older, made)
+        made.update(more)
+        return [made[w] if v is None else v for w, v in zip(words, got)]
+
+    def _newest(self, new: dict, old: dict, more: dict) -> tuple[dict, dict]:
+        """The two generations of one half after ``more`` words; each holds a quarter of the limit."""
+        room = self.limit // 4
+        if len(new) + len(more) > room:
+            new, old = {}, new
+        new.update((w, more[w]) for w in islice((w for w in more if len(w) <= CACHE_CHARS), max(0, room - len(new))))
+        return new, old
+
+
 def packed_ids(path: str, width: int):
     """A ``make`` for little-endian ids of ``width`` bytes each."""
     kind = np.dtype(f"<u{width}")

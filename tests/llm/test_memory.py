@@ -1,4 +1,7 @@
 """What a worker holds: one cache at a time, bounded steps, each text once."""
+import pyarrow as pa
+from pyspark.sql import functions as F
+
 from casetrail.llm import pieces, word_cache
 from casetrail.llm.queries import vocabulary
 from casetrail.llm.toxicity import drop_toxic
@@ -29,3 +32,30 @@ def test_texts_go_to_the_scorer_once(spark):
     assert sorted(map(tuple, left.collect()), key=lambda r: r[0]) == sorted(map(tuple, docs.collect()), key=lambda r: r[0])
     plan = left._jdf.queryExecution().analyzed().toString().lower()
     assert "mapinarrow" in plan and "coalesce(text" not in plan
+
+
+def test_words_that_recur_outlast_words_met_once():
+    asked = []
+    cache = word_cache.RecurringCache(lambda words: asked.extend(words) or [w.upper() for w in words], limit=400)
+    held = lambda: sum(map(len, (cache.known, cache.older, cache.once, cache.once_older)))
+    for k in range(100):
+        words = ["often", "x" * 100, *(f"once{k}-{i}" for i in range(30)), "often"]
+        assert cache.values(words) == [w.upper() for w in words]
+        assert held() <= 400
+    assert asked.count("often") == 1 and asked.count("x" * 100) == 100
+    many = [f"w{i}" for i in range(1000)]
+    assert cache.values(many) == [w.upper() for w in many] == cache.values(many) and held() <= 400
+
+
+def test_stored_steps_give_workers_small_batches(spark, tmp_path):
+    from casetrail.llm import common
+    before = {k: spark.conf.get(k, None) for k in (common.ARROW_BYTES, common.CLEANUP)}
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    rows = spark.range(0, 2000, 1, 1).select(F.repeat(F.lit("x"), 8000).alias("text"))
+    got = [r["n"] for r in common.store(rows.mapInArrow(sizes, "n long"), str(tmp_path / "sizes")).collect()]
+    assert len(got) > 2 and max(got) < 2 * common.BATCH_BYTES
+    assert {k: spark.conf.get(k, None) for k in before} == before | {common.CLEANUP: before[common.CLEANUP] or "false"}
