@@ -1,8 +1,10 @@
 """What a worker holds: one cache at a time, bounded steps, each text once."""
+import hashlib
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from casetrail.llm import pieces, word_cache
+from casetrail.llm import pieces, suffix_dedup, word_cache
 from casetrail.llm.queries import vocabulary
 from casetrail.llm.toxicity import drop_toxic
 
@@ -59,3 +61,22 @@ def test_stored_steps_give_workers_small_batches(spark, tmp_path):
     got = [r["n"] for r in common.store(rows.mapInArrow(sizes, "n long"), str(tmp_path / "sizes")).collect()]
     assert len(got) > 2 and max(got) < 2 * common.BATCH_BYTES
     assert {k: spark.conf.get(k, None) for k in before} == before | {common.CLEANUP: before[common.CLEANUP] or "false"}
+
+
+def test_spans_are_cut_out_by_batches_as_one_by_one():
+    texts, spans = ["abcdef", "", "漢字漢字", "xyzxyz", "ab"], [[(2, 4), (0, 3), (4, 6)], None, [(3, 6), (9, 12)], [(0, 1), (2, 6), (3, 5)], []]
+    batch = pa.record_batch([pa.array(range(10, 15), pa.int64()), pa.array(texts),
+                             pa.array([s and [a << 32 | e for a, e in s] for s in spans], pa.list_(pa.int64()))], names=["doc_id", "text", "spans"])
+    for part in (batch, batch.slice(1), batch.slice(3, 1)):
+        got = [r for b in suffix_dedup._cut_out([part]) for r in b.to_pylist()]
+        want = {10: (6, 6, 1, b""), 11: (0, 0, 0, b""), 12: (12, 6, 2, "漢漢".encode()), 13: (6, 5, 2, b"y"), 14: (2, 0, 0, b"ab")}
+        assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} == {
+            i: (*want[i][:3], hashlib.sha256(want[i][3]).hexdigest()) for i in part.column(0).to_pylist()}
+
+
+def test_runs_are_front_coded_in_blocks():
+    run, twice = [b"", b"a", b"a\0", b"ab", b"abc", b"b", b"b" * 255], [True, False, True, False, False, True, False]
+    for some in (1, 2, 100):
+        got = list(suffix_dedup.front_decode(suffix_dedup.front_code(run, twice, some)))
+        assert got == list(zip(run, [0, 0, 1, 1, 2, 0, 1], twice))
+    assert suffix_dedup.front_code([], []) == b""
