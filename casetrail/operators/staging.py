@@ -1,6 +1,8 @@
 """C4 stage_cases and C5 stage_entries (comment ids + direct-close synthesis)."""
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,10 +75,14 @@ def direct_close_entries(entries: DataFrame, cases: DataFrame, types: DataFrame)
 
 
 def stage_entries(base: DataFrame, before: DataFrame | None, after: DataFrame | None,
-                  cases: DataFrame, types: DataFrame) -> DataFrame:
-    """Overlay, ``comment_id``, then real entries plus direct-close entries."""
+                  cases: DataFrame, types: DataFrame, keep: Callable[[str, DataFrame], DataFrame] = lambda _, df: df) -> DataFrame:
+    """Overlay, ``comment_id``, then real entries plus direct-close entries.
+
+    ``keep(name, df)`` may store what the result reads more than once: the
+    overlaid entries and the direct-close ones."""
     staged = _overlaid(base, before, after, ENTRY_KEYS)
     keyed = staged.select(entry_id("incident_id", "comment_seq").alias("comment_id"),
                           "incident_id", "comment_seq", "comment_div", "comment_by",
                           "comment_date", "comment")
-    return keyed.unionByName(direct_close_entries(keyed, cases, types)).select(*STAGED_ENTRY_COLUMNS)
+    keyed = keep("overlaid", keyed)
+    return keyed.unionByName(keep("direct", direct_close_entries(keyed, cases, types))).select(*STAGED_ENTRY_COLUMNS)

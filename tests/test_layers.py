@@ -154,3 +154,20 @@ def test_seed_chain_refuses_targets_and_keeps_line_ends(spark, tmp_out):
         assert entries.filter("incident_id = 'C-1' and comment_seq = 1").first()["comment"] == "line oneline two"
         with pytest.raises(AnalysisException):
             build_seeds(spark, f"{tmp_out}/x", SEED_MAP, *targets, fmt)
+
+
+def test_stored_entries_are_overlaid_once(spark):
+    """The sizes of the segments and the direct close read the stored overlay, which goes afterwards."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        read.add(1)
+        return text
+    rows = [(f"C{i}", k, "answer", "u", "2024-01-05", "text") for i in range(5) for k in range(4)]
+    entries = entries_df(spark, rows).withColumn("comment", seen.asNondeterministic()("comment"))
+    cases = cases_df(spark, [{"incident_id": f"C{i}", "registered_date": "2024-01-01", "close_date": "2024-01-20"} for i in range(5)])
+    wh = build(Inputs(cases, entries, types_df(spark, TYPES), aliases_df(spark, []), members_df(spark, []), D("2024-02-15")))
+    assert wh.entries.count() == 25 and read.value == len(rows)
+    assert [t.name for t in spark.catalog.listTables(database(spark)) if t.name.startswith(wh.run_id)] == [f"{wh.run_id}_stg_entries"]
+    wh.drop_tables()

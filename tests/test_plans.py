@@ -56,6 +56,12 @@ def test_rows_are_made_where_entries_lie(wh, layer, made):
     assert all(f"[{made}#" in g for g in gens)  # no row per day on the way to months
 
 
+def test_ranks_are_stored_with_the_entries(spark):
+    """Entries and their corrections read ranks; none joins rows to where their case begins again."""
+    inp = event_inputs(spark, SF)
+    assert not any("Join" in n or "Exchange" in n or "Window" in n for n in names(physical(inp.entries)))
+
+
 def test_mart_makes_no_month_before_its_scope(wh):
     plan = physical(wh.mart_monthly)
     for n, path in walk(plan):
