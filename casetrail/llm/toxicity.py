@@ -40,12 +40,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_batches
-from .word_cache import WordCache, worker_cache
+from .word_cache import WordCache, give_back, worker_cache
 
 FEATURES, FOLDS, CLASSIFIERS = 1 << 21, 5, 3
 MAX_POSITIVE, MAX_UNLABELLED = 3000, 12000
 STEPS, RATE, DECAY = 200, 0.1, 1e-4
 MIN_DOCS, MIN_Z, MIN_FEATURES = 3, 6.0, 4
+#: Words that the driver remembers while it reads its sample.
+DRIVER_WORDS = 50_000
 #: Letters of a stem, distinct words that share it, and the part of a text's distinct words that they are.
 STEMS, SHARED, PARTS = (4, 6), (2, 3), (128, 64, 32)
 
@@ -115,7 +117,8 @@ def fit_nnpu(positive: Sparse, unlabelled: Sparse, prior: float, size: int, step
 
 def training_sample(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
                     max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED):
-    """(positive texts, unlabelled texts, prior) of the training folds."""
+    """(positives, unlabelled, prior) of the training folds.  A row of the first two
+    is the features of a text: a text is let go before the next one comes."""
     lab = (labels.filter((remainder(F.col("doc_id")) != 0) & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
            .groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("_toxic")))
     n, toxic = lab.agg(F.count(F.lit(1)), F.sum("_toxic")).first()
@@ -128,41 +131,54 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_co
     some = (d.select("_id").distinct().orderBy(order, "_id").limit(max_unlabelled).withColumn("_kind", F.lit(0)))
     chosen = F.broadcast(ids.unionByName(some))  # at most max_positive + max_unlabelled rows
     texts = d.join(chosen, "_id").select("_kind", "_id", "_text").dropDuplicates(["_kind", "_id"])
-    rows = sorted((r["_kind"], r["_id"], r["_text"]) for r in texts.toLocalIterator())
-    return [t for k, _, t in rows if k], [t for k, _, t in rows if not k], (toxic or 0) / n if n else 0.0
+    cache, rows = WordCache(_hash, limit=DRIVER_WORDS), {}
+    for r in texts.toLocalIterator():
+        rows[r["_kind"], r["_id"]] = features(r["_text"], cache)
+    pos, unl = ([rows[k] for k in sorted(rows) if k[0] == kind] for kind in (1, 0))
+    return pos, unl, (toxic or 0) / n if n else 0.0
 
 
-def _counts(rows: list[np.ndarray], some: int = 500) -> np.ndarray:
+def _counts(rows: list[np.ndarray], size: int, some: int = 500) -> np.ndarray:
     """How many rows hold each feature, added up by groups to bound the memory."""
-    return sum((np.bincount(np.concatenate(rows[i:i + some]), minlength=FEATURES) for i in range(0, len(rows), some)),
-               np.zeros(FEATURES, np.int64))
+    return sum((np.bincount(np.concatenate(rows[i:i + some]), minlength=size) for i in range(0, len(rows), some)),
+               np.zeros(size, np.int64))
 
 
-def telling(pos: list[np.ndarray], unl: list[np.ndarray]) -> np.ndarray:
-    """Which features differ between the two sets by ``MIN_Z`` standard errors,
+def narrowed(pos: list[np.ndarray], unl: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """(used, positives, unlabelled): the features that ``MIN_DOCS`` rows hold, and the rows
+    by their numbers among these.  All others, which tell nothing, get the number after the last."""
+    used = np.flatnonzero(_counts(pos, FEATURES) + _counts(unl, FEATURES) >= MIN_DOCS)
+    number = np.full(FEATURES, len(used), np.int32)
+    number[used] = np.arange(len(used))
+    return used, [number[r] for r in pos], [number[r] for r in unl]
+
+
+def telling(pos: list[np.ndarray], unl: list[np.ndarray], size: int) -> np.ndarray:
+    """Which of ``size`` features differ between the two sets by ``MIN_Z`` standard errors,
     or are among the ``MIN_FEATURES`` that differ most: rare words would only let
-    the classifier learn its positives by heart."""
-    p, u = _counts(pos), _counts(unl)
+    the classifier learn its positives by heart.  The last number stands for rare ones."""
+    p, u = _counts(pos, size + 1), _counts(unl, size + 1)
+    p[size] = u[size] = 0
     n, m = len(pos), len(unl)
     both = np.minimum((p + u) / (n + m), 1)
     z = np.abs(p / n - u / m) / np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / n + 1 / m))
     z[p + u < MIN_DOCS] = 0.0
-    return (z >= max(1e-9, min(MIN_Z, np.sort(z)[-MIN_FEATURES])))
+    return (z >= max(1e-9, min(MIN_Z, np.sort(np.append(z, np.zeros(MIN_FEATURES)))[-MIN_FEATURES])))
 
 
-def class_prior(pos: list[np.ndarray], unl: list[np.ndarray]) -> float:
+def class_prior(pos: list[np.ndarray], unl: list[np.ndarray], part: list[np.ndarray], size: int) -> float:
     """The toxic share of the unlabelled, by the best bin of scores: the share of
     the unlabelled over a score to that of the positives, one standard error up,
     where this bound is the lowest.  Log odds of the telling features score; no
-    document scores itself, nor does a copy of it.  1 if the features tell nothing."""
-    part = [np.array([zlib.crc32(r.tobytes()) % FOLDS for r in rows]) for rows in (pos, unl)]
+    document scores itself, nor does a copy of it (``part`` has the folds of both
+    sets, equal for copies).  1 if the features tell nothing."""
     scores: list[list[float]] = [[], []]
     for k in range(FOLDS):
         p, u = ([r for r, f in zip(rows, of) if f != k] for rows, of in zip((pos, unl), part))
         if not p or not u:
             continue
-        a, b = _counts(p), _counts(u)
-        odds = np.where(telling(p, u), np.log((a + 1) / (len(p) + 2)) - np.log((b + 1) / (len(u) + 2)), 0.0)
+        a, b = _counts(p, size + 1), _counts(u, size + 1)
+        odds = np.where(telling(p, u, size), np.log((a + 1) / (len(p) + 2)) - np.log((b + 1) / (len(u) + 2)), 0.0)
         for to, rows, of in zip(scores, (pos, unl), part):
             to += [odds[r].sum() for r, f in zip(rows, of) if f == k]
     p, u = (np.sort(x) for x in scores)
@@ -176,15 +192,21 @@ def class_prior(pos: list[np.ndarray], unl: list[np.ndarray]) -> float:
 
 def train(docs: DataFrame, labels: DataFrame, classifiers: int = CLASSIFIERS, **columns) -> tuple[np.ndarray, float, float]:
     """Mean weights and bias of the classifiers, and the class prior."""
-    positive, unlabelled, prior = training_sample(docs, labels, **columns)
-    if not positive or not unlabelled:
+    try:
+        return _trained(*training_sample(docs, labels, **columns), classifiers)
+    finally:
+        give_back()
+
+
+def _trained(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, classifiers: int) -> tuple[np.ndarray, float, float]:
+    if not pos or not unl:
         return np.zeros(FEATURES, np.float32), float("nan"), prior
-    cache = WordCache(_hash)
-    pos, unl = [features(t, cache) for t in positive], [features(t, cache) for t in unlabelled]
-    found = class_prior(pos, unl)
+    part = [np.array([zlib.crc32(r.tobytes()) % FOLDS for r in rows]) for rows in (pos, unl)]
+    used, pos, unl = narrowed(pos, unl)
+    found = class_prior(pos, unl, part, len(used))
     # where the positives can't be told from the rest: the share among the labelled
     prior = min(max(found if found <= 0.5 else prior, 1e-3), 0.5)
-    known = telling(pos, unl)
+    known = telling(pos, unl, len(used))
     column = np.cumsum(known) - 1
     dense = lambda rows: [column[r[known[r]]] for r in rows]
     pos, unl, size = dense(pos), dense(unl), int(known.sum())
@@ -193,7 +215,7 @@ def train(docs: DataFrame, labels: DataFrame, classifiers: int = CLASSIFIERS, **
         some = np.random.default_rng(k)
         u = [unl[i] for i in some.permutation(len(unl))[:max(1, len(unl) * 2 // 3)]]
         w, b = fit_nnpu(Sparse(pos), Sparse(u), prior, size)
-        weights[known] += w / classifiers
+        weights[used[known[:-1]]] += w / classifiers
         bias += b / classifiers
     return weights.astype(np.float32), bias, prior
 

@@ -117,12 +117,12 @@ def worker_cache(key: tuple, build) -> WordCache:
     if key not in _caches:
         if _caches:
             _caches.clear()
-            _give_back()
+            give_back()
         _caches[key] = build()
     return _caches[key]
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Return freed memory to the system, which the allocators keep otherwise."""
     gc.collect()
     pa.default_memory_pool().release_unused()

@@ -1,10 +1,12 @@
 """What a worker holds: one cache at a time, bounded steps, each text once."""
 import hashlib
+import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from casetrail.llm import pieces, suffix_dedup, word_cache
+from casetrail.llm import pieces, suffix_dedup, toxicity, word_cache
 from casetrail.llm.queries import vocabulary
 from casetrail.llm.toxicity import drop_toxic
 
@@ -80,3 +82,16 @@ def test_runs_are_front_coded_in_blocks():
         got = list(suffix_dedup.front_decode(suffix_dedup.front_code(run, twice, some)))
         assert got == list(zip(run, [0, 0, 1, 1, 2, 0, 1], twice))
     assert suffix_dedup.front_code([], []) == b""
+
+
+def test_training_holds_no_array_per_rare_feature():
+    """Only features that a few rows hold get a place in the arrays of training; a text is not kept."""
+    rng = np.random.default_rng(1)
+    rows = [np.append(rng.choice(toxicity.FEATURES, 40, replace=False).astype(np.int32), np.int32([7, 9][i % 2])) for i in range(600)]
+    tracemalloc.start()
+    weights, _, prior = toxicity._trained(rows[::2], rows[1::2], 0.2, 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 << 20 and weights[7] > 0 > weights[9] and 0 < prior <= 0.5
+    used, pos, unl = toxicity.narrowed(rows[::2], rows[1::2])
+    assert {7, 9} <= set(used.tolist()) and all((np.append(used, -1)[a] == np.where(np.isin(b, used), b, -1)).all() for a, b in zip(pos, rows[::2]))
