@@ -27,6 +27,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -78,10 +79,16 @@ class MergeTable:
 
 def replay(words: list[bytes], table: MergeTable) -> list[np.ndarray]:
     """The ids of every word, by one replay of the merges over all of them."""
+    ids, at = replay_all(words, table)
+    return [ids[s:e] for s, e in zip(at, at[1:])]
+
+
+def replay_all(words: list[bytes], table: MergeTable) -> tuple[np.ndarray, list[int]]:
+    """The ids of all words, one after the other, and where each word's begin (one more at the end)."""
     data = np.frombuffer(b"".join(words), np.uint8)
     ends = np.cumsum([len(w) for w in words]).astype(np.int64)
     if len(data) == 0:
-        return [np.zeros(0, np.uint32) for _ in words]
+        return np.zeros(0, "<u4"), [0] * (len(words) + 1)
     n = len(data)
     # a word's last token has no neighbour to the right: n stands for none, -1 to the left
     token = table.single[data].tolist()
@@ -95,8 +102,9 @@ def replay(words: list[bytes], table: MergeTable) -> list[np.ndarray]:
     held, at = np.unique(ranked[order], return_index=True)
     order = order.tolist()
     index = {r: order[a:b] for r, a, b in zip(held.tolist(), at.tolist(), [*at[1:].tolist(), len(order)])}
-    right, left = right.tolist(), left.tolist()
-    pair, known = table.pair, table.pairs.get
+    # the rank of the pair that begins at a position, -1 for none
+    ranked, right, left = ranked.tolist(), right.tolist(), left.tolist()
+    pair, known, listed = table.pair, table.pairs.get, index.get
     queue = list(index)
     heapify(queue)
     while queue:
@@ -106,44 +114,49 @@ def replay(words: list[bytes], table: MergeTable) -> list[np.ndarray]:
             continue
         places.sort()
         for k, i in enumerate(places):
-            j = right[i]
-            if j >= n or token[i] < 0:
+            if ranked[i] != rank:
                 continue  # merged away since it was entered
-            r = known(token[i] << 32 | token[j])
-            if (pair(token[i], token[j]) if r is None else r) != rank:
-                continue
+            j, before, least = right[i], left[i], rank
+            after = right[j]
             token[i], token[j] = rank, -1
-            after, before, least = right[j], left[i], rank
-            right[i] = after
+            right[i], ranked[i], ranked[j] = after, -1, -1
             if after < n:
                 left[after] = i
                 r = known(rank << 32 | token[after])
                 if r is None:
                     r = pair(rank, token[after])
                 if r >= 0:
-                    if r not in index:
-                        index[r] = []
+                    ranked[i] = r
+                    others = listed(r)
+                    if others is None:
+                        index[r] = [i]
                         heappush(queue, r)
-                    index[r].append(i)
-                    least = min(least, r)
+                    else:
+                        others.append(i)
+                    if r < least:
+                        least = r
             if before >= 0:
                 r = known(token[before] << 32 | rank)
                 if r is None:
                     r = pair(token[before], rank)
+                ranked[before] = r
                 if r >= 0:
-                    if r not in index:
-                        index[r] = []
+                    others = listed(r)
+                    if others is None:
+                        index[r] = [before]
                         heappush(queue, r)
-                    index[r].append(before)
-                    least = min(least, r)
+                    else:
+                        others.append(before)
+                    if r < least:
+                        least = r
             if least < rank and k + 1 < len(places):
                 index[rank] = places[k + 1:]
                 heappush(queue, rank)
                 break
     token = np.array(token)
     alive = token >= 0
-    ids, at = token[alive].astype("<u4"), np.concatenate([[0], np.cumsum(alive)])
-    return [ids[at[s]:at[e]] for s, e in zip(starts.tolist(), ends.tolist())]
+    at = np.concatenate([[0], np.cumsum(alive)])
+    return token[alive].astype("<u4"), at[np.append(starts, n)].tolist()
 
 
 def cuts_at_spaces(pattern: regex.Pattern) -> bool:
@@ -165,14 +178,20 @@ class ReplayEncoder:
 
     def _replayed(self, words: list[str]) -> list[bytes]:
         raw = [w.encode() for w in words]
-        ids = [self.table.ranks.get(w) for w in raw]
-        rest = iter(replay([w for w, i in zip(raw, ids) if i is None], self.table))
-        return [(next(rest) if i is None else np.array([i], "<u4")).tobytes() for i in ids]
+        whole = list(map(self.table.ranks.get, raw))
+        ids, at = replay_all([w for w, i in zip(raw, whole) if i is None], self.table)
+        data = ids.tobytes()
+        rest = (data[4 * s:4 * e] for s, e in zip(at, at[1:]))
+        return [next(rest) if i is None else i.to_bytes(4, "little") for i in whole]
 
     def _split(self, chunks: list[str]) -> list[bytes]:
-        found = [self.pattern.findall(c) for c in chunks]
-        ids = iter(self.words.values([w for f in found for w in f]))
-        return [b"".join(next(ids) for _ in f) for f in found]
+        found = list(map(self.pattern.findall, chunks))
+        ids, out, at = self.words.values(list(chain.from_iterable(found))), [], 0
+        for f in found:
+            n = len(f)
+            out.append(ids[at] if n == 1 else b"".join(ids[at:at + n]))
+            at += n
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[memoryview, np.ndarray]:
         """All ids (little-endian, 32 bits) and each text's first byte among them."""
