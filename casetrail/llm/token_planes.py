@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .chunks import gathered
-from .common import run_dir, small_batches
+from .common import run_dir, small_batches, store
 from .word_cache import WordCache, encode_all, packed_ids, worker_cache
 
 BLOCK_IDS = 1 << 16
@@ -203,22 +203,24 @@ def read_documents(spark: SparkSession, path: str, with_ids: bool = False) -> Da
     def read(batches):
         unpack = zstandard.ZstdDecompressor()
         for b in small_batches(batches):
-            for r in b.to_pylist():
-                n, width = r["n_ids"], r["width"]
-                ids, at = from_planes([unpack.decompress(p) for p in r["planes"]], n, width).astype("<u4"), 0
-                out = []
-                for d in r["docs"]:
-                    piece = ids[at:at + d["n"]].tobytes()
-                    at += d["n"]
-                    whole = d["n"] == d["n_tokens"]
-                    out.append({"doc_id": d["doc_id"], "part": r["part"], "start": d["start"], "n_tokens": d["n_tokens"],
-                                "at": d["at"], "crc": zlib.crc32(piece) if whole else None,
-                                "ids": piece if with_ids or not whole else None})
-                yield pa.RecordBatch.from_pylist(out, schema=_PIECE)
+            for part, n, width, docs, planes in zip(*(b.column(c) for c in ("part", "n_ids", "width", "docs", "planes"))):
+                planes = [unpack.decompress(p) for p in planes.as_py()]
+                ids = memoryview(from_planes(planes, n.as_py(), width.as_py()).astype("<u4").tobytes())
+                doc_id, start, n_tokens, at, n = docs.values.flatten()
+                whole = np.asarray(n) == np.asarray(n_tokens)
+                cuts = np.append(0, 4 * np.cumsum(np.asarray(n).astype(np.int64))).tolist()
+                own = [ids[s:e] for s, e in zip(cuts, cuts[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [doc_id, pa.repeat(part, len(own)), start, n_tokens, at.cast(pa.int64()),
+                     pa.array([zlib.crc32(i) if w else None for i, w in zip(own, whole.tolist())], pa.int64()),
+                     pa.array([bytes(i) if with_ids or not w else None for i, w in zip(own, whole.tolist())], pa.binary())],
+                    schema=_PIECE)
 
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks")
-    pieces = blocks.mapInArrow(read, "doc_id long, part int, start long, n_tokens long, at long, crc long, ids binary")
-    # the one column says which rows need their neighbours; both branches read the blocks
+    # decoded once; both branches read the stored rows, which hold no ids of whole documents unless asked for
+    pieces = store(blocks.mapInArrow(read, "doc_id long, part int, start long, n_tokens long, at long, crc long, ids binary"),
+                   run_dir(spark, "pieces"))
+    # the one column says which rows need their neighbours
     whole = pieces.filter("crc is not null").select("doc_id", "part", "start", "n_tokens", "crc", "ids")
 
     def join(batches):

@@ -11,6 +11,8 @@ from __future__ import annotations
 import ctypes
 import gc
 import os
+import sys
+from array import array
 from itertools import islice
 
 import numpy as np
@@ -102,8 +104,14 @@ class RecurringCache(WordCache):
 
 def packed_ids(path: str, width: int):
     """A ``make`` for little-endian ids of ``width`` bytes each."""
-    kind = np.dtype(f"<u{width}")
-    return lambda words: (np.asarray(ids, dtype=kind).tobytes() for ids in encode_all(path, words))
+    pack, little = {1: "B", 2: "H", 4: "I", 8: "Q"}[width], sys.byteorder == "little"
+
+    def packed(ids):
+        ids = array(pack, ids)
+        if not little:
+            ids.byteswap()
+        return ids.tobytes()
+    return lambda words: map(packed, encode_all(path, words))
 
 
 _caches: dict[tuple, WordCache] = {}

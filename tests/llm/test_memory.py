@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from casetrail.llm import pieces, suffix_dedup, toxicity, word_cache
+from casetrail.llm import merge_replay, pieces, suffix_dedup, token_planes, toxicity, word_cache
 from casetrail.llm.queries import vocabulary
 from casetrail.llm.toxicity import drop_toxic
 
@@ -95,3 +95,30 @@ def test_training_holds_no_array_per_rare_feature():
     assert peak < 80 << 20 and weights[7] > 0 > weights[9] and 0 < prior <= 0.5
     used, pos, unl = toxicity.narrowed(rows[::2], rows[1::2])
     assert {7, 9} <= set(used.tolist()) and all((np.append(used, -1)[a] == np.where(np.isin(b, used), b, -1)).all() for a, b in zip(pos, rows[::2]))
+
+
+def test_replayed_ids_are_cut_by_word_from_one_run():
+    """No array per word: the ids of all words, and where each word's begin, words without bytes too."""
+    table = merge_replay.MergeTable({bytes([i]): i for i in range(256)} | {b"ab": 256, b"abab": 257, b"ba": 258})
+    words = [b"", b"ababab", b"", b"bab", b"c", b""]
+    ids, at = merge_replay.replay_all(words, table)
+    assert [ids[s:e].tolist() for s, e in zip(at, at[1:])] == [[], [257, 256], [], [98, 256], [99], []] and ids.dtype == "<u4"
+    assert merge_replay.replay_all([b"", b""], table)[1] == [0, 0, 0]
+
+
+def test_ids_are_packed_without_an_array_per_word(monkeypatch):
+    monkeypatch.setattr(word_cache, "encode_all", lambda path, words: iter([[1, 258], [], [65535]]))
+    monkeypatch.setattr(word_cache.np, "asarray", None, raising=False)
+    assert list(word_cache.packed_ids("", 2)(["a", "", "b"])) == [b"\x01\x00\x02\x01", b"", b"\xff\xff"]
+
+
+def test_blocks_are_decoded_once(spark, tmp_path):
+    """Documents inside a block and cut ones come from the same stored rows."""
+    docs = spark.createDataFrame([(i, "some words " * (i % 7)) for i in range(60)] + [(None, None)], "doc_id long, text string")
+    path = token_planes.encode_planes(docs, str(tmp_path / "files"), vocabulary("word_bpe_49k.json"), block_ids=32)
+    got = token_planes.read_documents(spark, path)
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert plan.count("MapInArrow") == 1  # the one that joins cut documents; blocks are decoded before
+    rows = sorted(got.collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in rows] == [None, *range(60)] and sum(r["n_tokens"] > 2 for r in rows) > 40
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(rows, rows[1:]))
