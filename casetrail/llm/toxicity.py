@@ -46,6 +46,8 @@ FEATURES, FOLDS, CLASSIFIERS = 1 << 21, 5, 3
 MAX_POSITIVE, MAX_UNLABELLED = 3000, 12000
 STEPS, RATE, DECAY = 200, 0.1, 1e-4
 MIN_DOCS, MIN_Z, MIN_FEATURES = 3, 6.0, 4
+#: The part of the positives whose scores may tell the class prior.
+LEAST_OVER = 0.25
 #: Words that the driver remembers while it reads its sample.
 DRIVER_WORDS = 50_000
 #: Letters of a stem, distinct words that share it, and the part of a text's distinct words that they are.
@@ -169,9 +171,11 @@ def telling(pos: list[np.ndarray], unl: list[np.ndarray], size: int) -> np.ndarr
 def class_prior(pos: list[np.ndarray], unl: list[np.ndarray], part: list[np.ndarray], size: int) -> float:
     """The toxic share of the unlabelled, by the best bin of scores: the share of
     the unlabelled over a score to that of the positives, one standard error up,
-    where this bound is the lowest.  Log odds of the telling features score; no
-    document scores itself, nor does a copy of it (``part`` has the folds of both
-    sets, equal for copies).  1 if the features tell nothing."""
+    where this bound is the lowest.  Only scores that a part ``LEAST_OVER`` of the
+    positives exceeds count: higher up, a few near copies of one positive, of which
+    no more are among the unlabelled, would pass for all.  Log odds of the telling
+    features score; no document scores itself, nor does a copy of it (``part`` has
+    the folds of both sets, equal for copies).  1 if the features tell nothing."""
     scores: list[list[float]] = [[], []]
     for k in range(FOLDS):
         p, u = ([r for r, f in zip(rows, of) if f != k] for rows, of in zip((pos, unl), part))
@@ -187,7 +191,7 @@ def class_prior(pos: list[np.ndarray], unl: list[np.ndarray], part: list[np.ndar
     over = lambda x: 1 - np.searchsorted(x, p) / len(x)
     a, b = over(p), np.maximum(over(u), 1 / len(u))
     error = np.sqrt((1 - a) / (a * len(p)) + (1 - b) / (b * len(u)))
-    return float(min(1.0, (b / a * (1 + error)).min()))
+    return float(min(1.0, (b / a * (1 + error))[a >= LEAST_OVER].min()))
 
 
 def train(docs: DataFrame, labels: DataFrame, classifiers: int = CLASSIFIERS, **columns) -> tuple[np.ndarray, float, float]:

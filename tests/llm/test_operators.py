@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -388,6 +389,19 @@ def test_toxicity_labels_that_favour_toxic_rows(spark, lookalikes):
     assert not any(got[i]["predicted"] for i in held if i % 8 > 1)
 
 
+def test_toxicity_prior_with_near_copies_of_a_positive():
+    """Copies of one long toxic text among the positives only score above all others."""
+    from casetrail.llm import toxicity as T
+    rng = np.random.default_rng(9)
+    clean = lambda: rng.choice(np.arange(100, 400), 40, replace=False)
+    toxic = lambda: np.append(clean(), rng.choice(20, 4, replace=False))
+    copied = np.arange(400, 600)
+    pos = [toxic() for _ in range(400)] + [np.append(copied[rng.random(200) < 0.95], i % 20) for i in range(12)]
+    unl = [toxic() if i % 10 == 0 else clean() for i in range(3000)]
+    part = [np.array([zlib.crc32(r.tobytes()) % T.FOLDS for r in rows]) for rows in (pos, unl)]
+    assert 0.08 < T.class_prior(pos, unl, part, 600) < 0.13
+
+
 def test_toxicity_rare_forms_share_a_stem(spark):
     from casetrail.llm.toxicity import toxicity_scores
     rng = random.Random(8)
