@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,6 +149,19 @@ def test_token_counts(spark, docs, texts, empty):
     assert token_counts(empty, path).count() == 0
 
 
+def test_a_word_is_encoded_once_whatever_mark_follows():
+    from casetrail.llm import token_counts as T
+    from casetrail.llm.word_cache import WordCache, encode_all, tokenizer
+    path, asked = public_tokenizers.path("byte_bpe_50k.json"), []
+    cache = WordCache(lambda new: asked.extend(new) or [len(ids) for ids in encode_all(path, new)])
+    texts = ["a Grumpfel, Grumpfel. Grumpfel!\nGrumpfel Grumpfel.\nOther Grumpfel", "", None, " ", "Grumpfel,\nGrumpfel's, it's. x²,y ²ÿ. Ÿ!\n\nno\n"]
+    odd = ["<|endoftext|> a<|endoftext|>, b.<|x|>", "e\u0301, \u3000x. y,\r\nz _a_. b", "ab,\x01c. d", "#a$b%c&d(e)f;g\nh  \n i, j,", "日本, 語.\nA"]
+    for some in (texts, odd, [None], []):
+        some = pa.array(some, pa.string())
+        assert T.counted(some, cache).tolist() == [len(tokenizer(path).encode(t or "", add_special_tokens=False).ids) for t in some.to_pylist()]
+    assert asked.count(" Grumpfel") == 1 and not any("Grumpfel" in w and w[-1] in ",.!" for w in asked)
+
+
 def test_host_rules(spark, docs, texts, empty):
     from casetrail.llm.host_rules import beta_prior, host_verdicts
     got = by_id(host_verdicts(docs))
