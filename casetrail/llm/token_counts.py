@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .chunks import chunked
 from .common import small_batches
-from .word_cache import CACHE_CHARS, WordCache, encode_all, worker_cache
+from .word_cache import CACHE_CHARS, WordCache, token_numbers, worker_cache
 
 #: Entries of the broadcast table: about 2 MB, whatever the corpus.
 TABLE_WORDS = 65_536
@@ -138,12 +138,12 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT, id_co
     rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(id_col).cast("long").alias("doc_id"))
     words = frequent_pieces(rows.select("text"), table_words)
     words = parts(words)[2]
-    counts = [len(ids) for ids in encode_all(tokenizer_path, words)]
+    counts = list(token_numbers(tokenizer_path, words))
     table, run = spark.sparkContext.broadcast((words, counts)), uuid.uuid4().hex
 
     def count(batches):
         cache = worker_cache(("counts", tokenizer_path, run), lambda: WordCache(
-            lambda new: (len(ids) for ids in encode_all(tokenizer_path, new)), dict(zip(*table.value))))
+            lambda new: token_numbers(tokenizer_path, new), dict(zip(*table.value))))
         for b in small_batches(batches):
             n = counted(b.column(0), cache)
             yield pa.RecordBatch.from_arrays([b.column(1), pc.binary_length(b.column(0)).cast(pa.int64()),

@@ -120,7 +120,7 @@ class PlaneEncoder:
 
     def __init__(self, tokenizer_path: str, width: int):
         self.path, self.width, self.whole = tokenizer_path, width, not cuts_at_spaces(tokenizer_path)
-        self.words = WordCache(packed_ids(tokenizer_path, width), {"": b""}, limit=CACHE_WORDS)
+        self.words = WordCache(packed_ids(tokenizer_path, width, None if self.whole else " "), {"": b""}, limit=CACHE_WORDS)
 
     def encode(self, texts: pa.Array) -> tuple[memoryview, list[int]]:
         """All ids, and each text's first byte among them (one more at the end)."""

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import json
 import os
 import sys
 from array import array
-from itertools import islice
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,11 @@ import pyarrow as pa
 CACHE_WORDS, CACHE_CHARS = 500_000, 64
 #: Characters given to the tokenizer at once: its encodings take many times that.
 ENCODE_CHARS = 1 << 18
+#: Words joined to one text for the tokenizer (64 characters each at most).
+GROUP_WORDS = 1024
 
 _tokenizers: dict[str, object] = {}
+_edges: dict[str, tuple[bool, np.ndarray]] = {}
 
 
 def tokenizer(path: str):
@@ -48,6 +52,38 @@ def encode_all(path: str, words: list[str]):
         i = j
 
 
+def edges(path: str) -> tuple[bool, np.ndarray]:
+    """(last, which): which ids end a pre-token (by the model's suffix for that) or, without
+    such a suffix (last is False), begin with a space; byte-level tokenizers write it as Ġ."""
+    if path not in _edges:
+        with open(path, encoding="utf-8") as f:
+            suffix = json.load(f)["model"].get("end_of_word_suffix")
+        vocab = tokenizer(path).get_vocab()
+        which = np.zeros(max(vocab.values()) + 1, bool)
+        ids = {t: i for t, i in vocab.items() if (t.endswith(suffix) if suffix else t[:1] == "Ġ")}
+        if not suffix or sum(len(t) == 1 + len(suffix) for t in ids) >= 256:  # else a word's last byte may have no id
+            which[list(ids.values())] = True
+        _edges[path] = bool(suffix), which
+    return _edges[path]
+
+
+def encode_letters(path: str, words: list[str], glue: str):
+    """(ids, ends) of groups of ``words``, each of letters behind one space at most, where ``glue``
+    between them keeps each a pre-token of its own: a group is encoded as one text and cut by
+    the :func:`edges` of pre-tokens.  Where these are not as many as the words (letters that the
+    normalizer takes apart), its words are encoded one by one."""
+    tok, (last, edge) = tokenizer(path), edges(path)
+    for i in range(0, len(words), GROUP_WORDS):
+        some = words[i:i + GROUP_WORDS]
+        ids = np.array(tok.encode_batch_fast([glue.join(some)], add_special_tokens=False)[0].ids)
+        at = np.flatnonzero(edge[ids])
+        ends = at + 1 if last else np.append(at[1:], len(ids))
+        if len(at) != len(some):
+            one = list(encode_all(path, some))
+            ids, ends = np.concatenate(one), np.cumsum([len(x) for x in one])
+        yield ids, ends
+
+
 class WordCache:
     """word -> value, where ``make`` turns a list of words into their values."""
 
@@ -102,8 +138,9 @@ class RecurringCache(WordCache):
         return new, old
 
 
-def packed_ids(path: str, width: int):
-    """A ``make`` for little-endian ids of ``width`` bytes each."""
+def packed_ids(path: str, width: int, glue: str | None = None):
+    """A ``make`` for little-endian ids of ``width`` bytes each.  With ``glue``, words of letters
+    are encoded together, with it between them (see :func:`encode_letters`)."""
     pack, little = {1: "B", 2: "H", 4: "I", 8: "Q"}[width], sys.byteorder == "little"
 
     def packed(ids):
@@ -111,7 +148,24 @@ def packed_ids(path: str, width: int):
         if not little:
             ids.byteswap()
         return ids.tobytes()
-    return lambda words: map(packed, encode_all(path, words))
+
+    def make(words):
+        plain = [glue is not None and len(w) <= CACHE_CHARS and w.isalpha() for w in words]
+        rest = map(packed, encode_all(path, [w for w, p in zip(words, plain) if not p]))
+        joined = encode_letters(path, [w for w, p in zip(words, plain) if p], glue)
+        joined = ((ids.astype(f"<u{width}").tobytes(), ends) for ids, ends in joined)
+        cut = (ids[a:b] for ids, ends in joined for a, b in pairwise([0, *(width * ends).tolist()]))
+        return (next(cut) if p else next(rest) for p in plain)
+    return make
+
+
+def token_numbers(path: str, words: list[str]):
+    """How many ids each of ``words`` has, for a byte-level tokenizer that begins a pre-token at
+    a space before letters: such words are encoded together (see :func:`encode_letters`)."""
+    plain = [len(w) <= CACHE_CHARS and w[:1] == " " and w[1:].isalpha() for w in words]
+    rest = map(len, encode_all(path, [w for w, p in zip(words, plain) if not p]))
+    cut = (n for _, ends in encode_letters(path, [w for w, p in zip(words, plain) if p], "") for n in np.diff(ends, prepend=0).tolist())
+    return (next(cut) if p else next(rest) for p in plain)
 
 
 _caches: dict[tuple, WordCache] = {}

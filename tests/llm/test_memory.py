@@ -122,3 +122,19 @@ def test_blocks_are_decoded_once(spark, tmp_path):
     rows = sorted(got.collect(), key=lambda r: r["start"])
     assert [r["doc_id"] for r in rows] == [None, *range(60)] and sum(r["n_tokens"] > 2 for r in rows) > 40
     assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(rows, rows[1:]))
+
+
+def test_words_of_letters_are_encoded_together(monkeypatch):
+    words = ["grumpf", "na\u00efve", "don't", "42", "\u0958a", "\u0130x", "\u6f22\u5b57", "<|endoftext|>", "x" * 100, "", *(f"w{'abcdefghij'[i % 10] * (i % 7)}" for i in range(40))]
+    alone, every = [], word_cache.encode_all
+    monkeypatch.setattr(word_cache, "encode_all", lambda path, some: alone.extend(some) or every(path, some))
+    for name, lead, make in (("word_bpe_49k.json", "", lambda path: lambda w: [len(x) // 2 for x in word_cache.packed_ids(path, 2, " ")(w)]),
+                             ("byte_bpe_50k.json", " ", lambda path: lambda w: list(word_cache.token_numbers(path, w)))):
+        path = vocabulary(name)
+        for odd in (True, False):  # letters that the normalizer takes apart: their group goes word by word
+            some = [lead + w for w in words if odd or not {"\u0958", "\u0130"} & set(w)]
+            alone.clear()
+            assert make(path)(some) == [len(ids) for ids in every(path, some)]
+            assert odd or not any("grumpf" in w for w in alone)
+    path = vocabulary("word_bpe_49k.json")
+    assert list(word_cache.packed_ids(path, 2, " ")(words)) == list(word_cache.packed_ids(path, 2)(words))
