@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import lit_date, month_end, month_start, yyyymm
 from ..functions.keys import joined
-from .spine import ATTR_COLUMNS, SIDES, by_side, event_counts, in_stretches, intervals, one_if, rolled
+from .spine import ATTR_COLUMNS, SIDES, by_side, event_counts, in_stretches, intervals, one_if, rolled, span
 
 MONTHLY_COLUMNS = [
     "month_id", "monthly_incident_id", "comment_id", "incident_id", "comment_seq",
@@ -92,8 +92,10 @@ def monthly_stretches(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date
         "_snapshot": F.when(covers, _packed_side())}.items()]
     at, single = ["incident_id", "_seg", "month_id"], c("month_id").alias("_to")
     # what differs lies in an interval's first and last month
-    cuts = F.array(first, F.add_months(first, 1), last, F.add_months(last, 1))
-    loose = (in_stretches(base.filter("not _split"), "month_id", F.array_distinct(F.array(first, last)), cuts, first, last, F.expr(_MONTH))
+    m_first, m_last = month_number("_lo"), month_number("_hi")
+    cuts = F.array(m_first, m_first + 1, m_last, m_last + 1)
+    loose = (in_stretches(base.filter("not _split"), "month_id", F.array_distinct(F.array(span(m_first), span(m_last))), cuts,
+                          m_first, m_last, month_numbered)
              .select(*kept, "_seg", "month_id", "_to", *summed))
     split = (base.filter("_split").select("*", F.explode(F.sequence(first, last, F.expr(_MONTH))).alias("month_id"))
              .select(*kept, "_seg", "month_id", single, *summed))
@@ -103,6 +105,16 @@ def monthly_stretches(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date
     return reduce(DataFrame.unionByName, [p.select(*names) for p in parts])
 
 
+def month_number(day) -> Column:
+    """Months from January 1970."""
+    return (F.year(day) - 1970) * 12 + F.month(day) - 1
+
+
+def month_numbered(number: Column) -> Column:
+    """The first day of a month by its number."""
+    return F.add_months(lit_date(_dt.date(1970, 1, 1)), number)
+
+
 def months_of(rows: DataFrame) -> DataFrame:
     """The months of ``monthly_stretches``, with the other columns of ``rows``."""
     c = F.col

@@ -19,12 +19,12 @@ the calendar and to ``as_of``:
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import lit_date, yyyymmdd
-from ..functions.keys import joined
 from .lifecycle import PART_COLUMNS, SEGMENT_SIZE, segment_of
 
 DAILY_COLUMNS = [
@@ -90,10 +90,11 @@ def by_side(name: str, value: Column) -> dict[str, Column]:
 def rolled(rows: DataFrame, keys: list[str], sums: list[str], most: list[str] = []) -> DataFrame:
     """One row per ``keys``: the row with the highest seq, with the sums (and the
     maxima of ``most``) of all.  Rows that lie by some of the keys stay there."""
-    group = Window.partitionBy(*keys)
-    top = F.row_number().over(group.orderBy(F.col("comment_seq").desc()))
-    return (rows.withColumn("_rank", top)
-            .withColumns({**{x: F.sum(x).over(group) for x in sums}, **{x: F.max(x).over(group) for x in most}})
+    # one order for rank and sums: they share a pass over the group
+    group = Window.partitionBy(*keys).orderBy(F.col("comment_seq").desc())
+    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return (rows.withColumns({"_rank": F.row_number().over(group), **{x: F.sum(x).over(whole) for x in sums},
+                              **{x: F.max(x).over(whole) for x in most}})
             .filter("_rank = 1").drop("_rank"))
 
 
@@ -104,17 +105,19 @@ def daily_stretches(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date)
     kept = ["incident_id", "comment_seq", *ATTR_COLUMNS]
     day = F.expr("INTERVAL 1 DAY")
     starts, ends = c("_lo") == c("comment_date"), F.coalesce(c("_hi") == c("_until"), F.lit(False))
+    lo, hi, own_day, end_day = (F.unix_date(x) for x in ("_lo", "_hi", "comment_date", "_until"))
     first, last = F.when(starts, F.date_add("_lo", 1)).otherwise(c("_lo")), F.when(ends, F.date_sub("_hi", 1)).otherwise(c("_hi"))
     zero = F.lit(0).cast("bigint")
     alone = (base.filter(c("_chain") & (first <= last))
              .select(*kept, "_until", first.alias("date_id"), last.alias("_to"))
              .withColumns({**{x: zero for x in COUNT_COLUMNS}, **by_side("elapsed_days", one_if(c("_until").isNotNull()))}))
-    end_days = F.array_compact(F.array(F.when(starts, c("_lo")), F.when(ends & (c("_until") != c("comment_date")), c("_hi"))))
+    apart = ends & (c("_until") != c("comment_date"))
+    end_days = F.when(starts & apart, F.array(span(lo), span(hi))).when(starts, F.array(span(lo))).when(apart, F.array(span(hi)))
     counts = {**by_side("elapsed_days", one_if(c("date_id") != c("_until"))), **event_counts(c("date_id") == c("comment_date"))}
     summed = [v.alias(k) for k, v in counts.items()]
     at, names = ["incident_id", "_seg", "date_id"], ["date_id", "_to", *kept, *COUNT_COLUMNS]
-    cuts = F.array("_lo", F.date_add("_hi", 1), "comment_date", F.date_add("comment_date", 1), "_until", F.date_add("_until", 1))
-    whole = in_stretches(base.filter("not _split"), "date_id", end_days, cuts, c("_lo"), c("_hi"), day)
+    cuts = F.array(lo, hi + 1, own_day, own_day + 1, end_day, end_day + 1)
+    whole = in_stretches(base.filter("not _split"), "date_id", end_days, cuts, lo, hi, F.date_from_unix_date)
     whole = rolled(whole.select(*kept, "_seg", "date_id", "_to", *summed), at, COUNT_COLUMNS)
     split = base.filter("_split").select("*", F.explode(F.sequence("_lo", "_hi", day)).alias("date_id"))
     split = rolled(split.select(*kept, "_seg", "date_id", c("date_id").alias("_to"), *summed), at, COUNT_COLUMNS)
@@ -122,22 +125,41 @@ def daily_stretches(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date)
     return alone.select(*names).unionByName(whole.select(*names)).unionByName(split.select(*names))
 
 
-def in_stretches(base: DataFrame, name: str, own: Column, cuts: Column, lo: Column, hi: Column, step: Column) -> DataFrame:
-    """One row per entry and stretch [``name``, ``_to``] of days or months (``step``)
-    that it covers between ``lo`` and ``hi``.  A (case, segment) is cut at all
-    ``cuts`` of its entries, which hold ``lo``, what follows ``hi``, and both ends of all
-    that differs from its surroundings, so what holds at a stretch's start holds on all of
-    it.  There are no more stretches than days or months.  Cases whose dates never
-    fall give the days or months ``own`` only."""
+#: A stretch in one long: its first number above these bits, and how many follow it.
+_SPAN_BITS = 32
+
+
+def span(first: Column, more: Column | None = None) -> Column:
+    """The stretch of ``first`` and ``more`` numbers behind it."""
+    packed = F.shiftleft(first.cast("long"), _SPAN_BITS)
+    return packed if more is None else packed + more
+
+
+def in_stretches(base: DataFrame, name: str, own: Column, cuts: Column, lo: Column, hi: Column,
+                 dated: Callable[[Column], Column]) -> DataFrame:
+    """One row per entry and stretch [``name``, ``_to``] of days or months that it covers
+    between ``lo`` and ``hi``.  Both are numbers, as are ``cuts``, and ``dated`` makes dates
+    of them.  A (case, segment) is cut at all ``cuts`` of its entries, which hold ``lo``,
+    what follows ``hi``, and both ends of all that differs from its surroundings, so what
+    holds at a stretch's start holds on all of it.  There are no more stretches than days
+    or months.  Cases whose dates never fall give the spans ``own`` only.
+
+    The spans of a case are made once, and an entry's are a slice of them: no lambda runs
+    per entry, so the expansion is compiled together with its neighbours."""
     c = F.col
     marks = (base.filter("not _chain").groupBy("incident_id", "_seg")
              .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.array_compact(cuts))))).alias("_marks")))
     # the last mark lies behind all intervals, so it opens no stretch
-    spans = F.transform("_marks", lambda m, i: F.struct(m.alias(name), (F.get("_marks", i + 1) - step).cast("date").alias("_to")))
-    inside = F.filter(spans, lambda s: s[name].between(lo, hi))
-    single = F.transform(F.when(c("_chain"), own).otherwise(F.sequence(lo, hi, step)), lambda d: F.struct(d.alias(name), d.alias("_to")))
+    spans = F.transform("_marks", lambda m, i: span(m, F.get("_marks", i + 1) - 1 - m))
+    marks = marks.select("incident_id", "_seg", "_marks", spans.alias("_spans"))
+    first = F.array_position("_marks", lo)
+    inside = F.slice("_spans", first.cast("int"), (F.array_position("_marks", hi + 1) - first).cast("int"))
     met = base.join(marks.hint("merge"), ["incident_id", "_seg"], "left")  # rows without a case meet no marks
-    return met.select(*[c(x) for x in base.columns], F.inline(F.when(c("_chain") | c("_marks").isNull(), single).otherwise(inside)))
+    singles = F.sequence(span(lo), span(hi), F.lit(1 << _SPAN_BITS))
+    kept = [c(x) for x in base.columns]
+    made = met.select(*kept, F.explode(F.when(c("_chain"), own).when(c("_marks").isNull(), singles).otherwise(inside)).alias(name))
+    start, more = F.shiftright(name, _SPAN_BITS).cast("int"), c(name).bitwiseAND(F.lit((1 << _SPAN_BITS) - 1)).cast("int")
+    return made.select(*kept, dated(start).alias(name), dated(start + more).alias("_to"))
 
 
 def daily_counts(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date) -> DataFrame:
@@ -147,9 +169,15 @@ def daily_counts(lifecycle: DataFrame, calendar: DataFrame, as_of: _dt.date) ->
     for rows that stay where they lie; without them every day of every case is
     summed in both steps.
     """
+    day = F.expr("INTERVAL 1 DAY")
     made = daily_stretches(lifecycle, calendar, as_of).withColumnRenamed("date_id", "_from")
-    made = made.withColumn("date_id", F.explode(F.sequence("_from", "_to", F.expr("INTERVAL 1 DAY"))))
+    made = made.withColumn("date_id", F.explode(F.sequence("_from", "_to", day)))
+    # all days lie in the calendar: their texts are made once, and looked up by place
+    texts = F.transform(F.sequence("lo", "hi", day), lambda d: F.concat(yyyymmdd(d), F.lit("_")))
+    bounds = calendar.agg(F.min("date_id").alias("lo"), F.max("date_id").alias("hi"))
+    known = bounds.select(F.struct("lo", texts.alias("texts")).alias("days")).scalar()
+    text = F.get(known.getField("texts"), F.datediff("date_id", known.getField("lo")))
     return made.select(
-        "date_id", joined(yyyymmdd("date_id"), F.col("incident_id")).alias("daily_incident_id"),
+        "date_id", F.concat(text, "incident_id").alias("daily_incident_id"),
         "comment_id", "incident_id", "comment_seq", "comment_div", "comment_by", "comment_date",
         "ball_on", *COUNT_COLUMNS)
